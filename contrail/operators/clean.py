@@ -17,13 +17,13 @@ def project_clean(raw: DataFrame, strict: bool = True) -> DataFrame:
     Drops rows without a valid date (headers included); unparseable numbers
     fail the job when ``strict`` and become null otherwise.
     """
-    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: F.try_cast(c, t))
+    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
     types = {f.name: f.dataType for f in CLEAN_FLIGHTS.fields}
     cols = []
     for raw_name, name in RAW_TO_CLEAN:
         c = F.nullif(F.trim(unquote(F.col(raw_name))), F.lit(""))
         if name == "flight_date":
-            c = F.try_cast(c, "date")  # header text and junk dates drop below
+            c = c.try_cast("date")  # header text and junk dates drop below
         elif types[name].simpleString() != "string":
             c = cast(c, types[name])
         cols.append(c.alias(name))

@@ -40,7 +40,7 @@ def parse_lines(
         elif strict:
             c = raw.cast(field.dataType)
         else:
-            c = F.try_cast(raw, field.dataType)
+            c = raw.try_cast(field.dataType)
         cols.append(c.alias(field.name))
     if count_alias:
         cols.append(fields_after_trailing_cut(F.col(line_col), sep).alias(count_alias))

@@ -1,0 +1,62 @@
+from pyspark.sql import functions as F
+
+from contrail.functions.scalars import (
+    delay_minutes,
+    delayed_15,
+    fields_after_trailing_cut,
+    named_value,
+    pair_text,
+    present,
+    round_half_up,
+    short_number,
+    unquote,
+)
+
+
+def one(spark, expr, value, schema):
+    return spark.createDataFrame([(value,)], schema).select(expr.alias("r")).first()["r"]
+
+
+def test_round_half_up_negative_halves(spark):
+    # Spark's round() takes -0.125 to -0.13; half-up gives -0.12
+    assert one(spark, round_half_up("x"), -0.125, "x double") == -0.12
+    assert one(spark, round_half_up("x"), 0.125, "x double") == 0.13
+    assert one(spark, round_half_up("x"), 2.0, "x double") == 2.0
+    assert one(spark, F.round("x", 2), -0.125, "x double") == -0.13
+
+
+def test_short_number(spark):
+    for v, s in [(2.5, "2.5"), (3.0, "3"), (-0.12, "-0.12"), (10.0, "10"), (2.05, "2.05"), (0.1, "0.1")]:
+        assert one(spark, short_number("x"), v, "x double") == s
+
+
+def test_named_value_and_pair(spark):
+    df = spark.createDataFrame([("OH", 2.05)], "n string, v double")
+    r = df.select(named_value("n", "v").alias("a"), pair_text("v", "n").alias("b")).first()
+    assert r["a"] == "OH(2.05)"
+    assert r["b"] == "(2.05, OH)"
+
+
+def test_fields_after_trailing_cut(spark):
+    cases = {
+        "2008-01-01|1|AA|10|1.00|ORD|LAX|||": 7,
+        "2008-01-01|1|AA|11|0.00|ORD|LAX|5.00||0900": 10,
+        "2008-01-01|1|AA|11|0.00|ORD|LAX|5.00|3|": 9,
+        "a": 1,
+        "": 1,
+    }
+    for line, n in cases.items():
+        assert one(spark, fields_after_trailing_cut("x"), line, "x string") == n
+
+
+def test_present_and_unquote(spark):
+    df = spark.createDataFrame([("",), (None,), ('"PHX"',)], "x string")
+    got = [r[0] for r in df.select(present("x")).collect()]
+    assert got == [False, False, True]
+    assert one(spark, unquote("x"), '"PHX"', "x string") == "PHX"
+
+
+def test_delay_minutes_and_flag(spark):
+    df = spark.createDataFrame([(-3.0,), (20.0,), (None,), (15.0,)], "x double")
+    rows = df.select(delay_minutes("x").alias("m"), delayed_15("x").alias("f")).collect()
+    assert [(r.m, r.f) for r in rows] == [(0.0, 0.0), (20.0, 1.0), (None, None), (15.0, 1.0)]
