@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` is proven to hold at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned as it is, so Spark falls back to a shuffled join.
+    ``known_rows`` is an upper bound the caller already has by construction
+    (a request list of known length); otherwise the check reads at most
+    ``max_rows + 1`` rows. Beyond the bound the frame is returned as it is,
+    so Spark falls back to a shuffled join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -26,8 +28,14 @@ def unique_by_key(lookup: DataFrame, key: str = "code", value: str = "descriptio
     return lookup.groupBy(key).agg(F.min(value).alias(value))
 
 
-def restrict_to(df: DataFrame, allowed: DataFrame, on: list[str], max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def restrict_to(
+    df: DataFrame,
+    allowed: DataFrame,
+    on: list[str],
+    max_rows: int = BROADCAST_ROW_LIMIT,
+    known_rows: int | None = None,
+) -> DataFrame:
     """Rows of ``df`` whose ``on`` columns match a row of ``allowed`` (left semi
     join). ``allowed`` is a request table, broadcast when its size is proven
     small, so the large side is filtered where it is read, without a shuffle."""
-    return df.join(bounded_broadcast(allowed, max_rows), on, "left_semi")
+    return df.join(bounded_broadcast(allowed, max_rows, known_rows), on, "left_semi")

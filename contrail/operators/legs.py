@@ -42,12 +42,20 @@ def itinerary_legs(itineraries: DataFrame, days: int = 2) -> DataFrame:
     return first.unionByName(second).distinct()
 
 
-def flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2) -> DataFrame:
+def requested_leg_flights(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
+    """Leg candidates on one of the requested legs. The request table is
+    broadcast into a left semi join (``itinerary_rows``, when known, bounds it
+    to twice that many legs without a counting job)."""
+    legs = itinerary_legs(itineraries, days)
+    known = 2 * itinerary_rows if itinerary_rows is not None else None
+    return restrict_to(leg_candidates(flights), legs, ["origin", "dest", "flight_date"], known_rows=known)
+
+
+def flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """For each flight on a requested leg, its smallest arrival delay over
     duplicate rows, rounded half-up: (origin, dest, flight_date, dep_time,
     airline, delay)."""
-    legs = itinerary_legs(itineraries, days)
-    cand = restrict_to(leg_candidates(flights), legs, ["origin", "dest", "flight_date"])
+    cand = requested_leg_flights(flights, itineraries, days, itinerary_rows)
     return (
         cand.withColumn("airline", flight_label())
         .groupBy("origin", "dest", "flight_date", "dep_time", "airline")
@@ -73,11 +81,10 @@ def best_flight_per_leg(cand: DataFrame) -> DataFrame:
     )
 
 
-def best_two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2) -> DataFrame:
+def best_two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """For each requested ``x -> y -> z`` trip, the best flight on each leg
     (second leg ``days`` after the first) and the total arrival delay."""
-    legs = itinerary_legs(itineraries, days)
-    cand = restrict_to(leg_candidates(flights), legs, ["origin", "dest", "flight_date"])
+    cand = requested_leg_flights(flights, itineraries, days, itinerary_rows)
     best = best_flight_per_leg(cand)
     b1 = best.select(
         F.col("origin").alias("x"), F.col("dest").alias("y"), F.col("flight_date").alias("first_date"),

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_lookup, enrich
+from contrail.operators.legs import itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS
 from contrail.session import scratch_path
 from contrail.sources.tables import (
+    ITINERARY_KEYS,
     airline_lookup_from_tables,
     airport_lookup_from_tables,
     flights_from_tables,
@@ -36,8 +38,8 @@ DEP_COLS = ["origin", "dest", "carrier", "cancelled", "dep_delay", "arr_delay",
 LEG_COLS = ["flight_date", "carrier", "flight_num", "origin", "dest", "arr_delay", "dep_time"]
 
 
-def _flights(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
-    return flights_from_tables(spark, sf_dir, cols)
+def _flights(spark: SparkSession, sf_dir: str, cols: list[str] | None = None, **kw) -> DataFrame:
+    return flights_from_tables(spark, sf_dir, cols, **kw)
 
 
 def _lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -97,12 +99,25 @@ def route_mean_arrival(spark, sf_dir):
     return Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS))
 
 
+def _itineraries(spark, sf_dir) -> tuple[DataFrame, int]:
+    # One row per requested itinerary (nation keys are unique), so the size is known.
+    return itineraries_from_tables(spark, sf_dir, ITINERARY_KEYS), len(ITINERARY_KEYS)
+
+
+def _leg_flights(spark, sf_dir, itin: DataFrame, n: int) -> DataFrame:
+    """Flights on the days of the requested legs only (at most 2 days per itinerary)."""
+    days = itinerary_legs(itin).select("flight_date").distinct()
+    return _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=2 * n)
+
+
 def leg_flight_min_delay(spark, sf_dir):
-    return Q.leg_flight_min_delay(_flights(spark, sf_dir, LEG_COLS), itineraries_from_tables(spark, sf_dir))
+    itin, n = _itineraries(spark, sf_dir)
+    return Q.leg_flight_min_delay(_leg_flights(spark, sf_dir, itin, n), itin, itinerary_rows=n)
 
 
 def two_leg_itineraries(spark, sf_dir):
-    return Q.two_leg_trips(_flights(spark, sf_dir, LEG_COLS), itineraries_from_tables(spark, sf_dir))
+    itin, n = _itineraries(spark, sf_dir)
+    return Q.two_leg_trips(_leg_flights(spark, sf_dir, itin, n), itin, itinerary_rows=n)
 
 
 def leg_pairs(spark, sf_dir):

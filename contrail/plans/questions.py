@@ -107,14 +107,14 @@ def route_mean_arrival(flights: DataFrame) -> DataFrame:
     return mean_by(f, ["origin", "dest"], "arr_delay", digits=2)
 
 
-def leg_flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2) -> DataFrame:
+def leg_flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """3-2: for each flight on a requested leg, its smallest arrival delay."""
-    return flight_min_delay(flights, itineraries, days)
+    return flight_min_delay(flights, itineraries, days, itinerary_rows)
 
 
-def two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2) -> DataFrame:
+def two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """3-2 as trips: best flight per leg joined into ``x -> y -> z``."""
-    return best_two_leg_trips(flights, itineraries, days)
+    return best_two_leg_trips(flights, itineraries, days, itinerary_rows)
 
 
 def leg_pairs(flights: DataFrame, days: int = 2) -> DataFrame:

@@ -29,6 +29,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators.joins import bounded_broadcast
 from contrail.schemas import CLEAN_COLUMNS, ITINERARY
 
 TABLES = (
@@ -37,8 +38,32 @@ TABLES = (
 ).split()
 
 
+# Declared schemas (the columns used) of the driver tables: the scan needs no
+# footer pass to infer them, and reads only these columns.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of literal rows, planned as a local relation in the JVM
+    (no Python-side data source)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,9 +71,18 @@ def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flights_from_tables(
-    spark: SparkSession, sf_dir: str, columns: list[str] | tuple[str, ...] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: list[str] | tuple[str, ...] | None = None,
+    days: DataFrame | None = None,
+    days_rows: int | None = None,
 ) -> DataFrame:
-    """Flights in the clean layout (or the requested subset of its columns)."""
+    """Flights in the clean layout (or the requested subset of its columns).
+
+    ``days`` (a ``flight_date`` column, at most ``days_rows`` rows) keeps only
+    flights on those days; the restriction is applied to the fact scan, before
+    any dimension join, so only those flights are shuffled.
+    """
     cols = list(columns) if columns else list(CLEAN_COLUMNS)
     unknown = set(cols) - set(CLEAN_COLUMNS)
     if unknown:
@@ -58,28 +92,37 @@ def flights_from_tables(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
+    if days is not None:
+        wanted = bounded_broadcast(days.select(F.col("flight_date").alias("_day")), known_rows=days_rows)
+        li = li.join(wanted, F.col("l_shipdate").cast("date") == F.col("_day"), "left_semi")
     base = li
+    nations = _nation_names(spark, sf_dir) if {"origin", "dest"} & set(cols) else None
     if {"airline_id", "carrier"} & set(cols):
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
         base = base.join(part, base.l_partkey == part.p_partkey, "inner")
     if "origin" in cols:
+        # fact -> supplier, then -> nation: the 25-row nation table is joined last so
+        # it is the side that gets broadcast (a pre-joined supplier+nation would be
+        # estimated as a product of both sizes and the fact table broadcast instead).
         supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        nations = _nation_names(spark, sf_dir)
-        supplier_nation = supplier.join(
-            nations, supplier.s_nationkey == nations.n_nationkey, "inner"
-        ).select("s_suppkey", F.col("n_name").alias("origin_name"))
-        base = base.join(supplier_nation, base.l_suppkey == supplier_nation.s_suppkey, "inner")
+        base = base.join(supplier, base.l_suppkey == supplier.s_suppkey, "inner")
+        origin_nation = nations.select(
+            F.col("n_nationkey").alias("_s_nation"), F.col("n_name").alias("origin_name")
+        )
+        base = base.join(origin_nation, base.s_nationkey == origin_nation._s_nation, "inner")
     if "dest" in cols:
-        # orders -> customer -> nation first, so the fact table is shuffled once, on order key.
+        # orders -> customer -> nation first, so the fact table is shuffled once, on
+        # order key; nation again joined last so that it is the broadcast side.
         customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        nations = _nation_names(spark, sf_dir)
-        customer_nation = customer.join(
-            nations, customer.c_nationkey == nations.n_nationkey, "inner"
-        ).select("c_custkey", F.col("n_name").alias("dest_name"))
         orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        order_dest = orders.join(
-            customer_nation, orders.o_custkey == customer_nation.c_custkey, "inner"
-        ).select("o_orderkey", "dest_name")
+        dest_nation = nations.select(
+            F.col("n_nationkey").alias("_c_nation"), F.col("n_name").alias("dest_name")
+        )
+        order_dest = (
+            orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+            .join(dest_nation, F.col("c_nationkey") == dest_nation._c_nation, "inner")
+            .select("o_orderkey", "dest_name")
+        )
         base = base.join(order_dest, base.l_orderkey == order_dest.o_orderkey, "inner")
 
     returned_final = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -144,9 +187,10 @@ def itineraries_from_tables(
     spark: SparkSession, sf_dir: str, keys: list[tuple[int, int, int, str]] = ITINERARY_KEYS
 ) -> DataFrame:
     """Itineraries ``(x, y, z, first_date)`` with airports named from ``nation``."""
-    req = spark.createDataFrame(
+    req = literal_table(
+        spark,
         [(x, y, z, dt.date.fromisoformat(d)) for x, y, z, d in keys],
-        "xk int, yk int, zk int, first_date date",
+        ["xk", "yk", "zk", "first_date"],
     )
     names = _nation_names(spark, sf_dir)
     out = req
