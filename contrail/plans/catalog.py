@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.clean import clean_lookup, enrich
+from contrail.operators.clean import clean_lookup, enrich, project_clean
+from contrail.operators.upsert import latest_per_key
+from contrail.sinks.files import write_delimited
+from contrail.sources.files import read_clean_flights, read_lookup, read_raw_flights
 from contrail.operators.legs import itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.plans import questions as Q
@@ -24,6 +27,7 @@ from contrail.sources.tables import (
     airport_lookup_from_tables,
     flights_from_tables,
     itineraries_from_tables,
+    raw_rows_from_flights,
     read_table,
 )
 from contrail.streaming.files import table_stream, write_files
@@ -137,6 +141,38 @@ def serving_upsert(spark, sf_dir):
     return Q.route_serving_upsert(_flights(spark, sf_dir, ["flight_date"] + TRAFFIC_COLS), UPSERT_SPLIT_DATE)
 
 
+def etl_roundtrip(spark, sf_dir):
+    """The whole ETL path on the whole table: flights written as raw quoted
+    CSV and lookups as CSV files in the shared folder, read back quote-aware,
+    cleaned (header and date filter), enriched by the three left joins, stored
+    pipe-delimited in the clean layout, and read back."""
+    base = scratch_path(spark, "etl")
+    raw = raw_rows_from_flights(_flights(spark, sf_dir))
+    raw.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{base}/raw")
+    airports, airlines = (
+        airport_lookup_from_tables(spark, sf_dir),
+        airline_lookup_from_tables(spark, sf_dir),
+    )
+    for name, lk in (("airports", airports), ("airlines", airlines)):
+        lk.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{base}/{name}")
+    clean = project_clean(read_raw_flights(spark, f"{base}/raw"))
+    enriched = enrich(
+        clean,
+        clean_lookup(read_lookup(spark, f"{base}/airports")),
+        clean_lookup(read_lookup(spark, f"{base}/airlines")),
+    )
+    write_delimited(enriched.select(*CLEAN_COLUMNS), f"{base}/clean")
+    return read_clean_flights(spark, f"{base}/clean")
+
+
+def leg_serving(spark, sf_dir):
+    """3-2 as serving items: one per (origin, dest, date, time), the lowest
+    (delay, airline) when two flights leave at the same minute."""
+    return latest_per_key(
+        leg_flight_min_delay(spark, sf_dir), ["origin", "dest", "flight_date", "dep_time"], ["delay", "airline"]
+    )
+
+
 def stream_tail(spark, sf_dir):
     """The events table read as a file stream, written batch by batch to a
     file table in the shared checkpoint folder, and read back."""
@@ -167,4 +203,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "airport_subset_report": airport_subset_report,
     "serving_upsert": serving_upsert,
     "stream_tail": stream_tail,
+    "etl_roundtrip": etl_roundtrip,
+    "leg_serving": leg_serving,
 }

@@ -234,4 +234,13 @@ WHERE NOT EXISTS (SELECT 1 FROM r2 WHERE r2.origin = r1.origin AND r2.dest = r1.
 UNION ALL
 SELECT * FROM r2""",
     "stream_tail": "SELECT * FROM events",
+    "etl_roundtrip": _with(FLIGHTS) + "SELECT * FROM flights WHERE flight_date > DATE '1900-01-01'",
+    "leg_serving": _with(FLIGHTS, ITINERARIES) + f""", items AS (
+  SELECT origin, dest, flight_date, dep_time, replace(airline, '"', '') AS airline,
+         {_r2('min(arr_delay)')} AS delay
+  FROM cand
+  GROUP BY origin, dest, flight_date, dep_time, replace(airline, '"', '')
+)
+SELECT * FROM items
+QUALIFY row_number() OVER (PARTITION BY origin, dest, flight_date, dep_time ORDER BY delay, airline) = 1""",
 }

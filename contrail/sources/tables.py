@@ -198,3 +198,25 @@ def itineraries_from_tables(
         n = names.select(F.col("n_nationkey").alias(k), F.col("n_name").alias(name))
         out = out.join(n, k, "inner")
     return out.select(*[f.name for f in ITINERARY.fields])
+
+
+def raw_rows_from_flights(flights: DataFrame) -> DataFrame:
+    """Flights as rows of the raw on-time CSV layout (all strings; fields the
+    mapping has no value for stay empty). City names carry a comma, as in the
+    real files, so a reader must be quote-aware to keep the columns aligned."""
+    from contrail.schemas import RAW_FLIGHT_COLUMNS
+
+    d = F.col("flight_date")
+    values = {
+        "Year": F.year(d), "Quarter": F.quarter(d), "Month": F.month(d), "DayofMonth": F.dayofmonth(d),
+        "DayOfWeek": F.dayofweek(d), "FlightDate": F.date_format(d, "yyyy-MM-dd"),
+        "UniqueCarrier": F.col("carrier"), "AirlineID": F.col("airline_id"), "Carrier": F.col("carrier"),
+        "FlightNum": F.col("flight_num"), "Origin": F.col("origin"),
+        "OriginCityName": F.concat(F.col("origin"), F.lit(", XX")), "Dest": F.col("dest"),
+        "DestCityName": F.concat(F.col("dest"), F.lit(", XX")), "DepTime": F.col("dep_time"),
+        "DepDelay": F.col("dep_delay"), "ArrDelay": F.col("arr_delay"), "Cancelled": F.col("cancelled"),
+        "Flights": F.lit("1.00"),
+    }
+    return flights.select(
+        *[(values[c].cast("string") if c in values else F.lit(None).cast("string")).alias(c) for c in RAW_FLIGHT_COLUMNS]
+    )
