@@ -44,6 +44,8 @@ def test_fields_after_trailing_cut(spark):
         "2008-01-01|1|AA|11|0.00|ORD|LAX|5.00|3|": 9,
         "a": 1,
         "": 1,
+        "|||": 0,
+        "a||b||": 3,
     }
     for line, n in cases.items():
         assert one(spark, fields_after_trailing_cut("x"), line, "x string") == n
