@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import named_value
+from contrail.functions.scalars import named_value, pair_text
 
 
 def ranked_list(
@@ -32,3 +32,11 @@ def ranked_text(
     """One row per group: ``name(value) name(value) ...`` in rank order."""
     listed = ranked_list(df, group, rank_col, [name, value], alias="_entries")
     return listed.select(*group, list_text("_entries", name, value).alias(alias))
+
+
+def pairs_text(entries: str | Column, first: str, second: str) -> Column:
+    """``[(first, second), (first, second)]`` from a ranked list column (the
+    text of an ordered set of pairs, numbers as Java prints doubles)."""
+    arr = F.col(entries) if isinstance(entries, str) else entries
+    inner = F.concat_ws(", ", F.transform(arr, lambda e: pair_text(e[first], e[second])))
+    return F.concat(F.lit("["), inner, F.lit("]"))

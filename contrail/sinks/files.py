@@ -34,3 +34,13 @@ def write_table(
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def collect_small(df: DataFrame, max_rows: int = 10_000) -> list:
+    """Rows of a result known to be small (a top-10 list), for printing or a
+    client. Refuses results above ``max_rows`` instead of filling the driver;
+    large results are written with the functions above."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it instead of collecting it")
+    return rows

@@ -7,6 +7,7 @@ return DataFrames whose scans prune columns and push filters down.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from contrail.schemas import CLEAN_FLIGHTS, KEY_VALUE, LOOKUP, OLD_CLEAN_FLIGHTS, RAW_FLIGHTS
 
@@ -33,16 +34,23 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOOKUP).option("header", False).csv(path)
 
 
-def read_clean_flights(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Pipe-delimited clean flights, typed; empty fields are null, quotes removed."""
-    return (
-        spark.read.schema(CLEAN_FLIGHTS)
-        .option("sep", "|")
-        .option("header", False)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("mode", _mode(strict))
-        .csv(path)
-    )
+def read_clean_flights(
+    spark: SparkSession, path: str, strict: bool = True, corrupt_col: str | None = None
+) -> DataFrame:
+    """Pipe-delimited clean flights, typed; empty fields are null, quotes removed.
+
+    ``strict`` fails the job on a malformed line. With ``corrupt_col`` the read
+    is lenient and a malformed line is kept whole in that extra column, so it
+    can be counted or set aside.
+    """
+    schema = CLEAN_FLIGHTS
+    reader = spark.read.option("sep", "|").option("header", False).option("dateFormat", "yyyy-MM-dd")
+    if corrupt_col:
+        schema = T.StructType(CLEAN_FLIGHTS.fields + [T.StructField(corrupt_col, T.StringType(), True)])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+    else:
+        reader = reader.option("mode", _mode(strict))
+    return reader.schema(schema).csv(path)
 
 
 def read_old_clean_flights(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

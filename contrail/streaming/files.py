@@ -74,3 +74,12 @@ def upsert_batches(
     w = df.writeStream.foreachBatch(lambda batch, batch_id: table.upsert(batch, version=int(batch_id)))
     w = w.option("checkpointLocation", checkpoint)
     return _trigger(w, interval, available_now).start()
+
+
+def tail_directory(spark: SparkSession, directory: str, checkpoint: str, interval: str = BATCH_INTERVAL,
+                   timeout_s: float | None = None) -> StreamingQuery:
+    """Print the new lines of files arriving in ``directory`` every ``interval``
+    and block until the query stops (or ``timeout_s`` passes)."""
+    q = print_batches(text_stream(spark, directory), checkpoint, interval)
+    q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+    return q

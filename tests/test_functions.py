@@ -62,3 +62,12 @@ def test_delay_minutes_and_flag(spark):
     df = spark.createDataFrame([(-3.0,), (20.0,), (None,), (15.0,)], "x double")
     rows = df.select(delay_minutes("x").alias("m"), delayed_15("x").alias("f")).collect()
     assert [(r.m, r.f) for r in rows] == [(0.0, 0.0), (20.0, 1.0), (None, None), (15.0, 1.0)]
+
+
+def test_pairs_text(spark):
+    from contrail.operators.lists import pairs_text, ranked_list
+
+    df = spark.createDataFrame([("ABE", "OH", 2.05, 1), ("ABE", "EV", 2.5, 2), ("ABE", "XX", 3.0, 3)],
+                               "origin string, carrier string, delay double, rank int")
+    listed = ranked_list(df, ["origin"], "rank", ["delay", "carrier"])
+    assert listed.select(pairs_text("entries", "delay", "carrier")).first()[0] == "[(2.05, OH), (2.5, EV), (3.0, XX)]"

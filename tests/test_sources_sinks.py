@@ -120,3 +120,21 @@ def test_keyed_table_versions(spark, scratch):
     # a replayed version is not applied twice
     assert t.upsert(spark.createDataFrame([("B", 9)], "k string, v int"), version=1) == 1
     assert sorted(tuple(r) for r in t.current().collect()) == [("A", 1), ("B", 3)]
+
+
+def test_corrupt_lines_kept_aside(spark, scratch):
+    write_lines(scratch, "mixed", ["2008-01-01|1|AA|11|0.00|ORD|LAX|5.00||0900", "2008-01-01|1|AA|14|0.00|ORD|LAX|x|y|0900"])
+    df = read_clean_flights(spark, scratch, corrupt_col="_corrupt").cache()
+    bad = df.filter(F.col("_corrupt").isNotNull()).collect()
+    assert len(bad) == 1 and bad[0]._corrupt.startswith("2008-01-01|1|AA|14")
+    assert df.filter(F.col("_corrupt").isNull()).count() == 1
+
+
+def test_collect_small_refuses_large(spark):
+    import pytest
+
+    from contrail.sinks.files import collect_small
+
+    assert len(collect_small(spark.range(5), 10)) == 5
+    with pytest.raises(ValueError):
+        collect_small(spark.range(11), 10)

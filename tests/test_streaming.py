@@ -52,3 +52,15 @@ def test_stream_upsert_into_keyed_table(spark, scratch):
     got = sorted(tuple(r) for r in table.current().collect())
     assert got == [("SFO", "DEN", -1.0), ("SFO", "ORD", 0.75)]
     assert routes.isStreaming
+
+
+def test_tail_directory_blocks_until_timeout(spark, scratch):
+    from contrail.streaming.files import tail_directory
+
+    src = os.path.join(scratch, "in")
+    write_lines(src, "a.txt", LINES)
+    q = tail_directory(spark, src, os.path.join(scratch, "ck"), interval="1 second", timeout_s=6)
+    try:
+        assert q.isActive or q.lastProgress is not None
+    finally:
+        q.stop()
