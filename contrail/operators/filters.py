@@ -7,10 +7,23 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import all_present, any_present, is_cancelled
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import types as T
+
+from contrail.functions.scalars import is_cancelled, present
 from contrail.schemas import CLEAN_COLUMNS
 
 
+def has_value(df: DataFrame, name: str) -> Column:
+    """Presence test for a column of ``df``: strings must also be non-empty;
+    other types only non-null (no per-row conversion to text)."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return present(name)
+    return F.col(name).isNotNull()
+
+
 def min_fields(df: DataFrame, n: int, layout: list[str] = CLEAN_COLUMNS) -> DataFrame:
     """Keep rows that would have at least ``n`` fields after trailing empty
     fields are cut from their delimited line: some field at position >= n-1
@@ -18,12 +31,14 @@ def min_fields(df: DataFrame, n: int, layout: list[str] = CLEAN_COLUMNS) -> Data
     tail = layout[n - 1:]
     if not tail:
         return df
-    return df.filter(any_present(*tail))
+    return df.filter(reduce(lambda a, b: a | b, [has_value(df, c) for c in tail]))
 
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
-    """Keep rows whose given fields are all non-null and non-empty."""
-    return df.filter(all_present(*cols)) if cols else df
+    """Keep rows whose given fields are all non-null (and non-empty text)."""
+    if not cols:
+        return df
+    return df.filter(reduce(lambda a, b: a & b, [has_value(df, c) for c in cols]))
 
 
 def exclude_cancelled(df: DataFrame, flag_col: str = "cancelled") -> DataFrame:
