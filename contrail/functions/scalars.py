@@ -66,12 +66,10 @@ def named_value(name: str | Column, value: str | Column) -> Column:
 def fields_after_trailing_cut(line: str | Column, sep: str = "|") -> Column:
     """Number of fields in a delimited line once trailing empty fields are cut
     (what a split that drops trailing empties returns: ``""`` gives 1 field,
-    ``"|||"`` gives 0)."""
-    parts = F.split(col(line), "\\" + sep)
-    # 1-based position, counted from the end, of the last non-empty field (0: none)
-    last = F.array_position(F.reverse(F.transform(parts, lambda x: x != F.lit(""))), True)
+    ``"|||"`` gives 0). Built from codegen'd string functions only."""
+    trimmed = F.rtrim(col(line), F.lit(sep))
     return (
-        F.when(last > 0, F.size(parts) - last + 1)
+        F.when(trimmed != F.lit(""), F.size(F.split(trimmed, "\\" + sep)))
         .when(col(line) == F.lit(""), F.lit(1))
         .otherwise(F.lit(0))
         .cast("int")
