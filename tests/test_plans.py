@@ -62,3 +62,16 @@ def test_scan_reads_only_needed_columns(spark):
 def test_request_table_is_broadcast_into_semi_join(spark):
     p = plan(catalog.leg_flight_min_delay(spark, SF_SMALL))
     assert "LeftSemi" in p and "BroadcastHashJoin" in p
+
+
+def test_unused_unique_lookup_joins_are_removed(spark):
+    from contrail.operators.clean import enrich
+    from contrail.schemas import CLEAN_COLUMNS
+    from contrail.sources.tables import airline_lookup_from_tables, airport_lookup_from_tables, flights_from_tables
+
+    flights = flights_from_tables(spark, SF_SMALL)
+    lookups = (airport_lookup_from_tables(spark, SF_SMALL), airline_lookup_from_tables(spark, SF_SMALL))
+    with_names = plan(enrich(flights, *lookups))
+    without = plan(enrich(flights, *lookups).select(*CLEAN_COLUMNS))
+    assert "LeftOuter" in with_names
+    assert "LeftOuter" not in without  # lookups unique by code: the joins add nothing and are dropped
