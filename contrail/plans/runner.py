@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import questions as Q
+from contrail.session import input_bytes, size_for_input
 from contrail.sinks.files import write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup
 from contrail.sources.tables import flights_from_tables, itineraries_from_tables
@@ -68,6 +69,8 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("contrail").getOrCreate()
+    source = [args.input] if args.input else [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
+    size_for_input(spark, input_bytes(spark, *source))
     itineraries = None
     if args.tables:
         flights = flights_from_tables(spark, args.tables)

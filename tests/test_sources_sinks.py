@@ -138,3 +138,16 @@ def test_collect_small_refuses_large(spark):
     assert len(collect_small(spark.range(5), 10)) == 5
     with pytest.raises(ValueError):
         collect_small(spark.range(11), 10)
+
+
+def test_size_for_input(spark):
+    from contrail.session import PARTITION_BYTES, input_bytes, size_for_input
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, "/root/testdata/sf0.001/lineitem.parquet") > 0
+        assert size_for_input(spark, 1000 * PARTITION_BYTES) == 1000
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1000"
+        assert size_for_input(spark, 10) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
