@@ -67,8 +67,10 @@ def best_flight_per_leg(cand: DataFrame) -> DataFrame:
     """One flight per (origin, dest, flight_date): smallest arrival delay,
     then earliest departure time, then smallest ``carrier-flight``.
 
-    ``min`` of a struct is a partial aggregate, so even a leg holding a third
-    of all rows is reduced before the shuffle, never sorted in one task.
+    ``min`` of a struct is a partial aggregate (sort-based, as struct minima
+    are not hash-aggregable, so it spills rather than failing): even a leg
+    holding a third of all rows reaches the shuffle as one row per task, and
+    no task ever holds a whole hot group.
     """
     best = F.min(F.struct(F.col("arr_delay"), F.col("dep_time"), flight_label().alias("airline")))
     return cand.groupBy("origin", "dest", "flight_date").agg(best.alias("best")).select(

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import round_half_up
+from contrail.functions.scalars import named_value, round_half_up
 from contrail.operators.aggregates import endpoint_counts, mean_by
 from contrail.operators.filters import exclude_cancelled, min_fields, require
 from contrail.operators.joins import bounded_broadcast, unique_by_key
@@ -150,6 +150,26 @@ def route_serving_upsert(flights: DataFrame, split_date: str) -> DataFrame:
     return upsert(first, second, ["origin", "dest"])
 
 
+def key_value_lines(qid: str, answer: DataFrame) -> DataFrame:
+    """An answer as ``(key, value)`` text, the layout of the stored outputs:
+    ``airport -> flights``, ``airline -> delay``, ``origin -> name(delay) ...``,
+    ``origin-dest -> delay``, ``origin/dest/date/time -> airline(delay)``."""
+    s = lambda c: F.col(c).cast("string")
+    if qid in ("1-1", "3-1"):
+        return answer.select(s("airport").alias("key"), s("flights").alias("value"))
+    if qid.startswith("1-2"):
+        return answer.select(s("airline").alias("key"), s("delay").alias("value"))
+    if qid in ("2-1", "2-2", "2-2-worst"):
+        name = "carrier" if qid == "2-1" else "dest"
+        return ranked_text(answer, ["origin"], "rank", name, "delay", alias="value").withColumnRenamed("origin", "key")
+    if qid == "2-4":
+        return answer.select(F.concat_ws("-", "origin", "dest").alias("key"), s("delay").alias("value"))
+    if qid == "3-2":
+        key = F.concat_ws("/", "origin", "dest", F.date_format("flight_date", "yyyy-MM-dd"), "dep_time")
+        return answer.select(key.alias("key"), named_value("airline", "delay").alias("value"))
+    raise ValueError(f"no text layout for {qid}")
+
+
 QUESTIONS = {
     "1-1": popular_airports,
     "1-2": ontime_carriers,

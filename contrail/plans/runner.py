@@ -101,8 +101,7 @@ def main(argv: list[str] | None = None) -> None:
                 elif args.write_as == "csv":
                     write_delimited(out, path, sep="|")
                 else:
-                    key, value = out.columns[0], out.columns[-1]
-                    write_key_value(out, key, value, path)
+                    write_key_value(Q.key_value_lines(qid, out), "key", "value", path)
     finally:
         if shared:
             flights.unpersist()

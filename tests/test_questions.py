@@ -130,3 +130,12 @@ def test_reports_text(edge):
     assert rep["SFO"] == "UA(-0.37)"  # (-1 + 0.75 + 1 - 2.25) / 4 = -0.375
     sub = {r.origin: r.destinations for r in Q.airport_subset_report(edge, ["DEN"]).collect()}
     assert list(sub) == ["SFO"]
+
+
+def test_key_value_lines(edge):
+    kv = {r.key: r.value for r in Q.key_value_lines("2-4", Q.route_mean_arrival(edge)).collect()}
+    assert kv == {"SFO-DEN": "-0.12"}
+    kv = {r.key: r.value for r in Q.key_value_lines("2-1", Q.origin_carrier_best(edge)).collect()}
+    assert kv["SFO"] == "UA(-0.37)"
+    kv = {r.key: r.value for r in Q.key_value_lines("1-1", Q.popular_airports(edge)).collect()}
+    assert kv["SFO"] == "4"
