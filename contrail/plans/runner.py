@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import questions as Q
+from contrail.plans.etl import store_flights
 from contrail.session import input_bytes, size_for_input
 from contrail.sinks.files import write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup
@@ -56,7 +57,8 @@ IDS = ["1-1", "1-2", "1-2-named", "2-1", "2-2", "2-2-worst", "2-4", "3-1", "3-2"
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="contrail")
-    ap.add_argument("questions", nargs="+", choices=IDS)
+    ap.add_argument("questions", nargs="*", choices=IDS)
+    ap.add_argument("--store", help="write the clean flights table here (year directories) and exit")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="clean flights (pipe-delimited unless --format parquet)")
     src.add_argument("--tables", help="directory of the driver tables")
@@ -70,15 +72,20 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("contrail").getOrCreate()
     source = [args.input] if args.input else [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
-    size_for_input(spark, input_bytes(spark, *source))
+    n_shuffle = size_for_input(spark, input_bytes(spark, *source))
     itineraries = None
     if args.tables:
         flights = flights_from_tables(spark, args.tables)
         itineraries = itineraries_from_tables(spark, args.tables)
     elif args.format == "parquet":
-        flights = spark.read.parquet(args.input)
+        flights = spark.read.parquet(args.input).drop("year")
     else:
         flights = read_clean_flights(spark, args.input)
+    if args.store:
+        store_flights(flights, args.store, n_shuffle)
+        return
+    if not args.questions:
+        raise SystemExit("no question given")
     airlines = None
     if args.airlines:
         from contrail.operators.clean import clean_lookup

@@ -151,3 +151,16 @@ def test_size_for_input(spark):
         assert size_for_input(spark, 10) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_store_flights_round_trip(spark, scratch):
+    from contrail.plans.etl import read_stored_flights, store_flights
+    from contrail.sources.tables import flights_from_tables
+
+    flights = flights_from_tables(spark, "/root/testdata/sf0.001")
+    path = os.path.join(scratch, "stored")
+    store_flights(flights, path, 4)
+    assert any(d.startswith("year=") for d in os.listdir(path))
+    back = read_stored_flights(spark, path)
+    assert back.columns == flights.columns
+    assert back.exceptAll(flights).count() == 0 and flights.exceptAll(back).count() == 0
