@@ -22,7 +22,8 @@ from contrail.plans.etl import store_flights
 from contrail.session import input_bytes, size_for_input
 from contrail.sinks.files import write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup
-from contrail.sources.tables import flights_from_tables, itineraries_from_tables
+from contrail.schemas import ITINERARY
+from contrail.sources.tables import flights_from_tables, itineraries_from_codes, itineraries_from_tables
 
 
 def answer(qid: str, flights: DataFrame, n: int | None, itineraries: DataFrame | None, airlines: DataFrame | None) -> DataFrame:
@@ -64,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--tables", help="directory of the driver tables")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet"])
     ap.add_argument("--airlines", help="airline lookup CSV for 1-2-named")
+    ap.add_argument("--itineraries", help="CSV x,y,z,first_date with header for 3-2 (default: the fixed on-time list)")
     ap.add_argument("--n", type=int, default=Q.TOP, help="list length (0 = no limit for 1-1 and 1-2)")
     ap.add_argument("--output", help="directory for the answers")
     ap.add_argument("--write-as", default="parquet", choices=["parquet", "csv", "text"])
@@ -81,6 +83,11 @@ def main(argv: list[str] | None = None) -> None:
         flights = spark.read.parquet(args.input).drop("year")
     else:
         flights = read_clean_flights(spark, args.input)
+    if itineraries is None:
+        if args.itineraries:
+            itineraries = spark.read.schema(ITINERARY).option("header", True).csv(args.itineraries)
+        else:
+            itineraries = itineraries_from_codes(spark)
     if args.store:
         store_flights(flights, args.store, n_shuffle)
         return

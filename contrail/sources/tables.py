@@ -182,6 +182,24 @@ ITINERARY_KEYS = [
 ]
 SECOND_LEG_DAYS = 2
 
+# The two-leg itineraries asked for on the on-time data
+# (x, y, z airport codes, first-leg date).
+ON_TIME_ITINERARIES = [
+    ("CMI", "ORD", "LAX", "2008-03-04"),
+    ("JAX", "DFW", "CRP", "2008-09-09"),
+    ("SLC", "BFL", "LAX", "2008-04-01"),
+    ("DFW", "ORD", "DFW", "2008-06-10"),
+    ("BOS", "ATL", "LAX", "2008-04-03"),
+    ("PHX", "JFK", "MSP", "2008-09-07"),
+    ("DFW", "STL", "ORD", "2008-01-24"),
+    ("LAX", "MIA", "LAX", "2008-05-16"),
+]
+
+
+def itineraries_from_codes(spark: SparkSession, rows: list[tuple[str, str, str, str]] = ON_TIME_ITINERARIES) -> DataFrame:
+    """Itineraries ``(x, y, z, first_date)`` given as airport codes."""
+    return literal_table(spark, [(x, y, z, dt.date.fromisoformat(d)) for x, y, z, d in rows], ["x", "y", "z", "first_date"])
+
 
 def itineraries_from_tables(
     spark: SparkSession, sf_dir: str, keys: list[tuple[int, int, int, str]] = ITINERARY_KEYS

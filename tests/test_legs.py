@@ -69,3 +69,12 @@ def test_best_connection_left_outer(spark):
             assert r.second_arr_delay_minutes == 0.0 and r.second_arr_del15 == 0.0
     lax = with_best_connection(flights(spark)).filter(F.col("first_dest") == "LAX").collect()
     assert all(r.second_origin is None for r in lax)
+
+
+def test_on_time_itineraries(spark):
+    from contrail.sources.tables import itineraries_from_codes
+
+    rows = itineraries_from_codes(spark).collect()
+    assert len(rows) == 8 and (rows[0].x, rows[0].y, rows[0].z, rows[0].first_date) == ("CMI", "ORD", "LAX", D1)
+    legs = flight_min_delay(flights(spark), itineraries_from_codes(spark)).count()
+    assert legs == 5  # the CMI -> ORD -> LAX trip of 2008-03-04 is in the list
