@@ -183,3 +183,23 @@ def test_quoted_empty_field_is_missing(spark, scratch):
     assert not r.origin  # empty or null after the quote-aware read
     df = read_clean_flights(spark, scratch)
     assert Q.airport_traffic(df).count() == 0 and Q.route_mean_arrival(df).count() == 0
+
+
+def test_keyed_table_ignores_incomplete_version(spark, scratch):
+    base = os.path.join(scratch, "serving")
+    t = KeyedTable(spark, base, ["k"])
+    t.upsert(spark.createDataFrame([("A", 1)], "k string, v int"))
+    # a job lost half-way: data files in place, no _SUCCESS marker
+    import shutil
+
+    side = os.path.join(scratch, "side")
+    spark.createDataFrame([("A", 99)], "k string, v int").write.parquet(side)
+    os.makedirs(os.path.join(base, "v=1"))
+    for f in os.listdir(side):
+        if f.startswith("part-"):
+            shutil.copy(os.path.join(side, f), os.path.join(base, "v=1", f))
+    assert t.versions() == [0]
+    assert [tuple(r) for r in t.current().collect()] == [("A", 1)]
+    # the rerun writes a fresh version on top of the last complete one
+    assert t.upsert(spark.createDataFrame([("B", 2)], "k string, v int"), version=2) == 2
+    assert sorted(tuple(r) for r in t.current().collect()) == [("A", 1), ("B", 2)]
