@@ -45,14 +45,17 @@ def enrich(
     airports: DataFrame,
     airlines: DataFrame,
     max_lookup_rows: int = 1_000_000,
+    lookups_unique: bool = False,
 ) -> DataFrame:
     """Left-join airport names for both ends and the airline name.
 
-    Lookups are made unique by code first, so every flight keeps exactly one
-    row; they are broadcast when their size is proven small.
+    Lookups are made unique by code first (skipped when ``lookups_unique``,
+    e.g. for the output of :func:`clean_lookup`), so every flight keeps
+    exactly one row; they are broadcast when their size is proven small.
     """
-    ap = bounded_broadcast(unique_by_key(airports), max_lookup_rows)
-    al = bounded_broadcast(unique_by_key(airlines), max_lookup_rows)
+    unique = (lambda df: df) if lookups_unique else unique_by_key
+    ap = bounded_broadcast(unique(airports), max_lookup_rows)
+    al = bounded_broadcast(unique(airlines), max_lookup_rows)
     o = ap.select(F.col("code").alias("_o_code"), F.col("description").alias("origin_name"))
     d = ap.select(F.col("code").alias("_d_code"), F.col("description").alias("dest_name"))
     a = al.select(F.col("code").alias("_a_code"), F.col("description").alias("airline_name"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import delay_minutes, delayed_15, round_half_up, unquote
 from contrail.operators.filters import min_fields, require
-from contrail.operators.joins import restrict_to
+from contrail.operators.joins import bounded_broadcast, restrict_to
 from contrail.schemas import LEG_COLUMNS
 
 
@@ -85,27 +85,35 @@ def best_flight_per_leg(cand: DataFrame) -> DataFrame:
 
 def best_two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """For each requested ``x -> y -> z`` trip, the best flight on each leg
-    (second leg ``days`` after the first) and the total arrival delay."""
+    (second leg ``days`` after the first) and the total arrival delay.
+
+    Each trip becomes two tagged leg rows that meet the per-leg best flights
+    in one join (the best flights are computed once), and are folded back
+    into one row per trip; trips missing a leg drop out.
+    """
     cand = requested_leg_flights(flights, itineraries, days, itinerary_rows)
     best = best_flight_per_leg(cand)
-    b1 = best.select(
-        F.col("origin").alias("x"), F.col("dest").alias("y"), F.col("flight_date").alias("first_date"),
-        F.col("airline").alias("first_airline"), F.col("dep_time").alias("first_dep_time"),
-        F.col("delay").alias("_d1"),
-    )
-    b2 = best.select(
-        F.col("origin").alias("y"), F.col("dest").alias("z"), F.col("flight_date").alias("second_date"),
-        F.col("airline").alias("second_airline"), F.col("dep_time").alias("second_dep_time"),
-        F.col("delay").alias("_d2"),
-    )
-    trips = itineraries.withColumn("second_date", F.date_add(F.col("first_date"), days))
-    out = trips.join(b1, ["x", "y", "first_date"], "inner").join(b2, ["y", "z", "second_date"], "inner")
-    return out.select(
-        "x", "y", "z", "first_date", "first_airline", "first_dep_time",
-        round_half_up("_d1").alias("first_delay"),
-        "second_date", "second_airline", "second_dep_time",
-        round_half_up("_d2").alias("second_delay"),
-        round_half_up(F.col("_d1") + F.col("_d2")).alias("total_delay"),
+    trip = ["x", "y", "z", "first_date"]
+    tagged = itineraries.select(
+        *trip, F.lit(1).alias("_leg"), F.col("x").alias("origin"), F.col("y").alias("dest"),
+        F.col("first_date").alias("flight_date"),
+    ).unionByName(itineraries.select(
+        *trip, F.lit(2).alias("_leg"), F.col("y").alias("origin"), F.col("z").alias("dest"),
+        F.date_add(F.col("first_date"), days).alias("flight_date"),
+    ))
+    known = 2 * itinerary_rows if itinerary_rows is not None else None
+    met = best.join(bounded_broadcast(tagged, known_rows=known), ["origin", "dest", "flight_date"], "inner")
+    leg = lambda i: F.max(F.when(F.col("_leg") == i, F.struct("airline", "dep_time", "delay")))
+    folded = met.groupBy(*trip).agg(leg(1).alias("l1"), leg(2).alias("l2"))
+    folded = folded.filter(F.col("l1").isNotNull() & F.col("l2").isNotNull())
+    return folded.select(
+        *trip,
+        F.col("l1.airline").alias("first_airline"), F.col("l1.dep_time").alias("first_dep_time"),
+        round_half_up("l1.delay").alias("first_delay"),
+        F.date_add(F.col("first_date"), days).alias("second_date"),
+        F.col("l2.airline").alias("second_airline"), F.col("l2.dep_time").alias("second_dep_time"),
+        round_half_up("l2.delay").alias("second_delay"),
+        round_half_up(F.col("l1.delay") + F.col("l2.delay")).alias("total_delay"),
     )
 
 

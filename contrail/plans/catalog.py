@@ -22,11 +22,11 @@ from contrail.session import scratch_path
 from contrail.sinks.files import write_delimited
 from contrail.sources.files import read_clean_flights, read_lookup, read_raw_flights
 from contrail.sources.tables import (
-    ITINERARY_KEYS,
+    TABLE_ITINERARIES,
     airline_lookup_from_tables,
     airport_lookup_from_tables,
     flights_from_tables,
-    itineraries_from_tables,
+    itineraries_from_codes,
     raw_rows_from_flights,
     read_table,
 )
@@ -57,7 +57,7 @@ def _lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def flights_clean(spark, sf_dir):
     airports, airlines = _lookups(spark, sf_dir)
-    return enrich(_flights(spark, sf_dir), airports, airlines)
+    return enrich(_flights(spark, sf_dir), airports, airlines, lookups_unique=True)
 
 
 def flights_parsed(spark, sf_dir):
@@ -86,7 +86,7 @@ def carriers_ontime_top10(spark, sf_dir):
 
 def airlines_named_ontime_top10(spark, sf_dir):
     _, airlines = _lookups(spark, sf_dir)
-    return Q.ontime_airlines_named(_flights(spark, sf_dir, ["airline_id", "arr_delay"]), airlines)
+    return Q.ontime_airlines_named(_flights(spark, sf_dir, ["airline_id", "arr_delay"]), airlines, airlines_unique=True)
 
 
 def origin_carrier_best10(spark, sf_dir):
@@ -106,8 +106,8 @@ def route_mean_arrival(spark, sf_dir):
 
 
 def _itineraries(spark, sf_dir) -> tuple[DataFrame, int]:
-    # One row per requested itinerary (nation keys are unique), so the size is known.
-    return itineraries_from_tables(spark, sf_dir, ITINERARY_KEYS), len(ITINERARY_KEYS)
+    # The request is a literal table, so its size is known.
+    return itineraries_from_codes(spark, TABLE_ITINERARIES), len(TABLE_ITINERARIES)
 
 
 def _leg_flights(spark, sf_dir, itin: DataFrame, n: int) -> DataFrame:
@@ -162,6 +162,7 @@ def etl_roundtrip(spark, sf_dir):
         clean,
         clean_lookup(read_lookup(spark, f"{base}/airports")),
         clean_lookup(read_lookup(spark, f"{base}/airlines")),
+        lookups_unique=True,
     )
     write_delimited(enriched.select(*CLEAN_COLUMNS), f"{base}/clean")
     return read_clean_flights(spark, f"{base}/clean")

@@ -5,7 +5,7 @@ DataFrame code, so the two can check each other."""
 from __future__ import annotations
 
 from contrail.plans.catalog import REPORT_AIRPORTS, UPSERT_SPLIT_DATE
-from contrail.sources.tables import ITINERARY_KEYS, SECOND_LEG_DAYS
+from contrail.sources.tables import SECOND_LEG_DAYS, TABLE_ITINERARIES
 
 _RF = "(l.l_returnflag = 'R' AND l.l_linestatus = 'F')"
 _ODD = f"({_RF} AND l.l_linenumber % 2 = 1)"
@@ -61,13 +61,9 @@ def _short(x: str) -> str:
 NINE = f"({_p('arr_delay')} OR {_p('dep_time')})"
 EIGHT = f"({_p('dep_delay')} OR {NINE})"
 
-_ITIN_VALUES = ", ".join(f"({x}, {y}, {z}, DATE '{d}')" for x, y, z, d in ITINERARY_KEYS)
+_ITIN_VALUES = ", ".join(f"('{x}', '{y}', '{z}', DATE '{d}')" for x, y, z, d in TABLE_ITINERARIES)
 ITINERARIES = f"""itin AS (
-  SELECT nx.n_name AS x, ny.n_name AS y, nz.n_name AS z, v.d AS first_date
-  FROM (VALUES {_ITIN_VALUES}) AS v(xk, yk, zk, d)
-  JOIN nation nx ON nx.n_nationkey = v.xk
-  JOIN nation ny ON ny.n_nationkey = v.yk
-  JOIN nation nz ON nz.n_nationkey = v.zk
+  SELECT * FROM (VALUES {_ITIN_VALUES}) AS v(x, y, z, first_date)
 ),
 legs AS (
   SELECT x AS origin, y AS dest, first_date AS flight_date FROM itin

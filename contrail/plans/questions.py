@@ -61,9 +61,12 @@ def ontime_carriers(flights: DataFrame, n: int | None = TOP) -> DataFrame:
     return top_n(means, [("delay", True), ("airline", True)], n)
 
 
-def ontime_airlines_named(flights: DataFrame, airlines: DataFrame, n: int | None = TOP) -> DataFrame:
+def ontime_airlines_named(
+    flights: DataFrame, airlines: DataFrame, n: int | None = TOP, airlines_unique: bool = False
+) -> DataFrame:
     """1-2, named form: key ``name(id)`` from the airline lookup, unrounded mean."""
-    names = bounded_broadcast(unique_by_key(airlines)).select(
+    lookup = airlines if airlines_unique else unique_by_key(airlines)
+    names = bounded_broadcast(lookup).select(
         F.col("code").alias("_code"), F.col("description").alias("_name")
     )
     f = require(flights.filter(F.col("airline_id").isNotNull()), "arr_delay")

@@ -149,15 +149,11 @@ def flights_from_tables(
 
 
 def airline_lookup_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airline lookup ``(code, description)``: one row per airline id, its brand."""
+    """Airline lookup ``(code, description)``: the distinct (airline id, brand) pairs."""
     part = read_table(spark, sf_dir, "part").select("p_brand")
-    return (
-        part.select(
-            F.substring("p_brand", 7, 100).alias("code"), F.col("p_brand").alias("description")
-        )
-        .groupBy("code")
-        .agg(F.min("description").alias("description"))
-    )
+    return part.select(
+        F.substring("p_brand", 7, 100).alias("code"), F.col("p_brand").alias("description")
+    ).distinct()
 
 
 def airport_lookup_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +165,8 @@ def airport_lookup_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Requested two-leg itineraries (x, y, z as nation keys, first-leg date);
-# the second leg flies two days after the first.
+# Requested two-leg itineraries on the driver tables (x, y, z as
+# nation keys, first-leg date); the second leg flies two days after the first.
 ITINERARY_KEYS = [
     (11, 13, 18, "1999-07-12"),
     (11, 9, 3, "1999-05-25"),
@@ -180,6 +176,16 @@ ITINERARY_KEYS = [
     (15, 11, 16, "2000-11-13"),
     (15, 18, 24, "1997-04-29"),
 ]
+# The same itineraries by airport (nation) name.
+TABLE_ITINERARIES = [
+    ("NATION_11", "NATION_13", "NATION_18", "1999-07-12"),
+    ("NATION_11", "NATION_9", "NATION_3", "1999-05-25"),
+    ("NATION_11", "NATION_9", "NATION_6", "1999-05-25"),
+    ("NATION_13", "NATION_18", "NATION_16", "2000-06-15"),
+    ("NATION_14", "NATION_5", "NATION_23", "1997-04-24"),
+    ("NATION_15", "NATION_11", "NATION_16", "2000-11-13"),
+    ("NATION_15", "NATION_18", "NATION_24", "1997-04-29"),
+]
 SECOND_LEG_DAYS = 2
 
 # The two-leg itineraries asked for on the on-time data
