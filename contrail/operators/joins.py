@@ -39,3 +39,30 @@ def restrict_to(
     join). ``allowed`` is a request table, broadcast when its size is proven
     small, so the large side is filtered where it is read, without a shuffle."""
     return df.join(bounded_broadcast(allowed, max_rows, known_rows), on, "left_semi")
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: list,
+    right_keys: list[str],
+    how: str = "left",
+    buckets: int = 8,
+) -> DataFrame:
+    """Equi-join where one key of ``left`` may hold a large share of its rows.
+
+    Each left row gets a salt from a hash of its content (deterministic, so a
+    retried task sends every row to the same place), and each right row is
+    repeated once per salt value. A hot key is then split over ``buckets``
+    tasks; ``right`` grows ``buckets`` times, so it should be the per-key side
+    (one row per key). ``left_keys`` are columns or expressions matched in
+    order to ``right_keys``.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))
+    salted_left = left.withColumn("_salt", salt)
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    cond = salted_left["_salt"] == salted_right["_salt"]
+    for lk, rk in zip(left_keys, right_keys):
+        lcol = salted_left[lk] if isinstance(lk, str) else lk
+        cond = cond & (lcol == salted_right[rk])
+    return salted_left.join(salted_right, cond, how).drop(salted_left["_salt"]).drop(salted_right["_salt"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import delay_minutes, delayed_15, round_half_up, unquote
 from contrail.operators.filters import min_fields, require
-from contrail.operators.joins import bounded_broadcast, restrict_to
+from contrail.operators.joins import bounded_broadcast, restrict_to, salted_join
 from contrail.schemas import LEG_COLUMNS
 
 
@@ -129,12 +129,13 @@ def as_legs(flights: DataFrame) -> DataFrame:
     )
 
 
-def with_best_connection(flights: DataFrame, days: int = 2) -> DataFrame:
+def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int = 8) -> DataFrame:
     """Every flight (first leg) with the best onward flight (second leg) that
     leaves its destination ``days`` later, or nulls when there is none.
 
     Second legs are reduced to one per (origin, date) before the left outer
-    join, so each first leg meets at most one partner.
+    join, so each first leg meets at most one partner. The join is salted
+    over ``salt_buckets`` (1 = plain join, left to AQE's skew handling).
     """
     legs = as_legs(flights)
     order = ["arr_delay", "dep_delay", "dest", "carrier", "airline_id"]
@@ -152,7 +153,15 @@ def with_best_connection(flights: DataFrame, days: int = 2) -> DataFrame:
     )
     first = legs.select(*[F.col(c).alias(f"first_{c}") for c in LEG_COLUMNS])
     second = second.select(*[F.col(c).alias(f"second_{c}") for c in LEG_COLUMNS])
-    cond = (F.col("first_dest") == F.col("second_origin")) & (
-        F.col("second_flight_date") == F.date_add(F.col("first_flight_date"), days)
+    if salt_buckets <= 1:
+        cond = (F.col("first_dest") == F.col("second_origin")) & (
+            F.col("second_flight_date") == F.date_add(F.col("first_flight_date"), days)
+        )
+        return first.join(second, cond, "left")
+    # a hub's day may hold a large share of all first legs: salt that side
+    return salted_join(
+        first, second,
+        ["first_dest", F.date_add(F.col("first_flight_date"), days)],
+        ["second_origin", "second_flight_date"],
+        "left", salt_buckets,
     )
-    return first.join(second, cond, "left")

@@ -78,3 +78,21 @@ def test_on_time_itineraries(spark):
     assert len(rows) == 8 and (rows[0].x, rows[0].y, rows[0].z, rows[0].first_date) == ("CMI", "ORD", "LAX", D1)
     legs = flight_min_delay(flights(spark), itineraries_from_codes(spark)).count()
     assert legs == 5  # the CMI -> ORD -> LAX trip of 2008-03-04 is in the list
+
+
+def test_salted_join_equals_plain_join(spark):
+    plain = with_best_connection(flights(spark), salt_buckets=1)
+    salted = with_best_connection(flights(spark), salt_buckets=8)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from contrail.operators.joins import salted_join
+
+    left = spark.range(4000).selectExpr("'HUB' AS k", "id")
+    right = spark.createDataFrame([("HUB", 1)], "k2 string, v int")
+    out = salted_join(left, right, ["k"], ["k2"], "left", buckets=8)
+    assert out.count() == 4000 and out.filter("v IS NULL").count() == 0
+    per_salt = left.selectExpr("pmod(xxhash64(k, id), 8) AS s").groupBy("s").count().collect()
+    assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 4000 / 4
