@@ -125,27 +125,27 @@ def flights_from_tables(
         )
         base = base.join(order_dest, base.l_orderkey == order_dest.o_orderkey, "inner")
 
-    returned_final = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    odd_returned = returned_final & (F.col("l_linenumber") % 2 == 1)
-    expr = {
-        "flight_date": F.col("l_shipdate").cast("date"),
-        "airline_id": F.substring("p_brand", 7, 100).cast("int"),
-        "carrier": F.col("p_brand"),
-        "flight_num": F.col("l_linenumber").cast("string"),
-        "cancelled": F.when(returned_final, F.lit("1.00")).otherwise(F.lit("0.00")),
-        "origin": F.col("origin_name"),
-        "dest": F.col("dest_name"),
-        "dep_delay": F.when(odd_returned, F.lit(None).cast("double")).otherwise(
+    returned_final = lambda: (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    odd_returned = lambda: returned_final() & (F.col("l_linenumber") % 2 == 1)
+    expr = {  # built only for the requested columns
+        "flight_date": lambda: F.col("l_shipdate").cast("date"),
+        "airline_id": lambda: F.substring("p_brand", 7, 100).cast("int"),
+        "carrier": lambda: F.col("p_brand"),
+        "flight_num": lambda: F.col("l_linenumber").cast("string"),
+        "cancelled": lambda: F.when(returned_final(), F.lit("1.00")).otherwise(F.lit("0.00")),
+        "origin": lambda: F.col("origin_name"),
+        "dest": lambda: F.col("dest_name"),
+        "dep_delay": lambda: F.when(odd_returned(), F.lit(None).cast("double")).otherwise(
             (F.col("l_quantity") - 25).cast("double")
         ),
-        "arr_delay": F.when(returned_final, F.lit(None).cast("double")).otherwise(
+        "arr_delay": lambda: F.when(returned_final(), F.lit(None).cast("double")).otherwise(
             (F.col("l_quantity") - 29 + F.col("l_linenumber")).cast("double")
         ),
-        "dep_time": F.when(odd_returned, F.lit(None).cast("string")).otherwise(
+        "dep_time": lambda: F.when(odd_returned(), F.lit(None).cast("string")).otherwise(
             F.lpad(((F.col("l_partkey") % 24) * 100 + F.col("l_suppkey") % 60).cast("string"), 4, "0")
         ),
     }
-    return base.select(*[expr[c].alias(c) for c in cols])
+    return base.select(*[expr[c]().alias(c) for c in cols])
 
 
 def airline_lookup_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
