@@ -129,35 +129,40 @@ def as_legs(flights: DataFrame) -> DataFrame:
     )
 
 
-def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int = 8) -> DataFrame:
-    """Every flight (first leg) with the best onward flight (second leg) that
-    leaves its destination ``days`` later, or nulls when there is none.
-
-    Second legs are reduced to one per (origin, date) before the left outer
-    join, so each first leg meets at most one partner. The join is salted
-    over ``salt_buckets`` (1 = plain join, left to AQE's skew handling).
-    """
+def best_second_legs(flights: DataFrame) -> DataFrame:
+    """The best flight (smallest arrival delay, then departure delay, dest,
+    carrier, airline id) leaving each airport on each day, as leg columns:
+    one row per (origin, flight_date)."""
     legs = as_legs(flights)
     order = ["arr_delay", "dep_delay", "dest", "carrier", "airline_id"]
-    # Flights without an arrival delay give a null candidate, which min skips; no
-    # filter here keeps both sides of the self join identical below their
-    # exchanges, so Spark shuffles the flights once and reuses that exchange.
+    # Flights without an arrival delay give a null candidate, which min skips.
     candidate = F.when(F.col("arr_delay").isNotNull(), F.struct(*[F.col(c) for c in order]))
     best = legs.groupBy("origin", "flight_date").agg(F.min(candidate).alias("b")).filter(F.col("b").isNotNull())
-    second = as_legs(
+    return as_legs(
         best.select(
             F.col("flight_date"), F.col("b.airline_id").alias("airline_id"), F.col("b.carrier").alias("carrier"),
             F.col("origin"), F.col("b.dest").alias("dest"), F.col("b.dep_delay").alias("dep_delay"),
             F.col("b.arr_delay").alias("arr_delay"),
         )
     )
-    first = legs.select(*[F.col(c).alias(f"first_{c}") for c in LEG_COLUMNS])
-    second = second.select(*[F.col(c).alias(f"second_{c}") for c in LEG_COLUMNS])
-    if salt_buckets <= 1:
+
+
+def connect_legs(
+    flights: DataFrame, second_legs: DataFrame, days: int = 2, salt_buckets: int = 8, broadcast_second: bool = False
+) -> DataFrame:
+    """Left-join every flight (first leg) to the one second leg leaving its
+    destination ``days`` later, with ``first_``/``second_`` column prefixes.
+
+    ``broadcast_second`` (the caller has proven the second side small) makes
+    it a broadcast join: the flights are not shuffled at all. Otherwise the
+    join is salted over ``salt_buckets`` (1 = plain join, left to AQE)."""
+    first = as_legs(flights).select(*[F.col(c).alias(f"first_{c}") for c in LEG_COLUMNS])
+    second = second_legs.select(*[F.col(c).alias(f"second_{c}") for c in LEG_COLUMNS])
+    if broadcast_second or salt_buckets <= 1:
         cond = (F.col("first_dest") == F.col("second_origin")) & (
             F.col("second_flight_date") == F.date_add(F.col("first_flight_date"), days)
         )
-        return first.join(second, cond, "left")
+        return first.join(F.broadcast(second) if broadcast_second else second, cond, "left")
     # a hub's day may hold a large share of all first legs: salt that side
     return salted_join(
         first, second,
@@ -165,3 +170,14 @@ def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int =
         ["second_origin", "second_flight_date"],
         "left", salt_buckets,
     )
+
+
+def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int = 8) -> DataFrame:
+    """Every flight (first leg) with the best onward flight (second leg) that
+    leaves its destination ``days`` later, or nulls when there is none.
+
+    Second legs are reduced to one per (origin, date) before the left outer
+    join, so each first leg meets at most one partner. The join is salted
+    over ``salt_buckets`` (1 = plain join, left to AQE's skew handling).
+    """
+    return connect_legs(flights, best_second_legs(flights), days, salt_buckets)

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_lookup, enrich, project_clean
-from contrail.operators.legs import itinerary_legs
+from contrail.operators.joins import BROADCAST_ROW_LIMIT
+from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.operators.upsert import latest_per_key
 from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS
 from contrail.session import scratch_path
-from contrail.sinks.files import write_delimited
+from contrail.sinks.files import materialize, write_delimited
 from contrail.sources.files import read_clean_flights, read_lookup, read_raw_flights
 from contrail.sources.tables import (
     TABLE_ITINERARIES,
@@ -127,8 +128,14 @@ def two_leg_itineraries(spark, sf_dir):
 
 
 def leg_pairs(spark, sf_dir):
+    """Legs file. The second side (one best flight per airport and day) is
+    written to the shared folder and counted from its metadata; within the
+    broadcast bound it is broadcast and the flights are never shuffled,
+    beyond it the join is salted."""
     cols = ["flight_date", "airline_id", "carrier", "origin", "dest", "dep_delay", "arr_delay"]
-    return Q.leg_pairs(_flights(spark, sf_dir, cols))
+    second = materialize(best_second_legs(_flights(spark, sf_dir, cols)), scratch_path(spark, "best-second-legs"))
+    small = second.count() <= BROADCAST_ROW_LIMIT
+    return connect_legs(_flights(spark, sf_dir, cols), second, broadcast_second=small)
 
 
 def origin_carrier_report(spark, sf_dir):

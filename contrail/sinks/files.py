@@ -44,3 +44,11 @@ def collect_small(df: DataFrame, max_rows: int = 10_000) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it instead of collecting it")
     return rows
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` (in the shared checkpoint folder) and read it
+    back: later plans start from the files, so the lineage is cut and a lost
+    executor costs no recomputation of what was written."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
