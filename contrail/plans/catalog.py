@@ -147,7 +147,10 @@ def airport_subset_report(spark, sf_dir):
 
 
 def serving_upsert(spark, sf_dir):
-    return Q.route_serving_upsert(_flights(spark, sf_dir, ["flight_date"] + TRAFFIC_COLS), UPSERT_SPLIT_DATE)
+    """Both loads' route means come from one pass over the flights, written to
+    the shared folder (routes x 2 rows); the upsert then reads that table."""
+    means = Q.route_means_by_load(_flights(spark, sf_dir, ["flight_date"] + TRAFFIC_COLS), UPSERT_SPLIT_DATE)
+    return Q.serving_after_loads(materialize(means, scratch_path(spark, "route-means-by-load")))
 
 
 def etl_roundtrip(spark, sf_dir):

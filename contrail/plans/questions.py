@@ -143,14 +143,28 @@ def airport_subset_report(flights: DataFrame, airports: list[str], k: int = TOP)
     return listed.filter(wanted).select("origin", list_text("entries", "dest", "delay").alias("destinations"))
 
 
+def route_means_by_load(flights: DataFrame, split_date: str) -> DataFrame:
+    """2-4 for two loads in one pass: (load, origin, dest, delay), load 0 for
+    flights before ``split_date`` and 1 for the rest."""
+    cut = F.lit(split_date).cast("date")
+    loads = flights.withColumn("load", F.when(F.col("flight_date") < cut, 0).otherwise(1))
+    f = require(min_fields(loads, 9), "origin", "dest", "arr_delay")
+    return mean_by(f, ["load", "origin", "dest"], "arr_delay", digits=2)
+
+
+def serving_after_loads(means_by_load: DataFrame) -> DataFrame:
+    """The 2-4 serving table after load 0, upserted with load 1 (a route's whole
+    item is replaced)."""
+    first = means_by_load.filter(F.col("load") == 0).drop("load")
+    second = means_by_load.filter(F.col("load") == 1).drop("load")
+    return upsert(first, second, ["origin", "dest"])
+
+
 def route_serving_upsert(flights: DataFrame, split_date: str) -> DataFrame:
     """Serving table of 2-4 after two loads: routes computed from flights
     before ``split_date``, then upserted with routes from the flights on or
-    after it (a route's whole item is replaced)."""
-    cut = F.lit(split_date).cast("date")
-    first = route_mean_arrival(flights.filter(F.col("flight_date") < cut))
-    second = route_mean_arrival(flights.filter(F.col("flight_date") >= cut))
-    return upsert(first, second, ["origin", "dest"])
+    after it."""
+    return serving_after_loads(route_means_by_load(flights, split_date))
 
 
 def key_value_lines(qid: str, answer: DataFrame) -> DataFrame:
