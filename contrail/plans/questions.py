@@ -33,24 +33,28 @@ from contrail.operators.legs import best_two_leg_trips, flight_min_delay, with_b
 from contrail.operators.lists import list_text, ranked_list, ranked_text
 from contrail.operators.rank import best_k, top_n, worst_k
 from contrail.operators.upsert import upsert
+from contrail.schemas import CLEAN_COLUMNS
 
 TOP = 10
 
 
-def airport_traffic(flights: DataFrame) -> DataFrame:
-    """(airport, flights): flights in plus out, over rows with 9+ fields and both ends."""
-    f = require(min_fields(flights, 9), "origin", "dest")
+def airport_traffic(flights: DataFrame, layout: list[str] = CLEAN_COLUMNS, fields: int = 9) -> DataFrame:
+    """(airport, flights): flights in plus out, over rows with ``fields``+
+    fields in ``layout`` (9 in the clean layout) and both ends."""
+    f = require(min_fields(flights, fields, layout), "origin", "dest")
     return endpoint_counts(f, ("origin", "dest"), key="airport", count="flights")
 
 
-def popular_airports(flights: DataFrame, n: int | None = TOP) -> DataFrame:
+def popular_airports(
+    flights: DataFrame, n: int | None = TOP, layout: list[str] = CLEAN_COLUMNS, fields: int = 9
+) -> DataFrame:
     """1-1: the ``n`` busiest airports, by (flights, airport) descending."""
-    return top_n(airport_traffic(flights), [("flights", False), ("airport", False)], n)
+    return top_n(airport_traffic(flights, layout, fields), [("flights", False), ("airport", False)], n)
 
 
-def airports_by_popularity(flights: DataFrame) -> DataFrame:
+def airports_by_popularity(flights: DataFrame, layout: list[str] = CLEAN_COLUMNS, fields: int = 9) -> DataFrame:
     """3-1: every airport, busiest first."""
-    return popular_airports(flights, None)
+    return popular_airports(flights, None, layout, fields)
 
 
 def ontime_carriers(flights: DataFrame, n: int | None = TOP) -> DataFrame:
@@ -104,10 +108,23 @@ def origin_dest_worst(flights: DataFrame, k: int = TOP) -> DataFrame:
     return worst_k(origin_dest_means(flights), ["origin"], "delay", "dest", k)
 
 
-def route_mean_arrival(flights: DataFrame) -> DataFrame:
-    """2-4: (origin, dest, delay) mean arrival delay per route, rounded."""
-    f = require(min_fields(flights, 9), "origin", "dest", "arr_delay")
-    return mean_by(f, ["origin", "dest"], "arr_delay", digits=2)
+def route_mean_arrival(flights: DataFrame, digits: int | None = 2, fields: int = 9) -> DataFrame:
+    """2-4: (origin, dest, delay) mean arrival delay per route, rounded to
+    ``digits`` (``None``: unrounded, as the older jobs print it)."""
+    f = require(min_fields(flights, fields) if fields else flights, "origin", "dest", "arr_delay")
+    return mean_by(f, ["origin", "dest"], "arr_delay", digits=digits)
+
+
+def ontime_airlines_inline(flights: DataFrame, n: int | None = TOP) -> DataFrame:
+    """1-2, named form, on the older layout where each row carries the airline
+    name: key ``name(id)``, unrounded mean, the ``n`` lowest."""
+    f = require(min_fields(flights, len(flights.columns) - 1, flights.columns), "arr_delay")
+    key = F.concat(
+        F.coalesce(F.col("airline_name"), F.lit("")), F.lit("("),
+        F.coalesce(F.col("airline_id").cast("string"), F.lit("")), F.lit(")"),
+    )
+    means = mean_by(f.withColumn("airline", key), ["airline"], "arr_delay")
+    return top_n(means, [("delay", True), ("airline", True)], n)
 
 
 def leg_flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:

@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from contrail.plans import questions as Q
 from contrail.plans.etl import store_flights
 from contrail.session import input_bytes, size_for_input
+from contrail.operators.filters import min_fields
+from contrail.schemas import ITINERARY, OLD_KEPT_COLUMNS
 from contrail.sinks.files import write_delimited, write_key_value, write_table
-from contrail.sources.files import read_clean_flights, read_lookup
-from contrail.schemas import ITINERARY
+from contrail.sources.files import read_clean_flights, read_lookup, read_old_clean_flights
 from contrail.sources.tables import flights_from_tables, itineraries_from_codes, itineraries_from_tables
 
 
@@ -53,6 +54,43 @@ def answer(qid: str, flights: DataFrame, n: int | None, itineraries: DataFrame |
     raise SystemExit(f"unknown question {qid}")
 
 
+OLD_IDS = ("1-1", "3-1", "1-2-named", "2-4")
+
+
+def answer_old_layout(spark: SparkSession, args) -> None:
+    """Questions on the older layout: counts need a field at position 9 or 10
+    (airline id or name), 1-2 takes the airline name from the row, and 2-4
+    prints the unrounded mean. The layout has no departure delay, so 2-1 and
+    2-2 are not answered from it."""
+    flights = read_old_clean_flights(spark, args.input)
+    with_airline = min_fields(flights, 5, OLD_KEPT_COLUMNS)  # field 9 or 10 present
+    n = args.n or None
+    for qid in args.questions:
+        if qid not in OLD_IDS:
+            raise SystemExit(f"{qid} cannot be answered from the older layout")
+        if qid in ("1-1", "3-1"):
+            out = Q.popular_airports(flights, n if qid == "1-1" else None, OLD_KEPT_COLUMNS, 5)
+        elif qid == "1-2-named":
+            out = Q.ontime_airlines_inline(flights, n)
+        else:
+            out = Q.route_mean_arrival(with_airline, digits=None, fields=0)
+        _emit(args, qid.replace("-named", ""), qid, out)
+
+
+def _emit(args, text_id: str, qid: str, out: DataFrame) -> None:
+    if args.show:
+        out.printSchema()
+        out.show(20, truncate=False)
+    if args.output:
+        path = f"{args.output.rstrip('/')}/{qid}"
+        if args.write_as == "parquet":
+            write_table(out, path)
+        elif args.write_as == "csv":
+            write_delimited(out, path, sep="|")
+        else:
+            write_key_value(Q.key_value_lines(text_id, out), "key", "value", path)
+
+
 IDS = ["1-1", "1-2", "1-2-named", "2-1", "2-2", "2-2-worst", "2-4", "3-1", "3-2", "3-2-trips"]
 
 
@@ -63,7 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="clean flights (pipe-delimited unless --format parquet)")
     src.add_argument("--tables", help="directory of the driver tables")
-    ap.add_argument("--format", default="pipe", choices=["pipe", "parquet"])
+    ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
+                    help="old: the older pipe layout (1-1, 3-1, 1-2-named, 2-4 only)")
     ap.add_argument("--airlines", help="airline lookup CSV for 1-2-named")
     ap.add_argument("--itineraries", help="CSV x,y,z,first_date with header for 3-2 (default: the fixed on-time list)")
     ap.add_argument("--n", type=int, default=Q.TOP, help="list length (0 = no limit for 1-1 and 1-2)")
@@ -81,6 +120,8 @@ def main(argv: list[str] | None = None) -> None:
         itineraries = itineraries_from_tables(spark, args.tables)
     elif args.format == "parquet":
         flights = spark.read.parquet(args.input).drop("year")
+    elif args.format == "old":
+        return answer_old_layout(spark, args)
     else:
         flights = read_clean_flights(spark, args.input)
     if itineraries is None:
@@ -105,17 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     try:
         for qid in args.questions:
             out = answer(qid, flights, n, itineraries, airlines)
-            if args.show:
-                out.printSchema()
-                out.show(20, truncate=False)
-            if args.output:
-                path = f"{args.output.rstrip('/')}/{qid}"
-                if args.write_as == "parquet":
-                    write_table(out, path)
-                elif args.write_as == "csv":
-                    write_delimited(out, path, sep="|")
-                else:
-                    write_key_value(Q.key_value_lines(qid, out), "key", "value", path)
+            _emit(args, qid, qid, out)
     finally:
         if shared:
             flights.unpersist()

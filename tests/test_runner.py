@@ -34,3 +34,26 @@ def test_runner_store_then_questions(spark, scratch):
         assert spark.read.parquet(os.path.join(out, "1-2")).count() == 10
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_runner_old_layout(spark, scratch):
+    from tests.conftest import write_lines
+
+    src = os.path.join(scratch, "old")
+    write_lines(src, "part-0", [
+        "x|y|HA|HNL|OGG|z|0|-3.5|0|19690|Hawaiian",
+        "x|y|HA|HNL|OGG|z|0|-2.5|0|19690|Hawaiian",
+        "x|y|AA|ORD|HNL|z|0|4.0|0|19805|American",
+        "x|y|AA|ORD|HNL|z|0|9.0|0||",  # neither airline id nor name: not counted
+    ])
+    out = os.path.join(scratch, "answers")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["1-1", "1-2-named", "2-4", "--input", src, "--format", "old", "--output", out, "--write-as", "text"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert dict(line.split("\t") for line in read_text(os.path.join(out, "1-1")).splitlines()) == {
+        "HNL": "3", "OGG": "2", "ORD": "1"}
+    assert read_text(os.path.join(out, "1-2-named")).splitlines()[0] == "Hawaiian(19690)\t-3.0"
+    routes = dict(line.split("\t") for line in read_text(os.path.join(out, "2-4")).splitlines())
+    assert routes == {"HNL-OGG": "-3.0", "ORD-HNL": "4.0"}
