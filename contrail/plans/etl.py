@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators.clean import clean_lookup, enrich, project_clean
+from contrail.schemas import CLEAN_COLUMNS
 from contrail.session import PARTITION_BYTES
+from contrail.sources.files import read_lookup, read_raw_flights
 
 
 def store_flights(flights: DataFrame, path: str, partitions: int) -> None:
@@ -34,3 +37,27 @@ def partitions_for(total_bytes: int, partition_bytes: int = PARTITION_BYTES, min
 def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
     """The stored table without its ``year`` directory column."""
     return spark.read.parquet(path).drop("year")
+
+
+def clean_from_raw(
+    spark: SparkSession,
+    raw_path: str,
+    airports_path: str | None = None,
+    airlines_path: str | None = None,
+    file_glob: str | None = None,
+    strict: bool = False,
+    with_names: bool = False,
+) -> DataFrame:
+    """Raw on-time CSV files to clean flights: header and undated rows
+    dropped, the 10 clean columns typed, and (when lookups are given) the
+    airport and airline names joined on. Without ``with_names`` only the 10
+    clean columns are kept, and Catalyst then drops the lookup joins."""
+    flights = project_clean(read_raw_flights(spark, raw_path, file_glob=file_glob, strict=strict), strict=strict)
+    if airports_path and airlines_path:
+        flights = enrich(
+            flights,
+            clean_lookup(read_lookup(spark, airports_path)),
+            clean_lookup(read_lookup(spark, airlines_path)),
+            lookups_unique=True,
+        )
+    return flights if with_names else flights.select(*CLEAN_COLUMNS)

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import questions as Q
-from contrail.plans.etl import store_flights
+from contrail.plans.etl import clean_from_raw, store_flights
 from contrail.session import input_bytes, size_for_input
 from contrail.operators.filters import min_fields
 from contrail.schemas import ITINERARY, OLD_KEPT_COLUMNS
@@ -101,9 +101,12 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="clean flights (pipe-delimited unless --format parquet)")
     src.add_argument("--tables", help="directory of the driver tables")
+    src.add_argument("--raw", help="raw on-time CSV files (a directory or a glob); see --clean-out")
+    ap.add_argument("--airports", help="airport lookup CSV (with --raw)")
+    ap.add_argument("--clean-out", help="with --raw: write the clean flights here, pipe-delimited")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
                     help="old: the older pipe layout (1-1, 3-1, 1-2-named, 2-4 only)")
-    ap.add_argument("--airlines", help="airline lookup CSV for 1-2-named")
+    ap.add_argument("--airlines", help="airline lookup CSV (for 1-2-named, and --raw)")
     ap.add_argument("--itineraries", help="CSV x,y,z,first_date with header for 3-2 (default: the fixed on-time list)")
     ap.add_argument("--n", type=int, default=Q.TOP, help="list length (0 = no limit for 1-1 and 1-2)")
     ap.add_argument("--output", help="directory for the answers")
@@ -112,10 +115,18 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("contrail").getOrCreate()
-    source = [args.input] if args.input else [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
+    if args.input or args.raw:
+        source = [args.input or args.raw.split("*")[0]]
+    else:
+        source = [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
     n_shuffle = size_for_input(spark, input_bytes(spark, *source))
     itineraries = None
-    if args.tables:
+    if args.raw:
+        flights = clean_from_raw(spark, args.raw, args.airports, args.airlines)
+        if args.clean_out:
+            write_delimited(flights, args.clean_out, sep="|")
+            flights = read_clean_flights(spark, args.clean_out)
+    elif args.tables:
         flights = flights_from_tables(spark, args.tables)
         itineraries = itineraries_from_tables(spark, args.tables)
     elif args.format == "parquet":
@@ -133,6 +144,8 @@ def main(argv: list[str] | None = None) -> None:
         store_flights(flights, args.store, n_shuffle)
         return
     if not args.questions:
+        if args.raw and args.clean_out:
+            return
         raise SystemExit("no question given")
     airlines = None
     if args.airlines:

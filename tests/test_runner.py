@@ -57,3 +57,36 @@ def test_runner_old_layout(spark, scratch):
     assert read_text(os.path.join(out, "1-2-named")).splitlines()[0] == "Hawaiian(19690)\t-3.0"
     routes = dict(line.split("\t") for line in read_text(os.path.join(out, "2-4")).splitlines())
     assert routes == {"HNL-OGG": "-3.0", "ORD-HNL": "4.0"}
+
+
+def test_runner_raw_etl_then_question(spark, scratch):
+    from contrail.schemas import RAW_FLIGHT_COLUMNS
+    from contrail.sources.files import read_clean_flights
+    from tests.conftest import write_lines
+    from tests.test_sources_sinks import raw_line
+
+    raw = os.path.join(scratch, "raw")
+    header = ",".join(f'"{c}"' for c in RAW_FLIGHT_COLUMNS)
+    write_lines(raw, "On_Time_2008_1.csv", [
+        header,
+        raw_line(FlightDate="2008-01-03", AirlineID="19393", Carrier="WN", FlightNum="1", Origin="IAD",
+                 OriginCityName="Washington, DC", Dest="TPA", DepTime="0800", DepDelay="8.00", ArrDelay="-4.00",
+                 Cancelled="0.00"),
+        raw_line(FlightDate="2008-01-04", AirlineID="19393", Carrier="WN", FlightNum="2", Origin="TPA",
+                 Dest="IAD", Cancelled="1.00"),
+    ])
+    lk = os.path.join(scratch, "lk")
+    write_lines(lk, "L_AIRPORT.csv", ['"Code","Description"', '"IAD","Washington, DC: Dulles"'])
+    write_lines(lk, "L_AIRLINE_ID.csv", ['"Code","Description"', '"19393","Southwest Airlines Co.: WN"'])
+    clean = os.path.join(scratch, "clean")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["--raw", os.path.join(raw, "On_Time_2008_*"), "--airports", os.path.join(lk, "L_AIRPORT.csv"),
+              "--airlines", os.path.join(lk, "L_AIRLINE_ID.csv"), "--clean-out", clean])
+        out = os.path.join(scratch, "answers")
+        main(["3-1", "--input", clean, "--output", out, "--write-as", "text"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = {r.flight_num: r for r in read_clean_flights(spark, clean).collect()}
+    assert rows["1"].origin == "IAD" and rows["1"].arr_delay == -4.0 and rows["2"].cancelled == "1.00"
+    assert sorted(read_text(os.path.join(out, "3-1")).splitlines()) == ["IAD\t1", "TPA\t1"]
