@@ -104,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--raw", help="raw on-time CSV files (a directory or a glob); see --clean-out")
     ap.add_argument("--airports", help="airport lookup CSV (with --raw)")
     ap.add_argument("--clean-out", help="with --raw: write the clean flights here, pipe-delimited")
+    ap.add_argument("--legs-out", help="write the legs file here (each flight with its best connection), pipe-delimited")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
                     help="old: the older pipe layout (1-1, 3-1, 1-2-named, 2-4 only)")
     ap.add_argument("--airlines", help="airline lookup CSV (for 1-2-named, and --raw)")
@@ -143,8 +144,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.store:
         store_flights(flights, args.store, n_shuffle)
         return
+    if args.legs_out:
+        write_delimited(Q.leg_pairs(flights), args.legs_out, sep="|")
     if not args.questions:
-        if args.raw and args.clean_out:
+        if args.clean_out or args.legs_out:
             return
         raise SystemExit("no question given")
     airlines = None

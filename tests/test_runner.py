@@ -84,9 +84,11 @@ def test_runner_raw_etl_then_question(spark, scratch):
         main(["--raw", os.path.join(raw, "On_Time_2008_*"), "--airports", os.path.join(lk, "L_AIRPORT.csv"),
               "--airlines", os.path.join(lk, "L_AIRLINE_ID.csv"), "--clean-out", clean])
         out = os.path.join(scratch, "answers")
-        main(["3-1", "--input", clean, "--output", out, "--write-as", "text"])
+        main(["3-1", "--input", clean, "--output", out, "--write-as", "text", "--legs-out", os.path.join(scratch, "legs")])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     rows = {r.flight_num: r for r in read_clean_flights(spark, clean).collect()}
     assert rows["1"].origin == "IAD" and rows["1"].arr_delay == -4.0 and rows["2"].cancelled == "1.00"
     assert sorted(read_text(os.path.join(out, "3-1")).splitlines()) == ["IAD\t1", "TPA\t1"]
+    legs = read_text(os.path.join(scratch, "legs")).splitlines()
+    assert len(legs) == 2 and all(line.count("|") == 21 for line in legs)  # 22 leg columns
