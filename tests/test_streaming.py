@@ -64,3 +64,13 @@ def test_tail_directory_blocks_until_timeout(spark, scratch):
         assert q.isActive or q.lastProgress is not None
     finally:
         q.stop()
+
+
+def test_stream_command_parses_and_prints(spark, scratch, capsys):
+    from contrail.streaming.__main__ import main
+
+    src = os.path.join(scratch, "in")
+    write_lines(src, "a.txt", LINES)
+    q = main([src, "--parse", "--interval", "1 second", "--timeout", "8"])
+    assert not q.isActive
+    assert q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) == len(LINES)
