@@ -75,3 +75,14 @@ def test_unused_unique_lookup_joins_are_removed(spark):
     without = plan(enrich(flights, *lookups).select(*CLEAN_COLUMNS))
     assert "LeftOuter" in with_names
     assert "LeftOuter" not in without  # lookups unique by code: the joins add nothing and are dropped
+
+
+def test_catalog_plans_stay_in_the_jvm_without_cross_joins(spark):
+    from contrail.plans.catalog import QUERIES
+
+    banned = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+              "CartesianProduct", "BroadcastNestedLoopJoin"]
+    for name, fn in QUERIES.items():
+        p = plan(fn(spark, SF_SMALL))
+        found = [b for b in banned if b in p]
+        assert not found, (name, found)
