@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The cancelled flag as the on-time files write it.
 CANCELLED_FLAG = "1.00"
 
 

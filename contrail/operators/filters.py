@@ -45,10 +45,16 @@ def exclude_cancelled(df: DataFrame, flag_col: str = "cancelled") -> DataFrame:
     return df.filter(~is_cancelled(flag_col))
 
 
-def after_date(df: DataFrame, date_col: str = "flight_date", floor: str = "1900-01-01") -> DataFrame:
+# The date every real row is after (header lines fail it), and the
+# lookup files' header code.
+DATE_FLOOR = "1900-01-01"
+LOOKUP_HEADER = "Code"
+
+
+def after_date(df: DataFrame, date_col: str = "flight_date", floor: str = DATE_FLOOR) -> DataFrame:
     """Keep rows dated after ``floor``; header lines and null dates drop out."""
     return df.filter(F.col(date_col) > F.lit(dt.date.fromisoformat(floor)))
 
 
-def not_header(df: DataFrame, code_col: str = "code", header: str = "Code") -> DataFrame:
+def not_header(df: DataFrame, code_col: str = "code", header: str = LOOKUP_HEADER) -> DataFrame:
     return df.filter(F.col(code_col) != F.lit(header))

@@ -35,6 +35,7 @@ from contrail.operators.rank import best_k, top_n, worst_k
 from contrail.operators.upsert import upsert
 from contrail.schemas import CLEAN_COLUMNS
 
+# The length of every top list.
 TOP = 10
 
 

@@ -176,7 +176,8 @@ ITINERARY_KEYS = [
     (15, 11, 16, "2000-11-13"),
     (15, 18, 24, "1997-04-29"),
 ]
-# The same itineraries by airport (nation) name.
+# The same itineraries by airport (nation) name, and the days between
+# the two legs.
 TABLE_ITINERARIES = [
     ("NATION_11", "NATION_13", "NATION_18", "1999-07-12"),
     ("NATION_11", "NATION_9", "NATION_3", "1999-05-25"),
