@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, lookup enrichment, semi-join restriction."""
+"""Join helpers: size-checked broadcast, unique lookups, semi-join restriction, salted join."""
 
 from __future__ import annotations
 

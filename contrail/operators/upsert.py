@@ -1,4 +1,4 @@
-"""Keyed upsert: the whole row of a key is replaced by its newest version."""
+"""Keyed upsert: the whole row of a key is replaced by the update for that key."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def first_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One update per key: the row with the smallest ``order`` values.
 
     A ``min`` over a struct is a partial aggregate, so a key with very many
@@ -26,6 +26,6 @@ def upsert(current: DataFrame, updates: DataFrame, keys: list[str], order: list[
     ``order`` first (the serving table keeps one item per key).
     """
     if order:
-        updates = latest_per_key(updates, keys, order)
+        updates = first_per_key(updates, keys, order)
     kept = current.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates.select(*current.columns))

@@ -16,7 +16,7 @@ from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.joins import BROADCAST_ROW_LIMIT
 from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
-from contrail.operators.upsert import latest_per_key
+from contrail.operators.upsert import first_per_key
 from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS
 from contrail.session import scratch_path
@@ -181,7 +181,7 @@ def etl_roundtrip(spark, sf_dir):
 def leg_serving(spark, sf_dir):
     """3-2 as serving items: one per (origin, dest, date, time), the lowest
     (delay, airline) when two flights leave at the same minute."""
-    return latest_per_key(
+    return first_per_key(
         leg_flight_min_delay(spark, sf_dir), ["origin", "dest", "flight_date", "dep_time"], ["delay", "airline"]
     )
 

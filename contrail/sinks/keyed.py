@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.operators.upsert import upsert
+from contrail.operators.upsert import first_per_key, upsert
 
 
 class KeyedTable:
@@ -52,9 +52,7 @@ class KeyedTable:
         if vs and new <= vs[-1]:
             return vs[-1]  # this batch was published already (replayed after a failure)
         if cur is None:
-            from contrail.operators.upsert import latest_per_key
-
-            result = latest_per_key(updates, self.keys, self.order) if self.order else updates
+            result = first_per_key(updates, self.keys, self.order) if self.order else updates
         else:
             result = upsert(cur, updates, self.keys, self.order)
         result.write.mode("overwrite").parquet(f"{self.path}/v={new}")

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from contrail.operators.legs import best_two_leg_trips, flight_min_delay, with_best_connection
-from contrail.operators.upsert import latest_per_key
+from contrail.operators.upsert import first_per_key
 from contrail.sources.tables import literal_table
 
 D1 = dt.date(2008, 3, 4)
@@ -46,7 +46,7 @@ def test_flight_min_delay_per_flight(spark):
 
 
 def test_serving_items_keep_lowest_at_same_minute(spark):
-    items = latest_per_key(flight_min_delay(flights(spark), itineraries(spark)),
+    items = first_per_key(flight_min_delay(flights(spark), itineraries(spark)),
                            ["origin", "dest", "flight_date", "dep_time"], ["delay", "airline"])
     got = {(r.origin, r.dep_time): r.airline for r in items.collect()}
     assert got[("ORD", "1000")] == "DL-40" and len(got) == 4
