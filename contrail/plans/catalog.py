@@ -38,6 +38,8 @@ from contrail.streaming.files import table_stream, write_files
 REPORT_AIRPORTS = ["NATION_3", "NATION_7", "NATION_12", "NATION_21"]
 UPSERT_SPLIT_DATE = "1998-01-01"
 
+STREAM_TIMEOUT_S = 1800  # an available-now run that takes longer is stopped and reported
+
 TRAFFIC_COLS = ["origin", "dest", "arr_delay", "dep_time"]
 # 2-1 reads no destination (no order/customer join); 2-2 reads no carrier (no part join).
 CARRIER_DEP_COLS = ["origin", "carrier", "cancelled", "dep_delay", "arr_delay", "dep_time"]
@@ -193,7 +195,11 @@ def stream_tail(spark, sf_dir):
     base = scratch_path(spark, "stream_tail")
     stream = table_stream(spark, sf_dir, schema, file_glob="events.parquet")
     q = write_files(stream, f"{base}/data", f"{base}/checkpoint", available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream_tail did not finish within {STREAM_TIMEOUT_S} s")
+    if q.exception() is not None:
+        raise RuntimeError(f"stream_tail failed: {q.exception()}")
     return spark.read.schema(schema).parquet(f"{base}/data")
 
 
