@@ -139,3 +139,10 @@ def test_key_value_lines(edge):
     assert kv["SFO"] == "UA(-0.37)"
     kv = {r.key: r.value for r in Q.key_value_lines("1-1", Q.popular_airports(edge)).collect()}
     assert kv["SFO"] == "4"
+
+
+def test_named_airline_without_name_keeps_its_id(spark):
+    flights = spark.createDataFrame([(19690, 1.0), (77777, 2.0)], "airline_id int, arr_delay double")
+    airlines = spark.createDataFrame([("19690", "Hawaiian")], "code string, description string")
+    rows = [tuple(r) for r in Q.ontime_airlines_named(flights, airlines).collect()]
+    assert rows == [("Hawaiian(19690)", 1.0), ("(77777)", 2.0)]
