@@ -12,16 +12,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.functions.scalars import short_number
 from contrail.operators.clean import clean_lookup, enrich, project_clean
-from contrail.operators.joins import BROADCAST_ROW_LIMIT
+from contrail.operators.filters import min_fields
+from contrail.operators.joins import BROADCAST_ROW_LIMIT, bounded_broadcast
 from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.operators.upsert import first_per_key
 from contrail.plans import questions as Q
-from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS
+from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS, OLD_KEPT_COLUMNS
 from contrail.session import scratch_path
-from contrail.sinks.files import materialize, write_delimited
-from contrail.sources.files import read_clean_flights, read_lookup, read_raw_flights
+from contrail.sinks.files import materialize, write_delimited, write_key_value
+from contrail.sources.files import (
+    read_clean_flights,
+    read_key_value,
+    read_lookup,
+    read_old_clean_flights,
+    read_raw_flights,
+)
 from contrail.sources.tables import (
     TABLE_ITINERARIES,
     airline_lookup_from_tables,
@@ -180,6 +188,35 @@ def etl_roundtrip(spark, sf_dir):
     return read_clean_flights(spark, f"{base}/clean")
 
 
+def old_layout_airlines(spark, sf_dir):
+    """1-2 named, from flights written in the older pipe layout (airline id and
+    name on each row, taken from the airline lookup) and read back with its
+    reader."""
+    _, airlines = _lookups(spark, sf_dir)
+    names = bounded_broadcast(airlines).select(F.col("code").alias("_code"), F.col("description").alias("airline_name"))
+    flights = _flights(spark, sf_dir, ["carrier", "origin", "dest", "arr_delay", "airline_id"])
+    flights = flights.join(names, F.col("airline_id").cast("string") == F.col("_code"), "left")
+    empty = F.lit(None).cast("string")
+    old = flights.select(
+        empty.alias("f0"), empty.alias("f1"), "carrier", "origin", "dest", empty.alias("f5"),
+        empty.alias("dep_del15"), "arr_delay", empty.alias("arr_del15"), "airline_id", "airline_name",
+    )
+    path = scratch_path(spark, "old-layout")
+    write_delimited(old, path, sep="|")
+    back = read_old_clean_flights(spark, path)
+    return Q.ontime_airlines_inline(min_fields(back, 5, OLD_KEPT_COLUMNS))
+
+
+def route_key_value(spark, sf_dir):
+    """2-4 handed on as key/value text, the way the older jobs pass results
+    between steps: ``origin-dest<TAB>delay`` written, then read back."""
+    routes = Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS))
+    lines = routes.select(F.concat_ws("-", "origin", "dest").alias("key"), short_number("delay").alias("value"))
+    path = scratch_path(spark, "route-kv")
+    write_key_value(lines, "key", "value", path)
+    return read_key_value(spark, path)
+
+
 def leg_serving(spark, sf_dir):
     """3-2 as serving items: one per (origin, dest, date, time), the lowest
     (delay, airline) when two flights leave at the same minute."""
@@ -224,4 +261,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tail": stream_tail,
     "etl_roundtrip": etl_roundtrip,
     "leg_serving": leg_serving,
+    "old_layout_airlines": old_layout_airlines,
+    "route_key_value": route_key_value,
 }

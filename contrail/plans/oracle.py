@@ -230,6 +230,17 @@ WHERE NOT EXISTS (SELECT 1 FROM r2 WHERE r2.origin = r1.origin AND r2.dest = r1.
 UNION ALL
 SELECT * FROM r2""",
     "stream_tail": "SELECT * FROM events",
+    "old_layout_airlines": _with(FLIGHTS, LOOKUPS) + """SELECT
+  coalesce(a.description, '') || '(' || CAST(f.airline_id AS VARCHAR) || ')' AS airline,
+  avg(f.arr_delay) AS delay
+FROM flights f LEFT JOIN airlines a ON CAST(f.airline_id AS VARCHAR) = a.code
+WHERE (f.airline_id IS NOT NULL OR a.description IS NOT NULL) AND f.arr_delay IS NOT NULL
+GROUP BY 1
+ORDER BY delay, airline
+LIMIT 10""",
+    "route_key_value": _with(FLIGHTS, f"routes AS ({_route_means()})") + f"""SELECT origin || '-' || dest AS key,
+  {_short('delay')} AS value
+FROM routes""",
     "etl_roundtrip": _with(FLIGHTS) + "SELECT * FROM flights WHERE flight_date > DATE '1900-01-01'",
     "leg_serving": _with(FLIGHTS, ITINERARIES) + f""", items AS (
   SELECT origin, dest, flight_date, dep_time, replace(airline, '"', '') AS airline,
