@@ -152,6 +152,10 @@ def origin_carrier_report(spark, sf_dir):
     return Q.origin_carrier_report(_flights(spark, sf_dir, CARRIER_DEP_COLS))
 
 
+def origin_carrier_pairs(spark, sf_dir):
+    return Q.origin_carrier_pairs(_flights(spark, sf_dir, CARRIER_DEP_COLS))
+
+
 def airport_subset_report(spark, sf_dir):
     return Q.airport_subset_report(_flights(spark, sf_dir, ROUTE_DEP_COLS), REPORT_AIRPORTS)
 
@@ -263,4 +267,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_serving": leg_serving,
     "old_layout_airlines": old_layout_airlines,
     "route_key_value": route_key_value,
+    "origin_carrier_pairs": origin_carrier_pairs,
 }

@@ -218,6 +218,9 @@ FROM leg a
 LEFT JOIN best_next b ON a.dest = b.origin AND b.flight_date = a.flight_date + {SECOND_LEG_DAYS}""",
     "origin_carrier_report": _with(FLIGHTS, ORIGIN_CARRIER) + f"""SELECT origin,
   string_agg(carrier || '(' || {_short('delay')} || ')', ' ' ORDER BY rank) AS carriers
+FROM oc_best GROUP BY origin""",
+    "origin_carrier_pairs": _with(FLIGHTS, ORIGIN_CARRIER) + """SELECT origin,
+  '[' || string_agg('(' || CAST(delay AS VARCHAR) || ', ' || carrier || ')', ', ' ORDER BY rank) || ']' AS pairs
 FROM oc_best GROUP BY origin""",
     "airport_subset_report": _with(FLIGHTS, ORIGIN_DEST) + f"""SELECT origin,
   string_agg(dest || '(' || {_short('delay')} || ')', ' ' ORDER BY rank) AS destinations

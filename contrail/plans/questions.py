@@ -30,7 +30,7 @@ from contrail.operators.aggregates import endpoint_counts, mean_by
 from contrail.operators.filters import exclude_cancelled, min_fields, require
 from contrail.operators.joins import bounded_broadcast, unique_by_key
 from contrail.operators.legs import best_two_leg_trips, flight_min_delay, with_best_connection
-from contrail.operators.lists import list_text, ranked_list, ranked_text
+from contrail.operators.lists import list_text, pairs_text, ranked_list, ranked_text
 from contrail.operators.rank import best_k, top_n, worst_k
 from contrail.operators.upsert import upsert
 from contrail.schemas import CLEAN_COLUMNS
@@ -148,6 +148,13 @@ def origin_carrier_report(flights: DataFrame, k: int = TOP) -> DataFrame:
     return ranked_text(origin_carrier_best(flights, k), ["origin"], "rank", "carrier", "delay", alias="carriers")
 
 
+def origin_carrier_pairs(flights: DataFrame, k: int = TOP) -> DataFrame:
+    """2-1 as the ordered set of pairs: (origin, pairs) with
+    ``[(delay, carrier), (delay, carrier), ...]`` best first."""
+    listed = ranked_list(origin_carrier_best(flights, k), ["origin"], "rank", ["delay", "carrier"], alias="entries")
+    return listed.select("origin", pairs_text("entries", "delay", "carrier").alias("pairs"))
+
+
 def origin_dest_report(flights: DataFrame, k: int = TOP) -> DataFrame:
     """2-2 as text: (origin, destinations) with ``dest(delay) ...`` best first."""
     return ranked_text(origin_dest_best(flights, k), ["origin"], "rank", "dest", "delay", alias="destinations")
