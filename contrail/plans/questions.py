@@ -12,8 +12,16 @@ id          question                                                      functi
 2-2 worst   per origin, 10 destinations with the highest mean dep. delay  :func:`origin_dest_worst`
 2-4         per route, mean arrival delay                                 :func:`route_mean_arrival`
 3-2         per requested leg, each flight's smallest arrival delay       :func:`leg_flight_min_delay`
+3-2 trips   best flight per leg, joined into requested x -> y -> z trips  :func:`two_leg_trips`
+legs        every flight with its best onward flight two days later       :func:`leg_pairs`
+1-2 old     1-2 named on the older layout (name carried by each row)      :func:`ontime_airlines_inline`
 ==========  ============================================================  =========================
 
+Report forms: :func:`origin_carrier_report`, :func:`origin_dest_report`,
+:func:`origin_carrier_pairs`, :func:`airport_subset_report`,
+:func:`key_value_lines`; serving table after two loads:
+:func:`route_serving_upsert`.
+
 Shared rules: means are rounded half-up to two places where the question
 shows them rounded; ties in a ranking are broken by the name (ascending for
 "best", descending for "most"/"worst"); a row counts only when the fields the
