@@ -86,3 +86,25 @@ def test_catalog_plans_stay_in_the_jvm_without_cross_joins(spark):
         p = plan(fn(spark, SF_SMALL))
         found = [b for b in banned if b in p]
         assert not found, (name, found)
+
+
+def simple_tree(df) -> list[str]:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().splitlines()
+
+
+def test_requested_days_restrict_the_fact_scan_before_dimension_joins(spark):
+    lines = simple_tree(catalog.leg_flight_min_delay(spark, SF_SMALL))
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    semi = [line for line in lines if "LeftSemi" in line and "l_shipdate" in line]
+    order_join = [line for line in lines if "[l_orderkey" in line and "Join" in line]
+    assert semi and order_join
+    assert depth(semi[0]) > depth(order_join[0])  # the day filter sits below the order-key join
+
+
+def test_leg_pairs_broadcasts_its_bounded_second_side(spark):
+    p = plan(catalog.leg_pairs(spark, SF_SMALL))
+    assert "LeftOuter" in p and "BroadcastHashJoin" in p
+    assert not any("SortMergeJoin" in line and "LeftOuter" in line for line in p.splitlines())
