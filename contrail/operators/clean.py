@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import unquote
 from contrail.operators.filters import after_date, not_header
-from contrail.operators.joins import bounded_broadcast, unique_by_key
+from contrail.operators.joins import lookup_left_join, unique_by_key
 from contrail.schemas import CLEAN_FLIGHTS, RAW_TO_CLEAN
 
 
@@ -51,18 +51,16 @@ def enrich(
 
     Lookups are made unique by code first (skipped when ``lookups_unique``,
     e.g. for the output of :func:`clean_lookup`), so every flight keeps
-    exactly one row; they are broadcast when their size is proven small.
+    exactly one row; they are broadcast when their size is proven small, and
+    joined with a salted shuffle otherwise (a hub airport stays spread).
     """
     unique = (lambda df: df) if lookups_unique else unique_by_key
-    ap = bounded_broadcast(unique(airports), max_lookup_rows)
-    al = bounded_broadcast(unique(airlines), max_lookup_rows)
+    ap, al = unique(airports), unique(airlines)
     o = ap.select(F.col("code").alias("_o_code"), F.col("description").alias("origin_name"))
     d = ap.select(F.col("code").alias("_d_code"), F.col("description").alias("dest_name"))
     a = al.select(F.col("code").alias("_a_code"), F.col("description").alias("airline_name"))
-    out = (
-        after_date(flights, "flight_date")
-        .join(o, F.col("origin") == F.col("_o_code"), "left")
-        .join(d, F.col("dest") == F.col("_d_code"), "left")
-        .join(a, F.col("airline_id").cast("string") == F.col("_a_code"), "left")
-    )
+    out = after_date(flights, "flight_date")
+    out = lookup_left_join(out, o, "origin", "_o_code", max_lookup_rows)
+    out = lookup_left_join(out, d, "dest", "_d_code", max_lookup_rows)
+    out = lookup_left_join(out, a, F.col("airline_id").cast("string"), "_a_code", max_lookup_rows)
     return out.drop("_o_code", "_d_code", "_a_code")

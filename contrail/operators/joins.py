@@ -66,3 +66,24 @@ def salted_join(
         lcol = salted_left[lk] if isinstance(lk, str) else lk
         cond = cond & (lcol == salted_right[rk])
     return salted_left.join(salted_right, cond, how).drop(salted_left["_salt"]).drop(salted_right["_salt"])
+
+
+def lookup_left_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    left_key,
+    lookup_key: str,
+    max_rows: int = BROADCAST_ROW_LIMIT,
+    buckets: int = 8,
+) -> DataFrame:
+    """Left join to a lookup that is unique by ``lookup_key``.
+
+    The lookup is broadcast when a bounded count proves it small (the usual
+    case: airports and airlines); otherwise the join is salted, so a hot key
+    of ``left`` (a hub airport) is still spread over ``buckets`` tasks.
+    """
+    fits = lookup.limit(max_rows + 1).count() <= max_rows
+    lcol = left[left_key] if isinstance(left_key, str) else left_key
+    if fits:
+        return left.join(F.broadcast(lookup), lcol == lookup[lookup_key], "left")
+    return salted_join(left, lookup, [left_key], [lookup_key], "left", buckets)

@@ -203,3 +203,20 @@ def test_keyed_table_ignores_incomplete_version(spark, scratch):
     # the rerun writes a fresh version on top of the last complete one
     assert t.upsert(spark.createDataFrame([("B", 2)], "k string, v int"), version=2) == 2
     assert sorted(tuple(r) for r in t.current().collect()) == [("A", 1), ("B", 2)]
+
+
+def test_enrich_salted_fallback_equals_broadcast(spark):
+    from contrail.operators.clean import clean_lookup
+    from contrail.sources.tables import airline_lookup_from_tables, airport_lookup_from_tables, flights_from_tables
+
+    flights = flights_from_tables(spark, "/root/testdata/sf0.001")
+    ap = clean_lookup(airport_lookup_from_tables(spark, "/root/testdata/sf0.001"))
+    al = clean_lookup(airline_lookup_from_tables(spark, "/root/testdata/sf0.001"))
+    broadcast = enrich(flights, ap, al, lookups_unique=True)
+    salted = enrich(flights, ap, al, max_lookup_rows=0, lookups_unique=True)  # every lookup "too large"
+    from tests.test_plans import simple_tree
+
+    outer = [line for line in simple_tree(salted) if "LeftOuter" in line and "_code" in line]
+    assert len(outer) == 3 and all("_salt" in line for line in outer)  # the three lookup joins are salted
+    assert salted.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(salted).count() == 0
+    assert salted.count() == flights.count()
