@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import short_number
 from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.filters import min_fields
-from contrail.operators.joins import BROADCAST_ROW_LIMIT, bounded_broadcast
+from contrail.operators.joins import BROADCAST_ROW_LIMIT, lookup_left_join
 from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.operators.upsert import first_per_key
@@ -197,9 +197,9 @@ def old_layout_airlines(spark, sf_dir):
     name on each row, taken from the airline lookup) and read back with its
     reader."""
     _, airlines = _lookups(spark, sf_dir)
-    names = bounded_broadcast(airlines).select(F.col("code").alias("_code"), F.col("description").alias("airline_name"))
+    names = airlines.select(F.col("code").alias("_code"), F.col("description").alias("airline_name"))
     flights = _flights(spark, sf_dir, ["carrier", "origin", "dest", "arr_delay", "airline_id"])
-    flights = flights.join(names, F.col("airline_id").cast("string") == F.col("_code"), "left")
+    flights = lookup_left_join(flights, names, F.col("airline_id").cast("string"), "_code")
     empty = F.lit(None).cast("string")
     old = flights.select(
         empty.alias("f0"), empty.alias("f1"), "carrier", "origin", "dest", empty.alias("f5"),

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import named_value, round_half_up
 from contrail.operators.aggregates import endpoint_counts, mean_by
 from contrail.operators.filters import exclude_cancelled, min_fields, require
-from contrail.operators.joins import bounded_broadcast, unique_by_key
+from contrail.operators.joins import lookup_left_join, unique_by_key
 from contrail.operators.legs import best_two_leg_trips, flight_min_delay, with_best_connection
 from contrail.operators.lists import list_text, pairs_text, ranked_list, ranked_text
 from contrail.operators.rank import best_k, top_n, worst_k
@@ -79,11 +79,9 @@ def ontime_airlines_named(
 ) -> DataFrame:
     """1-2, named form: key ``name(id)`` from the airline lookup, unrounded mean."""
     lookup = airlines if airlines_unique else unique_by_key(airlines)
-    names = bounded_broadcast(lookup).select(
-        F.col("code").alias("_code"), F.col("description").alias("_name")
-    )
+    names = lookup.select(F.col("code").alias("_code"), F.col("description").alias("_name"))
     f = require(flights.filter(F.col("airline_id").isNotNull()), "arr_delay")
-    f = f.join(names, F.col("airline_id").cast("string") == F.col("_code"), "left")
+    f = lookup_left_join(f, names, F.col("airline_id").cast("string"), "_code")
     key = F.concat(F.coalesce(F.col("_name"), F.lit("")), F.lit("("), F.col("airline_id").cast("string"), F.lit(")"))
     means = mean_by(f.withColumn("airline", key), ["airline"], "arr_delay")
     return top_n(means, [("delay", True), ("airline", True)], n)
