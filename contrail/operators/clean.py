@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import unquote
 from contrail.operators.filters import after_date, not_header
-from contrail.operators.joins import lookup_left_join, unique_by_key
+from contrail.operators.joins import fits_broadcast, lookup_left_join, unique_by_key
 from contrail.schemas import CLEAN_FLIGHTS, RAW_TO_CLEAN
 
 
@@ -59,8 +59,9 @@ def enrich(
     o = ap.select(F.col("code").alias("_o_code"), F.col("description").alias("origin_name"))
     d = ap.select(F.col("code").alias("_d_code"), F.col("description").alias("dest_name"))
     a = al.select(F.col("code").alias("_a_code"), F.col("description").alias("airline_name"))
+    ap_fits = fits_broadcast(ap, max_lookup_rows)  # one check serves both airport roles
     out = after_date(flights, "flight_date")
-    out = lookup_left_join(out, o, "origin", "_o_code", max_lookup_rows)
-    out = lookup_left_join(out, d, "dest", "_d_code", max_lookup_rows)
+    out = lookup_left_join(out, o, "origin", "_o_code", max_lookup_rows, fits=ap_fits)
+    out = lookup_left_join(out, d, "dest", "_d_code", max_lookup_rows, fits=ap_fits)
     out = lookup_left_join(out, a, F.col("airline_id").cast("string"), "_a_code", max_lookup_rows)
     return out.drop("_o_code", "_d_code", "_a_code")

@@ -22,6 +22,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, known_
     return F.broadcast(df) if n <= max_rows else df
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def unique_by_key(lookup: DataFrame, key: str = "code", value: str = "description") -> DataFrame:
     """One row per key (the smallest value), so a repeated code cannot multiply
     the rows of a join."""
@@ -75,14 +80,17 @@ def lookup_left_join(
     lookup_key: str,
     max_rows: int = BROADCAST_ROW_LIMIT,
     buckets: int = 8,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Left join to a lookup that is unique by ``lookup_key``.
 
     The lookup is broadcast when a bounded count proves it small (the usual
     case: airports and airlines); otherwise the join is salted, so a hot key
     of ``left`` (a hub airport) is still spread over ``buckets`` tasks.
+    ``fits`` passes the result of an earlier check of the same lookup.
     """
-    fits = lookup.limit(max_rows + 1).count() <= max_rows
+    if fits is None:
+        fits = fits_broadcast(lookup, max_rows)
     lcol = left[left_key] if isinstance(left_key, str) else left_key
     if fits:
         return left.join(F.broadcast(lookup), lcol == lookup[lookup_key], "left")
