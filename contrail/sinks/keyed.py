@@ -40,14 +40,14 @@ class KeyedTable:
                     out.append(int(name[2:]))
         return sorted(out)
 
-    def current(self) -> DataFrame | None:
-        vs = self.versions()
+    def current(self, versions: list[int] | None = None) -> DataFrame | None:
+        vs = self.versions() if versions is None else versions
         return self.spark.read.parquet(f"{self.path}/v={vs[-1]}") if vs else None
 
     def upsert(self, updates: DataFrame, version: int | None = None) -> int:
         """Write ``current`` upserted with ``updates`` as a new version; return it."""
         vs = self.versions()
-        cur = self.current()
+        cur = self.current(vs)
         new = version if version is not None else (vs[-1] + 1 if vs else 0)
         if vs and new <= vs[-1]:
             return vs[-1]  # this batch was published already (replayed after a failure)
