@@ -71,6 +71,6 @@ def test_stream_command_parses_and_prints(spark, scratch, capsys):
 
     src = os.path.join(scratch, "in")
     write_lines(src, "a.txt", LINES)
-    q = main([src, "--parse", "--interval", "1 second", "--timeout", "8"])
+    q = main([src, "--parse", "--interval", "1 second", "--timeout", "15"])
     assert not q.isActive
     assert q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) == len(LINES)
