@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is only read here.
-    Only when it is unset (local tests) a fresh scratch folder is made and set.
+    Only when it is unset and the master is local (one machine) a fresh scratch
+    folder is made and set; a cluster without the setting is an error, since
+    executors can't see each other's local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -49,18 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="contrail-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A new, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
+    """A new, unique path under the shared checkpoint folder, scheme included."""
     name = "-".join(parts + (uuid.uuid4().hex[:12],))
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "contrail", name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/contrail/{name}"
 
 
 # Target bytes per task, for scans and for shuffle partitions; AQE coalesces
