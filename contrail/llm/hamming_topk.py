@@ -1,7 +1,7 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 A vector becomes a 64-bit code (bit i: element i is positive). Codes are cut into
-m segments, m near 64 / log2(rows), and every (segment, value) lists its codes. A
+m segments, m just over 64 / log2(rows), and every (segment, value) lists its codes. A
 code within Hamming distance m*s + j of a query has a segment among 0..j within s
 of the query's, or a later one within s - 1. So the search probes all segment
 values at radius 0, 1, 2, ... from the query's, verifies the full distance of what
@@ -55,7 +55,7 @@ def hamming(a: Column, b: Column) -> Column:
 
 def segments(rows: int) -> list[tuple[int, int]]:
     """(first bit, width) of every segment for an index of so many rows."""
-    m = min(8, max(3, round(BITS / math.log2(max(rows, 2)))))
+    m = min(8, max(3, math.ceil(BITS / math.log2(max(rows, 2)))))
     cuts = [round(j * BITS / m) for j in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
