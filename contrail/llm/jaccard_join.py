@@ -50,6 +50,7 @@ SLACK = 0.2  # a pair is set aside if its places agree less than threshold - SLA
 BUCKET = 512
 BLOCK = 256
 BLOCK_SHINGLES = 500_000
+BROADCAST_ROWS = 100_000
 
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -275,7 +276,8 @@ def join(
         sized.join(cut, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "jaccard-wanted"
     )
     texts = df.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    fetched = texts.join(wanted, texts["_id"].eqNullSafe(wanted["least"])).select(
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted  # the measured size decides
+    fetched = texts.join(few, texts["_id"].eqNullSafe(few["least"])).select(
         "root", "node", "digest", "copies", "blocks", "block", "_text"
     )
 
@@ -328,7 +330,7 @@ def first_of_each_class(df: DataFrame, key: str = "doc_id", text: str = "text",
     listed = rows.groupBy("id", "text_md5").agg(F.max("_keep").alias("_keep"), F.count(F.lit(1)).alias("_same"))
     listed = shared_table(listed.filter("not _keep or _same > 1").select(F.col("id").alias("_id"), F.col("text_md5").alias("_md5"), "_keep"), "jaccard-listed")
     marked = df.withColumn("_h", F.md5(F.col(text)))
-    side = F.broadcast(listed) if listed.count() <= 100_000 else listed
+    side = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
     met = marked.join(side, marked[key].eqNullSafe(side["_id"]) & (marked["_h"] == side["_md5"]), "left")
     found = met.filter(F.coalesce("_keep", F.lit(True)))
     if listed.filter("_keep").isEmpty():
