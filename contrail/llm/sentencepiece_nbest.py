@@ -42,9 +42,9 @@ from pyspark.sql.functions import arrow_udf
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-CACHED_CUTS = 300_000  # the cache is emptied beyond it
+CACHED_CUTS = 120_000  # the cache is emptied beyond it
 LONGEST_CACHED = 64  # longer cuts are solved one by one and not kept
-BATCH_CHARS = 1 << 22  # texts of about so many characters are answered at once
+BATCH_CHARS = 1 << 20  # texts of about so many characters are answered at once
 UNKNOWN_PENALTY = 10.0
 NOTHING = float("-inf")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
