@@ -109,7 +109,8 @@ def nearest_codes(distinct: DataFrame, queries: DataFrame, rows: int, sample: np
             "q", "bound", "seg", F.col("val").bitwiseXOR(F.col("_mask")).alias("val")
         )
         i = index.select(F.col("seg").alias("_seg"), F.col("val").alias("_val"), "code")
-        met = probes.join(
+        # Unfolded probes look small to the planner; they are not, so no broadcast.
+        met = probes.hint("merge").join(
             i, (probes["seg"] == i["_seg"]) & (probes["val"] == i["_val"]) & (hamming(probes["q"], i["code"]) <= probes["bound"])
         )
         new = met.select("q", "code", hamming(F.col("q"), F.col("code")).alias("dist"))
