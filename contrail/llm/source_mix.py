@@ -182,7 +182,8 @@ def taken_words(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """One row per row of ``df``: key, size, source_size, target, taken."""
     placed, covers, slots = mix(df, key=key, **options)
     times = slots.groupBy("ord", "block").agg(F.count(F.lit(1)).alias("_times"))
-    joined = covers.join(times, ["ord", "block"], "left")
+    # Unfolded slots look small to the planner; they are not, so no broadcast.
+    joined = covers.join(times.hint("merge"), ["ord", "block"], "left")
     columns = [key, "size", "source_size", "target"]
     some = joined.groupBy("ord", "start", *columns).agg(
         F.sum(F.col("words") * F.coalesce(F.col("_times"), F.lit(0))).alias("taken")
@@ -203,7 +204,7 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     """
     placed, covers, slots = mix(df, key=key, text=text, source=source, **options)
     runs = (
-        covers.join(slots.select("ord", "block", "repeat"), ["ord", "block"])
+        covers.join(slots.select("ord", "block", "repeat").hint("merge"), ["ord", "block"])
         .groupBy("ord", "start", key, "source", "size", "repeat")
         .agg(
             F.sum("words").alias("_words"),
