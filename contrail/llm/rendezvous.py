@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import running_offset, text_hash
+from contrail.llm.common import running_offset, shared_table, text_hash
 
 SHARDS = 40
 RECORD_OVERHEAD = 16
@@ -55,7 +55,7 @@ def shard_slots(df: DataFrame, key: str = "doc_id", text: str = "text", weights:
         F.crc32(F.col(text)).alias("text_crc32"),
         F.lit(1).cast("long").alias("_one"),
     )
-    sharded = with_shard(narrow, key, weights)
+    sharded = shared_table(with_shard(narrow, key, weights), "shards")  # one pass over the texts
     slots = running_offset(sharded, ["shard"], [key, "size", "text_crc32"], "_one", "slot")
     return slots.select(
         key, "size", "text_crc32", "shard", "slot", rendezvous_shard(F.col(key), grown).alias("grown_shard")
