@@ -21,9 +21,8 @@ number of other documents with similarity of at least the threshold).
 
 Defined results: null texts and texts without a word have no shingles, so no
 links, and are classes of their own; a text of fewer than five words is one
-shingle; repeated rows are links of each other; a null key sorts before others
-only if its whole class has none; extra columns are not read; an empty table
-gives no rows.
+shingle; repeated rows are links of each other; a class of null keys only has a
+null class_id; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -324,8 +323,9 @@ def first_of_each_class(df: DataFrame, key: str = "doc_id", text: str = "text",
     """``df`` with one row of each class: that of the smallest key (of equal keys, the smallest text hash)."""
     judged = shared_table(join(df, key, text, **options), "jaccard-judged")
     in_class = judged.filter("n > 0")
-    chosen = in_class.groupBy("node").agg(F.min(F.struct("id", "text_md5")).alias("_best"))
-    rows = in_class.join(chosen, "node").select("id", "text_md5", (F.struct("id", "text_md5").eqNullSafe(F.col("_best"))).alias("_keep"))
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "text_md5")  # null keys last
+    chosen = in_class.groupBy("node").agg(F.min(place).alias("_best"))
+    rows = in_class.join(chosen, "node").select("id", "text_md5", place.eqNullSafe(F.col("_best")).alias("_keep"))
     # Rows equal in key and text can't be told apart: all go or all but one stay.
     listed = rows.groupBy("id", "text_md5").agg(F.max("_keep").alias("_keep"), F.count(F.lit(1)).alias("_same"))
     listed = shared_table(listed.filter("not _keep or _same > 1").select(F.col("id").alias("_id"), F.col("text_md5").alias("_md5"), "_keep"), "jaccard-listed")

@@ -34,7 +34,7 @@ from contrail.llm.common import sample_by_hash, shared_table
 ORDERS = (3, 4, 5)
 MAX_TRAIN = 8_192
 FEATURES = 2_048
-MIN_Z = 3.5
+MIN_Z = 3.0
 SMOOTHING = 1.0
 L2 = 1e-3
 STEPS = 400
