@@ -148,17 +148,18 @@ def best_second_legs(flights: DataFrame) -> DataFrame:
 
 
 def connect_legs(
-    flights: DataFrame, second_legs: DataFrame, days: int = 2, salt_buckets: int = 8, broadcast_second: bool = False
+    flights: DataFrame, second_legs: DataFrame, days: int = 2, salt_buckets: int | None = None, broadcast_second: bool = False
 ) -> DataFrame:
     """Left-join every flight (first leg) to the one second leg leaving its
     destination ``days`` later, with ``first_``/``second_`` column prefixes.
 
     ``broadcast_second`` (the caller has proven the second side small) makes
     it a broadcast join: the flights are not shuffled at all. Otherwise the
-    join is salted over ``salt_buckets`` (1 = plain join, left to AQE)."""
+    join is salted over ``salt_buckets`` (1 = plain join, left to AQE; default: the
+    shuffle partitions)."""
     first = as_legs(flights).select(*[F.col(c).alias(f"first_{c}") for c in LEG_COLUMNS])
     second = second_legs.select(*[F.col(c).alias(f"second_{c}") for c in LEG_COLUMNS])
-    if broadcast_second or salt_buckets <= 1:
+    if broadcast_second or salt_buckets == 1:
         cond = (F.col("first_dest") == F.col("second_origin")) & (
             F.col("second_flight_date") == F.date_add(F.col("first_flight_date"), days)
         )
@@ -172,7 +173,7 @@ def connect_legs(
     )
 
 
-def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int = 8) -> DataFrame:
+def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int | None = None) -> DataFrame:
     """Every flight (first leg) with the best onward flight (second leg) that
     leaves its destination ``days`` later, or nulls when there is none.
 

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One update per key: the row with the smallest ``order`` values.
+def first_per_key(updates: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One update per key: the row with the smallest ``order`` values, nulls last
+    (then the smallest other values, so the choice is always the same).
 
     A ``min`` over a struct is a partial aggregate, so a key with very many
     updates is reduced before the shuffle.
     """
-    rest = [c for c in updates.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
+    order = order or []
+    ranked = order + [c for c in updates.columns if c not in keys and c not in order]
+    fields = [x for c in ranked for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    packed = F.struct(*(fields or [F.lit(0).alias("_none")])).alias("_row")
     return updates.groupBy(*keys).agg(F.min(packed).alias("_row")).select(
         *keys, *[F.col(f"_row.{c}").alias(c) for c in updates.columns if c not in keys]
     ).select(*updates.columns)
@@ -22,10 +25,9 @@ def first_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> Data
 def upsert(current: DataFrame, updates: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Rows of ``current`` whose key has no update, plus the updates.
 
-    With ``order``, several updates for one key collapse to the smallest by
-    ``order`` first (the serving table keeps one item per key).
+    Several updates for one key collapse to the smallest by ``order`` (and the
+    other columns) first: the serving table keeps one item per key.
     """
-    if order:
-        updates = first_per_key(updates, keys, order)
+    updates = first_per_key(updates, keys, order)
     kept = current.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates.select(*current.columns))

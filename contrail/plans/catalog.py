@@ -8,6 +8,7 @@ columns it reads.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import short_number
 from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.filters import min_fields
-from contrail.operators.joins import BROADCAST_ROW_LIMIT, lookup_left_join
+from contrail.operators.joins import broadcast_rows, lookup_left_join
 from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.operators.upsert import first_per_key
@@ -23,6 +24,7 @@ from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS, OLD_KEPT_COLUMNS
 from contrail.session import scratch_path
 from contrail.sinks.files import materialize, write_delimited, write_key_value
+from contrail.sinks.keyed import KeyedTable
 from contrail.sources.files import (
     read_clean_flights,
     read_key_value,
@@ -39,14 +41,13 @@ from contrail.sources.tables import (
     raw_rows_from_flights,
     read_table,
 )
-from contrail.streaming.files import table_stream, write_files
+from contrail.streaming.files import table_stream, write_files, upsert_batches
 
 # Airports picked for the subset report, and the date that
 # splits the flights into two loads for the serving-table upsert.
 REPORT_AIRPORTS = ["NATION_3", "NATION_7", "NATION_12", "NATION_21"]
 UPSERT_SPLIT_DATE = "1998-01-01"
 
-STREAM_TIMEOUT_S = 1800  # an available-now run that takes longer is stopped and reported
 
 TRAFFIC_COLS = ["origin", "dest", "arr_delay", "dep_time"]
 # 2-1 reads no destination (no order/customer join); 2-2 reads no carrier (no part join).
@@ -124,7 +125,9 @@ def _itineraries(spark, sf_dir) -> tuple[DataFrame, int]:
 def _leg_flights(spark, sf_dir, itin: DataFrame, n: int) -> DataFrame:
     """Flights on the days of the requested legs only (at most 2 days per itinerary)."""
     days = itinerary_legs(itin).select("flight_date").distinct()
-    return _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=2 * n)
+    first = [date.fromisoformat(str(row[-1])) for row in TABLE_ITINERARIES]
+    values = [str(d + timedelta(days=k)) for d in first for k in (0, 2)]
+    return _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=2 * n, day_values=values)
 
 
 def leg_flight_min_delay(spark, sf_dir):
@@ -144,7 +147,7 @@ def leg_pairs(spark, sf_dir):
     beyond it the join is salted."""
     cols = ["flight_date", "airline_id", "carrier", "origin", "dest", "dep_delay", "arr_delay"]
     second = materialize(best_second_legs(_flights(spark, sf_dir, cols)), scratch_path(spark, "best-second-legs"))
-    small = second.count() <= BROADCAST_ROW_LIMIT
+    small = second.count() <= broadcast_rows(second)
     return connect_legs(_flights(spark, sf_dir, cols), second, broadcast_second=small)
 
 
@@ -221,6 +224,29 @@ def route_key_value(spark, sf_dir):
     return read_key_value(spark, path)
 
 
+def origin_carrier_best10_mr(spark, sf_dir):
+    return Q.origin_carrier_best_unrounded(_flights(spark, sf_dir, CARRIER_DEP_COLS))
+
+
+def origin_dest_worst_report(spark, sf_dir):
+    return Q.origin_dest_worst_report(_flights(spark, sf_dir, ROUTE_DEP_COLS))
+
+
+def serving_stream_upsert(spark, sf_dir):
+    """The 2-4 serving table kept in the sink: load 0 by an upsert, load 1 as a stream
+    of several micro-batches on the loaded table, read back from the sink."""
+    base = scratch_path(spark, "serving-stream")
+    means = Q.route_means_by_load(_flights(spark, sf_dir, ["flight_date"] + TRAFFIC_COLS), UPSERT_SPLIT_DATE)
+    loads = materialize(means, f"{base}/means")
+    table = KeyedTable(spark, f"{base}/table", ["origin", "dest"])
+    table.upsert(loads.filter("load = 0").drop("load"))
+    second = loads.filter("load = 1").drop("load")
+    second.repartition(3, "origin").write.mode("overwrite").parquet(f"{base}/arriving")
+    stream = table_stream(spark, f"{base}/arriving", second.schema, max_files=1)
+    upsert_batches(stream, table, f"{base}/checkpoint", available_now=True).awaitTermination()
+    return table.current()
+
+
 def leg_serving(spark, sf_dir):
     """3-2 as serving items: one per (origin, dest, date, time), the lowest
     (delay, airline) when two flights leave at the same minute."""
@@ -236,11 +262,7 @@ def stream_tail(spark, sf_dir):
     base = scratch_path(spark, "stream_tail")
     stream = table_stream(spark, sf_dir, schema, file_glob="events.parquet")
     q = write_files(stream, f"{base}/data", f"{base}/checkpoint", available_now=True)
-    if not q.awaitTermination(STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"stream_tail did not finish within {STREAM_TIMEOUT_S} s")
-    if q.exception() is not None:
-        raise RuntimeError(f"stream_tail failed: {q.exception()}")
+    q.awaitTermination()  # until the available files are done; a failure is raised here
     return spark.read.schema(schema).parquet(f"{base}/data")
 
 
@@ -268,4 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "old_layout_airlines": old_layout_airlines,
     "route_key_value": route_key_value,
     "origin_carrier_pairs": origin_carrier_pairs,
+    "origin_carrier_best10_mr": origin_carrier_best10_mr,
+    "origin_dest_worst_report": origin_dest_worst_report,
+    "serving_stream_upsert": serving_stream_upsert,
 }

@@ -87,7 +87,7 @@ TRAFFIC = f"""traffic AS (
 )"""
 
 ORIGIN_CARRIER = f"""oc AS (
-  SELECT origin, carrier, {_r2('avg(dep_delay)')} AS delay
+  SELECT origin, carrier, {_r2('avg(dep_delay)')} AS delay, avg(dep_delay) AS plain
   FROM flights
   WHERE {EIGHT} AND {_p('origin')} AND {_p('carrier')} AND dep_delay IS NOT NULL
     AND NOT coalesce(cancelled = '1.00', false)
@@ -101,7 +101,7 @@ oc_best AS (
 )"""
 
 ORIGIN_DEST = f"""od AS (
-  SELECT origin, dest, {_r2('avg(dep_delay)')} AS delay
+  SELECT origin, dest, {_r2('avg(dep_delay)')} AS delay, avg(dep_delay) AS plain
   FROM flights
   WHERE {EIGHT} AND {_p('origin')} AND {_p('dest')} AND dep_delay IS NOT NULL
   GROUP BY origin, dest
@@ -186,7 +186,7 @@ LIMIT 10""",
     "origin_carrier_best10": _with(FLIGHTS, ORIGIN_CARRIER) + "SELECT origin, carrier, delay, rank FROM oc_best",
     "origin_dest_best10": _with(FLIGHTS, ORIGIN_DEST) + "SELECT origin, dest, delay, rank FROM od_best",
     "origin_dest_worst10": _with(FLIGHTS, ORIGIN_DEST) + """SELECT origin, dest, delay,
-  CAST(row_number() OVER (PARTITION BY origin ORDER BY delay DESC, dest DESC) AS INTEGER) AS rank
+  CAST(row_number() OVER (PARTITION BY origin ORDER BY plain DESC, dest DESC) AS INTEGER) AS rank
 FROM od
 QUALIFY rank <= 10""",
     "route_mean_arrival": _with(FLIGHTS) + _route_means(),
@@ -232,6 +232,20 @@ r2 AS ({_route_means(f"flight_date >= DATE '{UPSERT_SPLIT_DATE}'")})""") + """SE
 WHERE NOT EXISTS (SELECT 1 FROM r2 WHERE r2.origin = r1.origin AND r2.dest = r1.dest)
 UNION ALL
 SELECT * FROM r2""",
+    "serving_stream_upsert": _with(FLIGHTS, f"""r1 AS ({_route_means(f"flight_date < DATE '{UPSERT_SPLIT_DATE}'")}),
+r2 AS ({_route_means(f"flight_date >= DATE '{UPSERT_SPLIT_DATE}'")})""") + """SELECT * FROM r1
+WHERE NOT EXISTS (SELECT 1 FROM r2 WHERE r2.origin = r1.origin AND r2.dest = r1.dest)
+UNION ALL
+SELECT * FROM r2""",
+    "origin_carrier_best10_mr": _with(FLIGHTS, ORIGIN_CARRIER) + """SELECT origin, carrier, delay,
+  CAST(row_number() OVER (PARTITION BY origin ORDER BY plain, carrier) AS INTEGER) AS rank
+FROM oc
+QUALIFY rank <= 10""",
+    "origin_dest_worst_report": _with(FLIGHTS, ORIGIN_DEST) + f""", worst AS (
+  SELECT origin, dest, delay, row_number() OVER (PARTITION BY origin ORDER BY plain DESC, dest DESC) AS place FROM od QUALIFY place <= 10
+)
+SELECT origin, string_agg(dest || '(' || {_short('delay')} || ')', ' ' ORDER BY place DESC) AS destinations
+FROM worst GROUP BY origin""",
     "stream_tail": "SELECT * FROM events",
     "old_layout_airlines": _with(FLIGHTS, LOOKUPS) + """SELECT
   coalesce(a.description, '') || '(' || CAST(f.airline_id AS VARCHAR) || ')' AS airline,

@@ -81,16 +81,24 @@ def ontime_airlines_named(
     lookup = airlines if airlines_unique else unique_by_key(airlines)
     names = lookup.select(F.col("code").alias("_code"), F.col("description").alias("_name"))
     f = require(flights.filter(F.col("airline_id").isNotNull()), "arr_delay")
-    f = lookup_left_join(f, names, F.col("airline_id").cast("string"), "_code")
+    # The id is part of the key, so the mean per id is the mean per key: the name
+    # meets a row per airline, not a row per flight.
+    means = mean_by(f, ["airline_id"], "arr_delay")
+    named = lookup_left_join(means, names, F.col("airline_id").cast("string"), "_code")
     key = F.concat(F.coalesce(F.col("_name"), F.lit("")), F.lit("("), F.col("airline_id").cast("string"), F.lit(")"))
-    means = mean_by(f.withColumn("airline", key), ["airline"], "arr_delay")
-    return top_n(means, [("delay", True), ("airline", True)], n)
+    return top_n(named.select(key.alias("airline"), "delay"), [("delay", True), ("airline", True)], n)
 
 
-def origin_carrier_means(flights: DataFrame) -> DataFrame:
+def origin_carrier_means(flights: DataFrame, digits: int | None = 2) -> DataFrame:
     """(origin, carrier, delay): mean departure delay, cancelled flights left out."""
     f = exclude_cancelled(require(min_fields(flights, 8), "origin", "carrier", "dep_delay"))
-    return mean_by(f, ["origin", "carrier"], "dep_delay", digits=2)
+    return mean_by(f, ["origin", "carrier"], "dep_delay", digits=digits)
+
+
+def origin_carrier_best_unrounded(flights: DataFrame, k: int = TOP) -> DataFrame:
+    """2-1 as the older job has it: ranked by the unrounded mean, shown rounded."""
+    ranked = best_k(origin_carrier_means(flights, digits=None), ["origin"], "delay", "carrier", k)
+    return ranked.withColumn("delay", round_half_up("delay"))
 
 
 def origin_carrier_best(flights: DataFrame, k: int = TOP) -> DataFrame:
@@ -98,10 +106,10 @@ def origin_carrier_best(flights: DataFrame, k: int = TOP) -> DataFrame:
     return best_k(origin_carrier_means(flights), ["origin"], "delay", "carrier", k)
 
 
-def origin_dest_means(flights: DataFrame) -> DataFrame:
+def origin_dest_means(flights: DataFrame, digits: int | None = 2) -> DataFrame:
     """(origin, dest, delay): mean departure delay per route (cancelled kept)."""
     f = require(min_fields(flights, 8), "origin", "dest", "dep_delay")
-    return mean_by(f, ["origin", "dest"], "dep_delay", digits=2)
+    return mean_by(f, ["origin", "dest"], "dep_delay", digits=digits)
 
 
 def origin_dest_best(flights: DataFrame, k: int = TOP) -> DataFrame:
@@ -111,8 +119,16 @@ def origin_dest_best(flights: DataFrame, k: int = TOP) -> DataFrame:
 
 def origin_dest_worst(flights: DataFrame, k: int = TOP) -> DataFrame:
     """2-2, other direction: per origin, the ``k`` destinations with the
-    highest mean departure delay; rank 1 is the worst."""
-    return worst_k(origin_dest_means(flights), ["origin"], "delay", "dest", k)
+    highest mean departure delay; rank 1 is the worst. Ranked by the unrounded
+    mean, shown rounded."""
+    ranked = worst_k(origin_dest_means(flights, digits=None), ["origin"], "delay", "dest", k)
+    return ranked.withColumn("delay", round_half_up("delay"))
+
+
+def origin_dest_worst_report(flights: DataFrame, k: int = TOP) -> DataFrame:
+    """2-2 worst as text: (origin, destinations) with ``dest(delay) ...``, the worst last."""
+    rising = origin_dest_worst(flights, k).withColumn("rank", -F.col("rank"))
+    return ranked_text(rising, ["origin"], "rank", "dest", "delay", alias="destinations")
 
 
 def route_mean_arrival(flights: DataFrame, digits: int | None = 2, fields: int = 9) -> DataFrame:

@@ -7,7 +7,7 @@
 ``--tables`` uses the driver tables through the flights mapping. Each answer
 is written to ``<output>/<id>`` (replacing what was there) as Parquet, CSV or
 ``key<TAB>value`` text. The input is persisted once when several questions
-share it, and released at the end.
+share it (not for Parquet, which is scanned column by column), and released at the end.
 """
 
 from __future__ import annotations
@@ -103,6 +103,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--tables", help="directory of the driver tables")
     src.add_argument("--raw", help="raw on-time CSV files (a directory or a glob); see --clean-out")
     ap.add_argument("--airports", help="airport lookup CSV (with --raw)")
+    ap.add_argument("--lenient", action="store_true", help="with --raw: malformed numbers become null instead of failing the job")
     ap.add_argument("--clean-out", help="with --raw: write the clean flights here, pipe-delimited")
     ap.add_argument("--legs-out", help="write the legs file here (each flight with its best connection), pipe-delimited")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
@@ -114,16 +115,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--write-as", default="parquet", choices=["parquet", "csv", "text"])
     ap.add_argument("--show", action="store_true", help="print the schema and first rows of each answer")
     args = ap.parse_args(argv)
+    if args.n < 0 or (args.n == 0 and any(q.startswith("2-") and q != "2-4" for q in args.questions)):
+        raise SystemExit("--n 0 (no limit) holds for 1-1 and 1-2 only")
 
     spark = SparkSession.builder.appName("contrail").getOrCreate()
     if args.input or args.raw:
-        source = [args.input or args.raw.split("*")[0]]
+        source = [args.input or args.raw]
     else:
         source = [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
     n_shuffle = size_for_input(spark, input_bytes(spark, *source))
     itineraries = None
     if args.raw:
-        flights = clean_from_raw(spark, args.raw, args.airports, args.airlines)
+        flights = clean_from_raw(spark, args.raw, args.airports, args.airlines, strict=not args.lenient)
         if args.clean_out:
             write_delimited(flights, args.clean_out, sep="|")
             flights = read_clean_flights(spark, args.clean_out)
@@ -133,6 +136,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.format == "parquet":
         flights = spark.read.parquet(args.input).drop("year")
     elif args.format == "old":
+        if args.store or args.legs_out:
+            raise SystemExit("the older layout has no dates: --store and --legs-out need the clean layout")
         return answer_old_layout(spark, args)
     else:
         flights = read_clean_flights(spark, args.input)
@@ -155,7 +160,8 @@ def main(argv: list[str] | None = None) -> None:
         from contrail.operators.clean import clean_lookup
 
         airlines = clean_lookup(read_lookup(spark, args.airlines))
-    shared = len(args.questions) > 1
+    # A Parquet scan is pruned per question, which is cheaper than keeping all columns.
+    shared = len(args.questions) > 1 and args.format != "parquet"
     if shared:
         flights = flights.persist(StorageLevel.MEMORY_AND_DISK)
     n = args.n or None

@@ -67,19 +67,18 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 # Target bytes per task, for scans and for shuffle partitions; AQE coalesces
 # partitions that turn out smaller and splits skewed ones.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files under ``paths`` (any Hadoop-compatible store)."""
+    """Total size of the files under ``paths``, which may be globs (any Hadoop-compatible store)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
+        for status in fs.globStatus(path) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
     return total
 
 
@@ -89,7 +88,6 @@ def size_for_input(spark: SparkSession, total_bytes: int, partition_bytes: int =
     about one per ``partition_bytes`` of input (at least the default
     parallelism), which AQE coalesces down at runtime. Returns the count."""
     n = max(spark.sparkContext.defaultParallelism, -(-total_bytes // partition_bytes))
-    n = min(n, MAX_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes // 4))

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
-    """Delimited text without header; nulls as empty fields, dates ``yyyy-MM-dd``."""
+    """Delimited text without header; nulls as empty fields, dates ``yyyy-MM-dd``.
+    A value that holds the separator, a quote or a line end is quoted (quotes
+    doubled), and spaces at its ends are kept."""
     (
         df.write.mode(mode)
         .option("sep", sep)
         .option("header", False)
         .option("nullValue", "")
         .option("emptyValue", "")
-        .option("quote", "")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
@@ -36,16 +40,6 @@ def write_table(
     w.save(path)
 
 
-def collect_small(df: DataFrame, max_rows: int = 10_000) -> list:
-    """Rows of a result known to be small (a top-10 list), for printing or a
-    client. Refuses results above ``max_rows`` instead of filling the driver;
-    large results are written with the functions above."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it instead of collecting it")
-    return rows
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` (in the shared checkpoint folder) and read it
     back: later plans start from the files, so the lineage is cut and a lost

@@ -3,7 +3,10 @@
 Each upsert writes a complete new version directory ``v=<n>`` next to the
 old ones (Spark cannot overwrite a path it is reading from). A version counts
 only once its ``_SUCCESS`` marker exists, so a job lost half-way leaves the
-previous version in place and can simply be run again.
+previous version in place and can simply be run again. Versions are always
+numbered from the newest one. A stream's batch leaves a marker with the stream's
+name and batch number in the version it made; a replay of that batch is found by
+the marker and not written again.
 """
 
 from __future__ import annotations
@@ -44,16 +47,24 @@ class KeyedTable:
         vs = self.versions() if versions is None else versions
         return self.spark.read.parquet(f"{self.path}/v={vs[-1]}") if vs else None
 
-    def upsert(self, updates: DataFrame, version: int | None = None) -> int:
-        """Write ``current`` upserted with ``updates`` as a new version; return it."""
+    def upsert(self, updates: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """Write ``current`` upserted with ``updates`` as a new version; return it.
+
+        ``batch`` is (stream name, batch number) when the updates are a stream's
+        batch; the newest version made by that very batch is then kept as it is.
+        """
         vs = self.versions()
         cur = self.current(vs)
-        new = version if version is not None else (vs[-1] + 1 if vs else 0)
-        if vs and new <= vs[-1]:
-            return vs[-1]  # this batch was published already (replayed after a failure)
+        marker = f"_batch-{batch[0]}-{batch[1]}" if batch else None
+        fs, _, jvm = self._fs()
+        if marker and vs and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={vs[-1]}/{marker}")):
+            return vs[-1]
+        new = vs[-1] + 1 if vs else 0
         if cur is None:
-            result = first_per_key(updates, self.keys, self.order) if self.order else updates
+            result = first_per_key(updates, self.keys, self.order)
         else:
             result = upsert(cur, updates, self.keys, self.order)
         result.write.mode("overwrite").parquet(f"{self.path}/v={new}")
+        if marker:
+            fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={new}/{marker}"), True).close()
         return new

@@ -16,7 +16,7 @@ def _mode(strict: bool) -> str:
     return "FAILFAST" if strict else "PERMISSIVE"
 
 
-def read_raw_flights(spark: SparkSession, path: str, file_glob: str | None = None, strict: bool = False) -> DataFrame:
+def read_raw_flights(spark: SparkSession, path: str, file_glob: str | None = None, strict: bool = True) -> DataFrame:
     """Raw on-time CSV files (all strings), quote-aware, header lines skipped.
 
     ``path`` may itself be a glob (``.../On_Time_*_2008_1*``); ``file_glob``
@@ -44,7 +44,7 @@ def read_clean_flights(
     can be counted or set aside.
     """
     schema = CLEAN_FLIGHTS
-    reader = spark.read.option("sep", "|").option("header", False).option("dateFormat", "yyyy-MM-dd")
+    reader = spark.read.option("sep", "|").option("header", False).option("escape", '"').option("dateFormat", "yyyy-MM-dd")
     if corrupt_col:
         schema = T.StructType(CLEAN_FLIGHTS.fields + [T.StructField(corrupt_col, T.StringType(), True)])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
@@ -66,10 +66,5 @@ def read_old_clean_flights(spark: SparkSession, path: str, strict: bool = True)
 
 
 def read_key_value(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated ``key<TAB>value`` text, both kept verbatim (quotes included)."""
-    return spark.read.schema(KEY_VALUE).option("sep", "\t").option("quote", "").csv(path)
-
-
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Plain text lines in a ``value`` column."""
-    return spark.read.text(path)
+    """Tab-separated ``key<TAB>value`` text, as :func:`contrail.sinks.files.write_key_value` writes it."""
+    return spark.read.schema(KEY_VALUE).option("sep", "\t").option("escape", '"').csv(path)

@@ -76,12 +76,15 @@ def flights_from_tables(
     columns: list[str] | tuple[str, ...] | None = None,
     days: DataFrame | None = None,
     days_rows: int | None = None,
+    day_values: list[str] | None = None,
 ) -> DataFrame:
     """Flights in the clean layout (or the requested subset of its columns).
 
     ``days`` (a ``flight_date`` column, at most ``days_rows`` rows) keeps only
     flights on those days; the restriction is applied to the fact scan, before
-    any dimension join, so only those flights are shuffled.
+    any dimension join, so only those flights are shuffled. ``day_values`` are
+    the same days as ``yyyy-MM-dd`` when they are known while planning: they
+    become ranges that reach the Parquet scan, which then skips row groups.
     """
     cols = list(columns) if columns else list(CLEAN_COLUMNS)
     unknown = set(cols) - set(CLEAN_COLUMNS)
@@ -92,6 +95,13 @@ def flights_from_tables(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
+    if day_values:
+        in_days = F.lit(False)
+        for day in sorted(set(day_values)):
+            start = F.lit(day).cast("date").cast(li.schema["l_shipdate"].dataType)
+            end = F.date_add(F.lit(day).cast("date"), 1).cast(li.schema["l_shipdate"].dataType)
+            in_days = in_days | ((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end))
+        li = li.filter(in_days)
     if days is not None:
         wanted = bounded_broadcast(days.select(F.col("flight_date").alias("_day")), known_rows=days_rows)
         li = li.join(wanted, F.col("l_shipdate").cast("date") == F.col("_day"), "left_semi")

@@ -7,6 +7,8 @@ except the console sink, which prints a few rows of each batch.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -67,11 +69,20 @@ def write_files(
 
 
 def upsert_batches(
-    df: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = BATCH_INTERVAL, available_now: bool = False
+    df: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+    available_now: bool = False,
+    stream: str | None = None,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a keyed table; the batch id is the version,
-    so a batch replayed after a failure is not applied twice."""
-    w = df.writeStream.foreachBatch(lambda batch, batch_id: table.upsert(batch, version=int(batch_id)))
+    """Upsert every micro-batch into a keyed table, as a version after the newest.
+
+    ``stream`` names the stream in the table (default: a digest of the checkpoint
+    path); a batch of it that is replayed after a failure is not written twice.
+    """
+    name = stream or hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    w = df.writeStream.foreachBatch(lambda batch, batch_id: table.upsert(batch, batch=(name, int(batch_id))) and None)
     w = w.option("checkpointLocation", checkpoint)
     return _trigger(w, interval, available_now).start()
 
