@@ -12,8 +12,8 @@ the id among all that may be learned from; their feature lists (at most
 ``features`` numbers each) are what the driver fits on.
 
 Defined results: a null text scores as an empty one (the intercept's score); with
-nothing to learn from, or one class only, every score is that of the smoothed
-share of toxic labels; ids labelled twice count as toxic if any label says so;
+one class only to learn from every score is the smoothed share of toxic labels,
+with nothing to learn from it is next to 0; ids labelled twice count as toxic if any label says so;
 repeated rows get equal results; other columns pass through.
 """
 

@@ -85,7 +85,7 @@ def test_toxicity(spark, odd, none):
     assert scores[3] == scores[4] and all(0 <= s <= 1 for s in scores.values())
     assert toxicity.score(none, model).count() == 0
     assert len(toxicity.train(docs, labels.filter("toxic = 1")).keys) == 0
-    assert toxicity.train(none, labels).score("x") == 0.0
+    assert toxicity.train(none, labels).score("x") < 1e-9
 
 
 def shingle_set(text):
