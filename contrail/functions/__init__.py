@@ -1,6 +1,4 @@
 from contrail.functions.scalars import (  # noqa: F401
-    all_present,
-    any_present,
     delay_minutes,
     delayed_15,
     fields_after_trailing_cut,

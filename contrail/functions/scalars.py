@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,14 +28,6 @@ def present(c: str | Column) -> Column:
     return c.isNotNull() & (F.length(c.cast("string")) > 0)
 
 
-def all_present(*cols: str | Column) -> Column:
-    return reduce(lambda a, b: a & b, [present(c) for c in cols])
-
-
-def any_present(*cols: str | Column) -> Column:
-    return reduce(lambda a, b: a | b, [present(c) for c in cols])
-
-
 def unquote(c: str | Column) -> Column:
     """Remove every double quote from a string field."""
     return F.translate(col(c), '"', "")

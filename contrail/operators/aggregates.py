@@ -34,28 +34,10 @@ def mean_by(
     value: str | Column,
     alias: str = "delay",
     digits: int | None = None,
-    count_alias: str | None = None,
 ) -> DataFrame:
     """Mean of ``value`` per key; rounded half-up to ``digits`` when given."""
     v = F.col(value) if isinstance(value, str) else value
     mean = F.avg(v)
     if digits is not None:
         mean = round_half_up(mean, digits)
-    aggs = [mean.alias(alias)]
-    if count_alias:
-        aggs.append(F.count(v).alias(count_alias))
-    return df.groupBy(*keys).agg(*aggs)
-
-
-def min_by_key(
-    df: DataFrame,
-    keys: list[str] | tuple[str, ...],
-    value: str,
-    alias: str = "delay",
-    digits: int | None = None,
-) -> DataFrame:
-    """Minimum of ``value`` per key; rounded half-up to ``digits`` when given."""
-    m = F.min(value)
-    if digits is not None:
-        m = round_half_up(m, digits)
-    return df.groupBy(*keys).agg(m.alias(alias))
+    return df.groupBy(*keys).agg(mean.alias(alias))

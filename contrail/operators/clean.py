@@ -44,7 +44,7 @@ def enrich(
     flights: DataFrame,
     airports: DataFrame,
     airlines: DataFrame,
-    max_lookup_rows: int = 1_000_000,
+    max_lookup_rows: int | None = None,
     lookups_unique: bool = False,
 ) -> DataFrame:
     """Left-join airport names for both ends and the airline name.

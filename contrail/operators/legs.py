@@ -42,6 +42,29 @@ def itinerary_legs(itineraries: DataFrame, days: int = 2) -> DataFrame:
     return first.unionByName(second).distinct()
 
 
+def best_connections(flights: DataFrame, days: int = 2, n: int = 8) -> DataFrame:
+    """A request list ``(x, y, z, first_date)`` made from the flights themselves: the
+    best flight into each airport and day (smallest arrival delay, then origin)
+    continued by the best one out of it ``days`` later (then destination), of
+    which the ``n`` of the smallest total delay stay (then date, then airport).
+
+    Both roles of a flight go through one partial aggregate by (airport, day), so
+    the flights are read once and not joined.
+    """
+    cand = leg_candidates(flights)
+    end = lambda place, day, other, role: F.struct(
+        F.col(place).alias("y"), day.alias("first_date"), F.struct("arr_delay", F.col(other).alias("other")).alias("leg"), F.lit(role).alias("role")
+    )
+    ends = F.array(
+        end("dest", F.col("flight_date"), "origin", 1), end("origin", F.date_sub("flight_date", days), "dest", 2)
+    )
+    best = lambda role: F.min(F.when(F.col("role") == role, F.col("leg")))
+    met = cand.select(F.inline(ends)).groupBy("y", "first_date").agg(best(1).alias("a"), best(2).alias("b"))
+    met = met.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    ranked = met.orderBy(F.col("a.arr_delay") + F.col("b.arr_delay"), "first_date", "y").limit(n)
+    return ranked.select(F.col("a.other").alias("x"), "y", F.col("b.other").alias("z"), "first_date")
+
+
 def requested_leg_flights(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
     """Leg candidates on one of the requested legs. The request table is
     broadcast into a left semi join (``itinerary_rows``, when known, bounds it
@@ -175,10 +198,7 @@ def connect_legs(
 
 def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int | None = None) -> DataFrame:
     """Every flight (first leg) with the best onward flight (second leg) that
-    leaves its destination ``days`` later, or nulls when there is none.
-
-    Second legs are reduced to one per (origin, date) before the left outer
-    join, so each first leg meets at most one partner. The join is salted
-    over ``salt_buckets`` (1 = plain join, left to AQE's skew handling).
+    leaves its destination ``days`` later, or nulls when there is none; see
+    :func:`connect_legs`, which this calls with the second legs of ``flights``.
     """
     return connect_legs(flights, best_second_legs(flights), days, salt_buckets)

@@ -8,7 +8,6 @@ columns it reads.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import short_number
 from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.filters import min_fields
-from contrail.operators.joins import broadcast_rows, lookup_left_join
-from contrail.operators.legs import best_second_legs, connect_legs, itinerary_legs
+from contrail.operators.joins import lookup_left_join
+from contrail.operators.legs import itinerary_legs
 from contrail.operators.parse import parse_lines, to_lines
 from contrail.operators.upsert import first_per_key
 from contrail.plans import questions as Q
@@ -25,6 +24,7 @@ from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS, OLD_KEPT_COLUMNS
 from contrail.session import scratch_path
 from contrail.sinks.files import materialize, write_delimited, write_key_value
 from contrail.sinks.keyed import KeyedTable
+from contrail.sinks.serving import publish
 from contrail.sources.files import (
     read_clean_flights,
     read_key_value,
@@ -33,15 +33,14 @@ from contrail.sources.files import (
     read_raw_flights,
 )
 from contrail.sources.tables import (
-    TABLE_ITINERARIES,
     airline_lookup_from_tables,
     airport_lookup_from_tables,
     flights_from_tables,
-    itineraries_from_codes,
+    itineraries_from_tables,
     raw_rows_from_flights,
     read_table,
 )
-from contrail.streaming.files import table_stream, write_files, upsert_batches
+from contrail.streaming.files import table_stream, text_stream, upsert_batches, write_files
 
 # Airports picked for the subset report, and the date that
 # splits the flights into two loads for the serving-table upsert.
@@ -117,38 +116,28 @@ def route_mean_arrival(spark, sf_dir):
     return Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS))
 
 
-def _itineraries(spark, sf_dir) -> tuple[DataFrame, int]:
-    # The request is a literal table, so its size is known.
-    return itineraries_from_codes(spark, TABLE_ITINERARIES), len(TABLE_ITINERARIES)
-
-
-def _leg_flights(spark, sf_dir, itin: DataFrame, n: int) -> DataFrame:
-    """Flights on the days of the requested legs only (at most 2 days per itinerary)."""
+def _requested(spark, sf_dir) -> tuple[DataFrame, DataFrame, int]:
+    """Flights on the days of the requested legs, the request list and its length."""
+    itin = itineraries_from_tables(spark, sf_dir)
     days = itinerary_legs(itin).select("flight_date").distinct()
-    first = [date.fromisoformat(str(row[-1])) for row in TABLE_ITINERARIES]
-    values = [str(d + timedelta(days=k)) for d in first for k in (0, 2)]
-    return _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=2 * n, day_values=values)
+    values = Q.requested_days(itin)
+    flights = _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=len(values), day_values=values)
+    return flights, itin, len(values)
 
 
 def leg_flight_min_delay(spark, sf_dir):
-    itin, n = _itineraries(spark, sf_dir)
-    return Q.leg_flight_min_delay(_leg_flights(spark, sf_dir, itin, n), itin, itinerary_rows=n)
+    flights, itin, n = _requested(spark, sf_dir)
+    return Q.leg_flight_min_delay(flights, itin, itinerary_rows=n)
 
 
 def two_leg_itineraries(spark, sf_dir):
-    itin, n = _itineraries(spark, sf_dir)
-    return Q.two_leg_trips(_leg_flights(spark, sf_dir, itin, n), itin, itinerary_rows=n)
+    flights, itin, n = _requested(spark, sf_dir)
+    return Q.two_leg_trips(flights, itin, itinerary_rows=n)
 
 
 def leg_pairs(spark, sf_dir):
-    """Legs file. The second side (one best flight per airport and day) is
-    written to the shared folder and counted from its metadata; within the
-    broadcast bound it is broadcast and the flights are never shuffled,
-    beyond it the join is salted."""
     cols = ["flight_date", "airline_id", "carrier", "origin", "dest", "dep_delay", "arr_delay"]
-    second = materialize(best_second_legs(_flights(spark, sf_dir, cols)), scratch_path(spark, "best-second-legs"))
-    small = second.count() <= broadcast_rows(second)
-    return connect_legs(_flights(spark, sf_dir, cols), second, broadcast_second=small)
+    return Q.leg_pairs(_flights(spark, sf_dir, cols))
 
 
 def origin_carrier_report(spark, sf_dir):
@@ -171,28 +160,26 @@ def serving_upsert(spark, sf_dir):
 
 
 def etl_roundtrip(spark, sf_dir):
-    """The whole ETL path on the whole table: flights written as raw quoted
-    CSV and lookups as CSV files in the shared folder, read back quote-aware,
-    cleaned (header and date filter), enriched by the three left joins, stored
-    pipe-delimited in the clean layout, and read back."""
+    """The whole ETL path on the whole table. Flights (raw quoted CSV) and lookups (a
+    ``Code,Description`` row, quotes inside the codes, commas in the names) are
+    written side by side; the flights are read back by their name prefix,
+    cleaned, stored pipe-delimited, read again and joined with the names."""
     base = scratch_path(spark, "etl")
     raw = raw_rows_from_flights(_flights(spark, sf_dir))
-    raw.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{base}/raw")
-    airports, airlines = (
-        airport_lookup_from_tables(spark, sf_dir),
-        airline_lookup_from_tables(spark, sf_dir),
-    )
-    for name, lk in (("airports", airports), ("airlines", airlines)):
-        lk.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{base}/{name}")
-    clean = project_clean(read_raw_flights(spark, f"{base}/raw"))
-    enriched = enrich(
-        clean,
-        clean_lookup(read_lookup(spark, f"{base}/airports")),
-        clean_lookup(read_lookup(spark, f"{base}/airlines")),
+    raw.write.option("header", True).option("quoteAll", True).csv(f"{base}/On_Time_1")
+    for name, lk in (("L_AIRPORT", airport_lookup_from_tables(spark, sf_dir)), ("L_AIRLINE_ID", airline_lookup_from_tables(spark, sf_dir))):
+        quoted = lk.select(
+            F.concat(F.lit('"'), "code", F.lit('"')).alias("Code"), F.concat("description", F.lit(", "), "code").alias("Description")
+        )
+        quoted.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{base}/{name}")
+    # The lookups have two columns: a strict read that took them in would fail.
+    write_delimited(project_clean(read_raw_flights(spark, f"{base}/On_Time_*")), f"{base}/clean")
+    return enrich(
+        read_clean_flights(spark, f"{base}/clean"),
+        clean_lookup(read_lookup(spark, f"{base}/L_AIRPORT")),
+        clean_lookup(read_lookup(spark, f"{base}/L_AIRLINE_ID")),
         lookups_unique=True,
     )
-    write_delimited(enriched.select(*CLEAN_COLUMNS), f"{base}/clean")
-    return read_clean_flights(spark, f"{base}/clean")
 
 
 def old_layout_airlines(spark, sf_dir):
@@ -247,6 +234,39 @@ def serving_stream_upsert(spark, sf_dir):
     return table.current()
 
 
+def _published(spark, sf_dir, qid: str, answer: DataFrame) -> DataFrame:
+    """An answer as the serving table of its question, read back from the sink."""
+    return publish(spark, qid, answer, scratch_path(spark, "serving"))
+
+
+def serving_airports(spark, sf_dir):
+    return _published(spark, sf_dir, "1-1", airports_top10(spark, sf_dir))
+
+
+def serving_airlines(spark, sf_dir):
+    return _published(spark, sf_dir, "1-2", carriers_ontime_top10(spark, sf_dir))
+
+
+def serving_carriers(spark, sf_dir):
+    return _published(spark, sf_dir, "2-1", origin_carrier_best10(spark, sf_dir))
+
+
+def serving_destinations(spark, sf_dir):
+    return _published(spark, sf_dir, "2-2", origin_dest_best10(spark, sf_dir))
+
+
+def stream_lines(spark, sf_dir):
+    """Clean flights as pipe lines in several files, streamed a file at a time,
+    parsed, written batch by batch and read back."""
+    base = scratch_path(spark, "stream-lines")
+    lines = to_lines(_flights(spark, sf_dir), CLEAN_COLUMNS)
+    n = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines.repartition(n, "value").write.text(f"{base}/arriving")
+    parsed = parse_lines(text_stream(spark, f"{base}/arriving", max_files=-(-n // 3)), CLEAN_FLIGHTS)
+    write_files(parsed, f"{base}/data", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(parsed.schema).parquet(f"{base}/data")
+
+
 def leg_serving(spark, sf_dir):
     """3-2 as serving items: one per (origin, dest, date, time), the lowest
     (delay, airline) when two flights leave at the same minute."""
@@ -293,4 +313,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "origin_carrier_best10_mr": origin_carrier_best10_mr,
     "origin_dest_worst_report": origin_dest_worst_report,
     "serving_stream_upsert": serving_stream_upsert,
+    "serving_airports": serving_airports,
+    "serving_airlines": serving_airlines,
+    "serving_carriers": serving_carriers,
+    "serving_destinations": serving_destinations,
+    "stream_lines": stream_lines,
 }

@@ -10,6 +10,8 @@ partitioning, this reads the input once (no sampling pass).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,16 @@ def store_flights(flights: DataFrame, path: str, partitions: int) -> None:
     )
 
 
-def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
-    """The stored table without its ``year`` directory column."""
-    return spark.read.parquet(path).drop("year")
+def read_stored_flights(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The stored table without its ``year`` directory column. With ``days``
+    (``yyyy-MM-dd``) only flights on them: other years' directories are not listed
+    and the days reach the Parquet scan."""
+    stored = spark.read.parquet(path)
+    if days is not None:
+        stored = stored.filter(
+            F.col("year").isin(sorted({int(d[:4]) for d in days})) & F.col("flight_date").isin([dt.date.fromisoformat(d) for d in days])
+        )
+    return stored.drop("year")
 
 
 def clean_from_raw(

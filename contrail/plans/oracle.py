@@ -5,7 +5,7 @@ DataFrame code, so the two can check each other."""
 from __future__ import annotations
 
 from contrail.plans.catalog import REPORT_AIRPORTS, UPSERT_SPLIT_DATE
-from contrail.sources.tables import SECOND_LEG_DAYS, TABLE_ITINERARIES
+from contrail.sources.tables import SECOND_LEG_DAYS
 
 _RF = "(l.l_returnflag = 'R' AND l.l_linestatus = 'F')"
 _ODD = f"({_RF} AND l.l_linenumber % 2 = 1)"
@@ -61,9 +61,25 @@ def _short(x: str) -> str:
 NINE = f"({_p('arr_delay')} OR {_p('dep_time')})"
 EIGHT = f"({_p('dep_delay')} OR {NINE})"
 
-_ITIN_VALUES = ", ".join(f"('{x}', '{y}', '{z}', DATE '{d}')" for x, y, z, d in TABLE_ITINERARIES)
-ITINERARIES = f"""itin AS (
-  SELECT * FROM (VALUES {_ITIN_VALUES}) AS v(x, y, z, first_date)
+ITINERARIES = f"""usable AS (
+  SELECT f.*, concat_ws('-', f.carrier, f.flight_num) AS airline
+  FROM flights f
+  WHERE {NINE} AND {_p('f.origin')} AND {_p('f.dest')} AND f.arr_delay IS NOT NULL
+    AND f.flight_date IS NOT NULL AND {_p('f.dep_time')}
+),
+into_y AS (
+  SELECT origin, dest, flight_date, arr_delay FROM usable
+  QUALIFY row_number() OVER (PARTITION BY dest, flight_date ORDER BY arr_delay, origin) = 1
+),
+out_of_y AS (
+  SELECT origin, dest, flight_date, arr_delay FROM usable
+  QUALIFY row_number() OVER (PARTITION BY origin, flight_date ORDER BY arr_delay, dest) = 1
+),
+itin AS (
+  SELECT a.origin AS x, a.dest AS y, b.dest AS z, a.flight_date AS first_date
+  FROM into_y a JOIN out_of_y b ON b.origin = a.dest AND b.flight_date = a.flight_date + {SECOND_LEG_DAYS}
+  ORDER BY a.arr_delay + b.arr_delay, a.flight_date, a.dest
+  LIMIT 8
 ),
 legs AS (
   SELECT x AS origin, y AS dest, first_date AS flight_date FROM itin
@@ -71,11 +87,8 @@ legs AS (
   SELECT y, z, first_date + {SECOND_LEG_DAYS} FROM itin
 ),
 cand AS (
-  SELECT f.*, concat_ws('-', f.carrier, f.flight_num) AS airline
-  FROM flights f
-  WHERE {NINE} AND {_p('f.origin')} AND {_p('f.dest')} AND f.arr_delay IS NOT NULL
-    AND f.flight_date IS NOT NULL AND {_p('f.dep_time')}
-    AND EXISTS (SELECT 1 FROM legs g WHERE g.origin = f.origin AND g.dest = f.dest AND g.flight_date = f.flight_date)
+  SELECT f.* FROM usable f
+  WHERE EXISTS (SELECT 1 FROM legs g WHERE g.origin = f.origin AND g.dest = f.dest AND g.flight_date = f.flight_date)
 )"""
 
 TRAFFIC = f"""traffic AS (
@@ -258,7 +271,13 @@ LIMIT 10""",
     "route_key_value": _with(FLIGHTS, f"routes AS ({_route_means()})") + f"""SELECT origin || '-' || dest AS key,
   {_short('delay')} AS value
 FROM routes""",
-    "etl_roundtrip": _with(FLIGHTS) + "SELECT * FROM flights WHERE flight_date > DATE '1900-01-01'",
+    "etl_roundtrip": _with(FLIGHTS) + """SELECT f.*,
+  o.r_name || '  ' || f.origin AS origin_name, d.r_name || '  ' || f.dest AS dest_name,
+  f.carrier || '  ' || CAST(f.airline_id AS VARCHAR) AS airline_name
+FROM flights f
+JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) o ON o.n_name = f.origin
+JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) d ON d.n_name = f.dest
+WHERE f.flight_date > DATE '1900-01-01'""",
     "leg_serving": _with(FLIGHTS, ITINERARIES) + f""", items AS (
   SELECT origin, dest, flight_date, dep_time, replace(airline, '"', '') AS airline,
          {_r2('min(arr_delay)')} AS delay
@@ -268,3 +287,16 @@ FROM routes""",
 SELECT * FROM items
 QUALIFY row_number() OVER (PARTITION BY origin, dest, flight_date, dep_time ORDER BY delay, airline) = 1""",
 }
+
+_DEST_PAIRS = _with(FLIGHTS, ORIGIN_DEST) + """SELECT origin,
+  '[' || string_agg('(' || CAST(delay AS VARCHAR) || ', ' || dest || ')', ', ' ORDER BY rank) || ']' AS pairs
+FROM od_best GROUP BY origin"""
+
+# What is read back from a serving table is the answer that was published.
+ORACLE_SQL.update(
+    serving_airports=ORACLE_SQL["airports_top10"],
+    serving_airlines=ORACLE_SQL["carriers_ontime_top10"],
+    serving_carriers=ORACLE_SQL["origin_carrier_pairs"],
+    serving_destinations=_DEST_PAIRS,
+    stream_lines=ORACLE_SQL["flights_parsed"],
+)

@@ -17,10 +17,10 @@ legs        every flight with its best onward flight two days later       :func:
 1-2 old     1-2 named on the older layout (name carried by each row)      :func:`ontime_airlines_inline`
 ==========  ============================================================  =========================
 
-Report forms: :func:`origin_carrier_report`, :func:`origin_dest_report`,
-:func:`origin_carrier_pairs`, :func:`airport_subset_report`,
-:func:`key_value_lines`; serving table after two loads:
-:func:`route_serving_upsert`.
+Report forms: :func:`origin_carrier_report`, :func:`origin_dest_worst_report`,
+:func:`origin_carrier_pairs`, :func:`origin_dest_pairs`,
+:func:`airport_subset_report`, :func:`key_value_lines`; serving table after two
+loads: :func:`serving_after_loads`.
 
 Shared rules: means are rounded half-up to two places where the question
 shows them rounded; ties in a ranking are broken by the name (ascending for
@@ -36,12 +36,21 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import named_value, round_half_up
 from contrail.operators.aggregates import endpoint_counts, mean_by
 from contrail.operators.filters import exclude_cancelled, min_fields, require
-from contrail.operators.joins import lookup_left_join, unique_by_key
-from contrail.operators.legs import best_two_leg_trips, flight_min_delay, with_best_connection
+from contrail.operators.joins import broadcast_rows, lookup_left_join, unique_by_key
+from contrail.operators.legs import (
+    as_legs,
+    best_second_legs,
+    best_two_leg_trips,
+    connect_legs,
+    flight_min_delay,
+    itinerary_legs,
+)
 from contrail.operators.lists import list_text, pairs_text, ranked_list, ranked_text
 from contrail.operators.rank import best_k, top_n, worst_k
 from contrail.operators.upsert import upsert
 from contrail.schemas import CLEAN_COLUMNS
+from contrail.session import scratch_path
+from contrail.sinks.files import materialize
 
 # The length of every top list.
 TOP = 10
@@ -89,15 +98,15 @@ def ontime_airlines_named(
     return top_n(named.select(key.alias("airline"), "delay"), [("delay", True), ("airline", True)], n)
 
 
-def origin_carrier_means(flights: DataFrame, digits: int | None = 2) -> DataFrame:
+def origin_carrier_means(flights: DataFrame, digits: int | None = 2, fields: int = 8) -> DataFrame:
     """(origin, carrier, delay): mean departure delay, cancelled flights left out."""
-    f = exclude_cancelled(require(min_fields(flights, 8), "origin", "carrier", "dep_delay"))
+    f = exclude_cancelled(require(min_fields(flights, fields) if fields else flights, "origin", "carrier", "dep_delay"))
     return mean_by(f, ["origin", "carrier"], "dep_delay", digits=digits)
 
 
-def origin_carrier_best_unrounded(flights: DataFrame, k: int = TOP) -> DataFrame:
+def origin_carrier_best_unrounded(flights: DataFrame, k: int = TOP, fields: int = 8) -> DataFrame:
     """2-1 as the older job has it: ranked by the unrounded mean, shown rounded."""
-    ranked = best_k(origin_carrier_means(flights, digits=None), ["origin"], "delay", "carrier", k)
+    ranked = best_k(origin_carrier_means(flights, None, fields), ["origin"], "delay", "carrier", k)
     return ranked.withColumn("delay", round_half_up("delay"))
 
 
@@ -106,9 +115,9 @@ def origin_carrier_best(flights: DataFrame, k: int = TOP) -> DataFrame:
     return best_k(origin_carrier_means(flights), ["origin"], "delay", "carrier", k)
 
 
-def origin_dest_means(flights: DataFrame, digits: int | None = 2) -> DataFrame:
+def origin_dest_means(flights: DataFrame, digits: int | None = 2, fields: int = 8) -> DataFrame:
     """(origin, dest, delay): mean departure delay per route (cancelled kept)."""
-    f = require(min_fields(flights, 8), "origin", "dest", "dep_delay")
+    f = require(min_fields(flights, fields) if fields else flights, "origin", "dest", "dep_delay")
     return mean_by(f, ["origin", "dest"], "dep_delay", digits=digits)
 
 
@@ -117,11 +126,11 @@ def origin_dest_best(flights: DataFrame, k: int = TOP) -> DataFrame:
     return best_k(origin_dest_means(flights), ["origin"], "delay", "dest", k)
 
 
-def origin_dest_worst(flights: DataFrame, k: int = TOP) -> DataFrame:
+def origin_dest_worst(flights: DataFrame, k: int = TOP, fields: int = 8) -> DataFrame:
     """2-2, other direction: per origin, the ``k`` destinations with the
     highest mean departure delay; rank 1 is the worst. Ranked by the unrounded
     mean, shown rounded."""
-    ranked = worst_k(origin_dest_means(flights, digits=None), ["origin"], "delay", "dest", k)
+    ranked = worst_k(origin_dest_means(flights, None, fields), ["origin"], "delay", "dest", k)
     return ranked.withColumn("delay", round_half_up("delay"))
 
 
@@ -160,9 +169,22 @@ def two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2, iti
     return best_two_leg_trips(flights, itineraries, days, itinerary_rows)
 
 
+def requested_days(itineraries: DataFrame, days: int = 2) -> list[str]:
+    """The days (``yyyy-MM-dd``) of the requested legs; ``itineraries`` is a short request list."""
+    return sorted(str(r["flight_date"]) for r in itinerary_legs(itineraries, days).select("flight_date").distinct().collect())
+
+
 def leg_pairs(flights: DataFrame, days: int = 2) -> DataFrame:
-    """Legs file: each flight with its best onward flight ``days`` later."""
-    return with_best_connection(flights, days)
+    """Legs file: each flight with its best onward flight ``days`` later.
+
+    The legs are written once to the shared folder and both sides read that table.
+    The second side (one flight per airport and day) is written and counted from
+    its metadata: within the broadcast bound the flights are not shuffled, beyond
+    it the join is salted."""
+    spark = flights.sparkSession
+    legs = materialize(as_legs(flights), scratch_path(spark, "legs"))
+    second = materialize(best_second_legs(legs), scratch_path(spark, "best-second-legs"))
+    return connect_legs(legs, second, days, broadcast_second=second.count() <= broadcast_rows(second))
 
 
 def origin_carrier_report(flights: DataFrame, k: int = TOP) -> DataFrame:
@@ -173,13 +195,18 @@ def origin_carrier_report(flights: DataFrame, k: int = TOP) -> DataFrame:
 def origin_carrier_pairs(flights: DataFrame, k: int = TOP) -> DataFrame:
     """2-1 as the ordered set of pairs: (origin, pairs) with
     ``[(delay, carrier), (delay, carrier), ...]`` best first."""
-    listed = ranked_list(origin_carrier_best(flights, k), ["origin"], "rank", ["delay", "carrier"], alias="entries")
-    return listed.select("origin", pairs_text("entries", "delay", "carrier").alias("pairs"))
+    return pairs_by_origin(origin_carrier_best(flights, k), "carrier")
+
 
+def origin_dest_pairs(flights: DataFrame, k: int = TOP) -> DataFrame:
+    """2-2 as the ordered set of pairs: (origin, pairs) with ``[(delay, dest), ...]`` best first."""
+    return pairs_by_origin(origin_dest_best(flights, k), "dest")
 
-def origin_dest_report(flights: DataFrame, k: int = TOP) -> DataFrame:
-    """2-2 as text: (origin, destinations) with ``dest(delay) ...`` best first."""
-    return ranked_text(origin_dest_best(flights, k), ["origin"], "rank", "dest", "delay", alias="destinations")
+
+def pairs_by_origin(ranked: DataFrame, name: str) -> DataFrame:
+    """A per-origin ranking as ``[(delay, name), (delay, name), ...]``, best first."""
+    listed = ranked_list(ranked, ["origin"], "rank", ["delay", name], alias="entries")
+    return listed.select("origin", pairs_text("entries", "delay", name).alias("pairs"))
 
 
 def airport_subset_report(flights: DataFrame, airports: list[str], k: int = TOP) -> DataFrame:
@@ -207,13 +234,6 @@ def serving_after_loads(means_by_load: DataFrame) -> DataFrame:
     return upsert(first, second, ["origin", "dest"])
 
 
-def route_serving_upsert(flights: DataFrame, split_date: str) -> DataFrame:
-    """Serving table of 2-4 after two loads: routes computed from flights
-    before ``split_date``, then upserted with routes from the flights on or
-    after it."""
-    return serving_after_loads(route_means_by_load(flights, split_date))
-
-
 def key_value_lines(qid: str, answer: DataFrame) -> DataFrame:
     """An answer as ``(key, value)`` text, the layout of the stored outputs:
     ``airport -> flights``, ``airline -> delay``, ``origin -> name(delay) ...``,
@@ -233,13 +253,3 @@ def key_value_lines(qid: str, answer: DataFrame) -> DataFrame:
         return answer.select(key.alias("key"), named_value("airline", "delay").alias("value"))
     raise ValueError(f"no text layout for {qid}")
 
-
-QUESTIONS = {
-    "1-1": popular_airports,
-    "1-2": ontime_carriers,
-    "2-1": origin_carrier_best,
-    "2-2": origin_dest_best,
-    "2-4": route_mean_arrival,
-    "3-1": airports_by_popularity,
-    "3-2": leg_flight_min_delay,
-}

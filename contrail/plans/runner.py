@@ -16,12 +16,14 @@ import argparse
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contrail.plans import questions as Q
-from contrail.plans.etl import clean_from_raw, store_flights
+from contrail.plans.etl import clean_from_raw, read_stored_flights, store_flights
 from contrail.session import input_bytes, size_for_input
 from contrail.operators.filters import min_fields
 from contrail.schemas import ITINERARY, OLD_KEPT_COLUMNS
+from contrail.sinks.serving import SERVING_KEYS, publish
 from contrail.sinks.files import write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup, read_old_clean_flights
 from contrail.sources.tables import flights_from_tables, itineraries_from_codes, itineraries_from_tables
@@ -54,20 +56,28 @@ def answer(qid: str, flights: DataFrame, n: int | None, itineraries: DataFrame |
     raise SystemExit(f"unknown question {qid}")
 
 
-OLD_IDS = ("1-1", "3-1", "1-2-named", "2-4")
+OLD_IDS = ("1-1", "3-1", "1-2-named", "2-1", "2-2-worst", "2-4")
 
 
 def answer_old_layout(spark: SparkSession, args) -> None:
     """Questions on the older layout: counts need a field at position 9 or 10
     (airline id or name), 1-2 takes the airline name from the row, and 2-4
-    prints the unrounded mean. The layout has no departure delay, so 2-1 and
-    2-2 are not answered from it."""
+    prints the unrounded mean. The layout has one delay field; ``--delay-field dep``
+    says that it holds departure delays, which 2-1 and 2-2 (ranked by the
+    unrounded mean) need."""
     flights = read_old_clean_flights(spark, args.input)
     with_airline = min_fields(flights, 5, OLD_KEPT_COLUMNS)  # field 9 or 10 present
     n = args.n or None
     for qid in args.questions:
         if qid not in OLD_IDS:
             raise SystemExit(f"{qid} cannot be answered from the older layout")
+        if qid.startswith("2-") and qid != "2-4":
+            if args.delay_field != "dep":
+                raise SystemExit(f"{qid} needs departure delays: --delay-field dep")
+            as_dep = with_airline.withColumnRenamed("arr_delay", "dep_delay").withColumn("cancelled", F.lit(None).cast("string"))
+            fn = Q.origin_carrier_best_unrounded if qid == "2-1" else Q.origin_dest_worst
+            _emit(args, qid, qid, fn(as_dep, n or Q.TOP, fields=0))
+            continue
         if qid in ("1-1", "3-1"):
             out = Q.popular_airports(flights, n if qid == "1-1" else None, OLD_KEPT_COLUMNS, 5)
         elif qid == "1-2-named":
@@ -89,6 +99,8 @@ def _emit(args, text_id: str, qid: str, out: DataFrame) -> None:
             write_delimited(out, path, sep="|")
         else:
             write_key_value(Q.key_value_lines(text_id, out), "key", "value", path)
+    if args.serve and text_id in SERVING_KEYS:
+        publish(out.sparkSession, text_id, out, args.serve)
 
 
 IDS = ["1-1", "1-2", "1-2-named", "2-1", "2-2", "2-2-worst", "2-4", "3-1", "3-2", "3-2-trips"]
@@ -107,7 +119,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--clean-out", help="with --raw: write the clean flights here, pipe-delimited")
     ap.add_argument("--legs-out", help="write the legs file here (each flight with its best connection), pipe-delimited")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
-                    help="old: the older pipe layout (1-1, 3-1, 1-2-named, 2-4 only)")
+                    help="old: the older pipe layout (1-1, 3-1, 1-2-named, 2-1, 2-2-worst, 2-4 only)")
+    ap.add_argument("--delay-field", default="arr", choices=["arr", "dep"], help="what the delay field of the older layout holds")
+    ap.add_argument("--serve", help="upsert the answers of 1-1, 1-2, 2-1, 2-2, 2-4 and 3-2 into the serving tables in this directory")
     ap.add_argument("--airlines", help="airline lookup CSV (for 1-2-named, and --raw)")
     ap.add_argument("--itineraries", help="CSV x,y,z,first_date with header for 3-2 (default: the fixed on-time list)")
     ap.add_argument("--n", type=int, default=Q.TOP, help="list length (0 = no limit for 1-1 and 1-2)")
@@ -132,9 +146,10 @@ def main(argv: list[str] | None = None) -> None:
             flights = read_clean_flights(spark, args.clean_out)
     elif args.tables:
         flights = flights_from_tables(spark, args.tables)
-        itineraries = itineraries_from_tables(spark, args.tables)
+        if any(q.startswith("3-2") for q in args.questions):
+            itineraries = itineraries_from_tables(spark, args.tables)
     elif args.format == "parquet":
-        flights = spark.read.parquet(args.input).drop("year")
+        flights = read_stored_flights(spark, args.input)
     elif args.format == "old":
         if args.store or args.legs_out:
             raise SystemExit("the older layout has no dates: --store and --legs-out need the clean layout")
@@ -167,7 +182,10 @@ def main(argv: list[str] | None = None) -> None:
     n = args.n or None
     try:
         for qid in args.questions:
-            out = answer(qid, flights, n, itineraries, airlines)
+            source = flights
+            if args.format == "parquet" and args.input and qid.startswith("3-2"):
+                source = read_stored_flights(spark, args.input, days=Q.requested_days(itineraries))
+            out = answer(qid, source, n, itineraries, airlines)
             _emit(args, qid, qid, out)
     finally:
         if shared:

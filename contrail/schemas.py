@@ -67,7 +67,6 @@ OLD_CLEAN_FLIGHTS = T.StructType([
     T.StructField("airline_name", T.StringType(), True),
 ])
 
-OLD_CLEAN_COLUMNS = [f.name for f in OLD_CLEAN_FLIGHTS.fields]
 # Columns the older layout keeps after reading, in field order.
 OLD_KEPT_COLUMNS = ["carrier", "origin", "dest", "arr_delay", "airline_id", "airline_name"]
 

@@ -31,7 +31,7 @@ def read_raw_flights(spark: SparkSession, path: str, file_glob: str | None = Non
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """A two-column lookup CSV ``(code, description)``. The header row is kept
     (it is dropped by :func:`contrail.operators.clean.clean_lookup`)."""
-    return spark.read.schema(LOOKUP).option("header", False).csv(path)
+    return spark.read.schema(LOOKUP).option("header", False).option("escape", '"').csv(path)
 
 
 def read_clean_flights(

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.joins import bounded_broadcast
+from contrail.operators.legs import best_connections
 from contrail.schemas import CLEAN_COLUMNS, ITINERARY
 
 TABLES = (
@@ -175,28 +176,6 @@ def airport_lookup_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Requested two-leg itineraries on the driver tables (x, y, z as
-# nation keys, first-leg date); the second leg flies two days after the first.
-ITINERARY_KEYS = [
-    (11, 13, 18, "1999-07-12"),
-    (11, 9, 3, "1999-05-25"),
-    (11, 9, 6, "1999-05-25"),
-    (13, 18, 16, "2000-06-15"),
-    (14, 5, 23, "1997-04-24"),
-    (15, 11, 16, "2000-11-13"),
-    (15, 18, 24, "1997-04-29"),
-]
-# The same itineraries by airport (nation) name, and the days between
-# the two legs.
-TABLE_ITINERARIES = [
-    ("NATION_11", "NATION_13", "NATION_18", "1999-07-12"),
-    ("NATION_11", "NATION_9", "NATION_3", "1999-05-25"),
-    ("NATION_11", "NATION_9", "NATION_6", "1999-05-25"),
-    ("NATION_13", "NATION_18", "NATION_16", "2000-06-15"),
-    ("NATION_14", "NATION_5", "NATION_23", "1997-04-24"),
-    ("NATION_15", "NATION_11", "NATION_16", "2000-11-13"),
-    ("NATION_15", "NATION_18", "NATION_24", "1997-04-29"),
-]
 SECOND_LEG_DAYS = 2
 
 # The two-leg itineraries asked for on the on-time data
@@ -215,24 +194,18 @@ ON_TIME_ITINERARIES = [
 
 def itineraries_from_codes(spark: SparkSession, rows: list[tuple[str, str, str, str]] = ON_TIME_ITINERARIES) -> DataFrame:
     """Itineraries ``(x, y, z, first_date)`` given as airport codes."""
+    if not rows:
+        return spark.createDataFrame([], ITINERARY)
     return literal_table(spark, [(x, y, z, dt.date.fromisoformat(d)) for x, y, z, d in rows], ["x", "y", "z", "first_date"])
 
 
-def itineraries_from_tables(
-    spark: SparkSession, sf_dir: str, keys: list[tuple[int, int, int, str]] = ITINERARY_KEYS
-) -> DataFrame:
-    """Itineraries ``(x, y, z, first_date)`` with airports named from ``nation``."""
-    req = literal_table(
-        spark,
-        [(x, y, z, dt.date.fromisoformat(d)) for x, y, z, d in keys],
-        ["xk", "yk", "zk", "first_date"],
-    )
-    names = _nation_names(spark, sf_dir)
-    out = req
-    for k, name in (("xk", "x"), ("yk", "y"), ("zk", "z")):
-        n = names.select(F.col("n_nationkey").alias(k), F.col("n_name").alias(name))
-        out = out.join(n, k, "inner")
-    return out.select(*[f.name for f in ITINERARY.fields])
+def itineraries_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Itineraries ``(x, y, z, first_date)`` derived from the flights of the driver tables
+    (:func:`contrail.operators.legs.best_connections`), as a literal table: the
+    few requests are known while the 3-2 queries are planned."""
+    flights = flights_from_tables(spark, sf_dir, ["flight_date", "origin", "dest", "arr_delay", "dep_time"])
+    rows = best_connections(flights, SECOND_LEG_DAYS).collect()  # at most 8 rows
+    return itineraries_from_codes(spark, [(r["x"], r["y"], r["z"], r["first_date"].isoformat()) for r in rows])
 
 
 def raw_rows_from_flights(flights: DataFrame) -> DataFrame:

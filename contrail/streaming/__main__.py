@@ -21,13 +21,16 @@ def main(argv: list[str] | None = None):
     ap.add_argument("directory")
     ap.add_argument("--interval", default=BATCH_INTERVAL)
     ap.add_argument("--parse", action="store_true", help="parse pipe-delimited clean flight lines")
+    ap.add_argument("--checkpoint", help="keep the progress here: a restart goes on after the files already printed")
+    ap.add_argument("--new-files-only", action="store_true", help="leave out files older than the start")
     ap.add_argument("--timeout", type=float, help="stop after this many seconds")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("contrail-stream").getOrCreate()
-    stream = text_stream(spark, args.directory)
+    since = spark.sql("select date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\")").first()[0] if args.new_files_only else None
+    stream = text_stream(spark, args.directory, modified_after=since)
     if args.parse:
         stream = parse_lines(stream, CLEAN_FLIGHTS, strict=False)
-    q = print_batches(stream, scratch_path(spark, "tail"), args.interval)
+    q = print_batches(stream, args.checkpoint or scratch_path(spark, "tail"), args.interval)
     try:
         q.awaitTermination(args.timeout) if args.timeout else q.awaitTermination()
     finally:

@@ -18,9 +18,18 @@ from contrail.sinks.keyed import KeyedTable
 BATCH_INTERVAL = "2 seconds"
 
 
-def text_stream(spark: SparkSession, directory: str, file_glob: str | None = None, max_files: int | None = None) -> DataFrame:
-    """New text files of ``directory`` as lines in a ``value`` column."""
+def text_stream(
+    spark: SparkSession,
+    directory: str,
+    file_glob: str | None = None,
+    max_files: int | None = None,
+    modified_after: str | None = None,
+) -> DataFrame:
+    """New text files of ``directory`` as lines in a ``value`` column; ``max_files`` bounds
+    a batch, ``modified_after`` (session time) leaves older files out."""
     r = spark.readStream.format("text")
+    if modified_after:
+        r = r.option("modifiedAfter", modified_after)
     if file_glob:
         r = r.option("pathGlobFilter", file_glob)
     if max_files:

@@ -96,3 +96,19 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert out.count() == 4000 and out.filter("v IS NULL").count() == 0
     per_salt = left.selectExpr("pmod(xxhash64(k, id), 8) AS s").groupBy("s").count().collect()
     assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 4000 / 4
+
+
+def test_best_connections_make_the_request_list(spark):
+    from contrail.operators.legs import best_connections
+
+    rows = [tuple(r) for r in best_connections(flights(spark)).collect()]
+    # into ORD on D1: -2 (CMI); out of ORD on D3: -9 (SFO, DL 42)
+    assert rows == [("CMI", "ORD", "SFO", D1)]
+    assert best_connections(flights(spark).limit(0)).count() == 0
+
+
+def test_no_itineraries_give_no_legs(spark):
+    from contrail.sources.tables import itineraries_from_codes
+
+    empty = itineraries_from_codes(spark, [])
+    assert flight_min_delay(flights(spark), empty).count() == 0

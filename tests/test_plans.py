@@ -108,3 +108,23 @@ def test_leg_pairs_broadcasts_its_bounded_second_side(spark):
     p = plan(catalog.leg_pairs(spark, SF_SMALL))
     assert "LeftOuter" in p and "BroadcastHashJoin" in p
     assert not any("SortMergeJoin" in line and "LeftOuter" in line for line in p.splitlines())
+
+
+def test_requested_days_reach_the_scan(spark):
+    p = plan(catalog.leg_flight_min_delay(spark, SF_SMALL))
+    assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+
+
+def test_stored_flights_are_pruned_by_year_and_day(spark, scratch):
+    from contrail.plans.etl import read_stored_flights, store_flights
+    from contrail.sources.tables import flights_from_tables
+
+    flights = flights_from_tables(spark, SF_SMALL)
+    store_flights(flights, scratch, 4)
+    days = ["1996-03-13", "1997-05-02"]
+    some = read_stored_flights(spark, scratch, days)
+    p = plan(some)
+    assert "PartitionFilters: [" in p and "year" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "In(flight_date" in p
+    assert some.columns == flights.columns
+    assert some.count() == flights.filter(F.col("flight_date").cast("string").isin(days)).count()

@@ -92,3 +92,40 @@ def test_runner_raw_etl_then_question(spark, scratch):
     assert sorted(read_text(os.path.join(out, "3-1")).splitlines()) == ["IAD\t1", "TPA\t1"]
     legs = read_text(os.path.join(scratch, "legs")).splitlines()
     assert len(legs) == 2 and all(line.count("|") == 21 for line in legs)  # 22 leg columns
+
+
+def test_runner_publishes_serving_tables(spark, scratch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        serve = os.path.join(scratch, "serving")
+        main(["1-1", "2-2", "2-4", "3-2", "--tables", SF_SMALL, "--serve", serve])
+        main(["1-1", "--tables", SF_SMALL, "--serve", serve])  # a second load replaces the items
+        read = lambda qid, v: spark.read.parquet(os.path.join(serve, qid, f"v={v}"))
+        assert read("1-1", 1).count() == 10
+        assert read("2-2", 0).columns == ["origin", "pairs"]
+        assert read("2-2", 0).first()["pairs"].startswith("[(")
+        routes = read("2-4", 0)
+        assert routes.count() == routes.select("route").distinct().count() > 0
+        assert read("3-2", 0).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_runner_old_layout_departure_delays(spark, scratch):
+    from tests.conftest import write_lines
+
+    src = os.path.join(scratch, "old")
+    write_lines(src, "part-0", [
+        "x|y|HA|HNL|OGG|z|0|2.004|0|19690|Hawaiian",
+        "x|y|AA|HNL|ORD|z|0|2.001|0|19805|American",  # lower unrounded, though both show 2.0
+    ])
+    out = os.path.join(scratch, "answers")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["2-1", "2-2-worst", "--input", src, "--format", "old", "--delay-field", "dep", "--output", out])
+        best = spark.read.parquet(os.path.join(out, "2-1")).orderBy("rank").collect()
+        assert [(r["carrier"], r["delay"]) for r in best] == [("AA", 2.0), ("HA", 2.0)]
+        worst = spark.read.parquet(os.path.join(out, "2-2-worst")).orderBy("rank").collect()
+        assert [r["dest"] for r in worst] == ["OGG", "ORD"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
