@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contrail.functions.scalars import unquote
 from contrail.operators.filters import after_date, not_header
 from contrail.operators.joins import fits_broadcast, lookup_left_join, unique_by_key
-from contrail.schemas import CLEAN_FLIGHTS, RAW_TO_CLEAN
+from contrail.schemas import CLEAN_FLIGHTS, RAW_TO_CLEAN, RAW_TO_LEG
 
 
 def project_clean(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -17,15 +17,26 @@ def project_clean(raw: DataFrame, strict: bool = True) -> DataFrame:
     Drops rows without a valid date (headers included); unparseable numbers
     fail the job when ``strict`` and become null otherwise.
     """
+    return _project_raw(raw, RAW_TO_CLEAN, strict)
+
+
+def project_legs(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Raw on-time rows to the 11 typed leg columns, the minutes late and the
+    15-minute flags as the files have them; otherwise like :func:`project_clean`."""
+    return _project_raw(raw, RAW_TO_LEG, strict)
+
+
+def _project_raw(raw: DataFrame, columns: list[tuple[str, str]], strict: bool) -> DataFrame:
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
     types = {f.name: f.dataType for f in CLEAN_FLIGHTS.fields}
     cols = []
-    for raw_name, name in RAW_TO_CLEAN:
+    for raw_name, name in columns:
         c = F.nullif(F.trim(unquote(F.col(raw_name))), F.lit(""))
+        kind = types[name].simpleString() if name in types else "double"
         if name == "flight_date":
             c = c.try_cast("date")  # header text and junk dates drop below
-        elif types[name].simpleString() != "string":
-            c = cast(c, types[name])
+        elif kind != "string":
+            c = cast(c, kind)
         cols.append(c.alias(name))
     return after_date(raw.select(*cols), "flight_date")
 

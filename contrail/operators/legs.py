@@ -140,15 +140,21 @@ def best_two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2
     )
 
 
+LEG_DERIVED = {
+    "dep_delay_minutes": lambda: delay_minutes("dep_delay"),
+    "dep_del15": lambda: delayed_15("dep_delay"),
+    "arr_delay_minutes": lambda: delay_minutes("arr_delay"),
+    "arr_del15": lambda: delayed_15("arr_delay"),
+}
+
+
 def as_legs(flights: DataFrame) -> DataFrame:
-    """The 11 leg columns: delays with their minutes (early = 0) and 15-minute flags."""
+    """The 11 leg columns. Minutes (early = 0) and 15-minute flags are taken as they
+    are where ``flights`` holds them (:func:`contrail.operators.clean.project_legs`),
+    and computed from the delays otherwise (the clean layout)."""
+    held = set(flights.columns)
     return flights.select(
-        "flight_date", "airline_id", "carrier", "origin", "dest", "dep_delay",
-        delay_minutes("dep_delay").alias("dep_delay_minutes"),
-        delayed_15("dep_delay").alias("dep_del15"),
-        "arr_delay",
-        delay_minutes("arr_delay").alias("arr_delay_minutes"),
-        delayed_15("arr_delay").alias("arr_del15"),
+        *[F.col(c) if c in held or c not in LEG_DERIVED else LEG_DERIVED[c]().alias(c) for c in LEG_COLUMNS]
     )
 
 
@@ -157,17 +163,11 @@ def best_second_legs(flights: DataFrame) -> DataFrame:
     carrier, airline id) leaving each airport on each day, as leg columns:
     one row per (origin, flight_date)."""
     legs = as_legs(flights)
-    order = ["arr_delay", "dep_delay", "dest", "carrier", "airline_id"]
+    order = ["arr_delay", "dep_delay", "dest", "carrier", "airline_id", *LEG_DERIVED]
     # Flights without an arrival delay give a null candidate, which min skips.
     candidate = F.when(F.col("arr_delay").isNotNull(), F.struct(*[F.col(c) for c in order]))
     best = legs.groupBy("origin", "flight_date").agg(F.min(candidate).alias("b")).filter(F.col("b").isNotNull())
-    return as_legs(
-        best.select(
-            F.col("flight_date"), F.col("b.airline_id").alias("airline_id"), F.col("b.carrier").alias("carrier"),
-            F.col("origin"), F.col("b.dest").alias("dest"), F.col("b.dep_delay").alias("dep_delay"),
-            F.col("b.arr_delay").alias("arr_delay"),
-        )
-    )
+    return best.select(*[F.col(f"b.{c}" if c in order else c).alias(c) for c in LEG_COLUMNS])
 
 
 def connect_legs(

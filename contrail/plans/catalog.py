@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.scalars import short_number
-from contrail.operators.clean import clean_lookup, enrich, project_clean
+from contrail.operators.clean import clean_lookup, enrich, project_clean, project_legs
 from contrail.operators.filters import min_fields
 from contrail.operators.joins import lookup_left_join
 from contrail.operators.legs import itinerary_legs
@@ -140,6 +140,14 @@ def leg_pairs(spark, sf_dir):
     return Q.leg_pairs(_flights(spark, sf_dir, cols))
 
 
+def leg_pairs_raw(spark, sf_dir):
+    """The legs file straight from raw quoted CSV: leg columns (with the files' own
+    minutes and 15-minute flags) projected from the raw rows, no clean table between."""
+    path = scratch_path(spark, "raw-legs")
+    raw_rows_from_flights(_flights(spark, sf_dir)).write.option("header", True).option("quoteAll", True).csv(path)
+    return Q.leg_pairs(project_legs(read_raw_flights(spark, path)))
+
+
 def origin_carrier_report(spark, sf_dir):
     return Q.origin_carrier_report(_flights(spark, sf_dir, CARRIER_DEP_COLS))
 
@@ -301,6 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_flight_min_delay": leg_flight_min_delay,
     "two_leg_itineraries": two_leg_itineraries,
     "leg_pairs": leg_pairs,
+    "leg_pairs_raw": leg_pairs_raw,
     "origin_carrier_report": origin_carrier_report,
     "airport_subset_report": airport_subset_report,
     "serving_upsert": serving_upsert,

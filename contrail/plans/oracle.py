@@ -299,4 +299,5 @@ ORACLE_SQL.update(
     serving_carriers=ORACLE_SQL["origin_carrier_pairs"],
     serving_destinations=_DEST_PAIRS,
     stream_lines=ORACLE_SQL["flights_parsed"],
+    leg_pairs_raw=ORACLE_SQL["leg_pairs"],
 )

@@ -81,6 +81,13 @@ LEG_COLUMNS = [
     "dep_delay_minutes", "dep_del15", "arr_delay", "arr_delay_minutes", "arr_del15",
 ]
 
+# Raw column -> leg column, in the legs file's field order.
+RAW_TO_LEG = list(zip(
+    ["FlightDate", "AirlineID", "Carrier", "Origin", "Dest", "DepDelay", "DepDelayMinutes", "DepDel15",
+     "ArrDelay", "ArrDelayMinutes", "ArrDel15"],
+    LEG_COLUMNS,
+))
+
 ITINERARY = T.StructType([
     T.StructField("x", T.StringType(), False),
     T.StructField("y", T.StringType(), False),

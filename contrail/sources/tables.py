@@ -29,6 +29,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.functions.scalars import delay_minutes, delayed_15
 from contrail.operators.joins import bounded_broadcast
 from contrail.operators.legs import best_connections
 from contrail.schemas import CLEAN_COLUMNS, ITINERARY
@@ -222,7 +223,9 @@ def raw_rows_from_flights(flights: DataFrame) -> DataFrame:
         "FlightNum": F.col("flight_num"), "Origin": F.col("origin"),
         "OriginCityName": F.concat(F.col("origin"), F.lit(", XX")), "Dest": F.col("dest"),
         "DestCityName": F.concat(F.col("dest"), F.lit(", XX")), "DepTime": F.col("dep_time"),
-        "DepDelay": F.col("dep_delay"), "ArrDelay": F.col("arr_delay"), "Cancelled": F.col("cancelled"),
+        "DepDelay": F.col("dep_delay"), "DepDelayMinutes": delay_minutes("dep_delay"), "DepDel15": delayed_15("dep_delay"),
+        "ArrDelay": F.col("arr_delay"), "ArrDelayMinutes": delay_minutes("arr_delay"), "ArrDel15": delayed_15("arr_delay"),
+        "Cancelled": F.col("cancelled"),
         "Flights": F.lit("1.00"),
     }
     return flights.select(

@@ -71,6 +71,27 @@ def test_best_connection_left_outer(spark):
     assert all(r.second_origin is None for r in lax)
 
 
+def test_legs_take_raw_minutes_and_flags(spark):
+    from contrail.operators.clean import project_legs
+    from contrail.schemas import LEG_COLUMNS, RAW_FLIGHTS
+
+    def raw(**kv):
+        return tuple(kv.get(f.name) for f in RAW_FLIGHTS.fields)
+
+    one = raw(FlightDate="2008-03-04", AirlineID="1", Carrier='"AA"', Origin='"CMI"', Dest='"ORD"', DepDelay="20.00",
+              DepDelayMinutes="7.00", DepDel15="0.00", ArrDelay="-3.00", ArrDelayMinutes="2.00", ArrDel15="1.00")
+    two = raw(FlightDate="2008-03-06", AirlineID="2", Carrier="UA", Origin="ORD", Dest="LAX", DepDelay="1.00",
+              DepDelayMinutes="9.00", DepDel15="1.00", ArrDelay="4.00", ArrDelayMinutes="8.00", ArrDel15="1.00")
+    header = tuple(f.name for f in RAW_FLIGHTS.fields)
+    legs = project_legs(spark.createDataFrame([one, two, raw(FlightDate=None, Origin="X")], RAW_FLIGHTS))
+    assert legs.columns == LEG_COLUMNS
+    r = with_best_connection(legs).filter("first_origin = 'CMI'").first()
+    # values that could not come from the delays
+    assert (r.first_dep_delay_minutes, r.first_dep_del15, r.first_arr_delay_minutes, r.first_arr_del15) == (7.0, 0.0, 2.0, 1.0)
+    assert (r.second_dest, r.second_dep_delay_minutes, r.second_dep_del15, r.second_arr_delay_minutes) == ("LAX", 9.0, 1.0, 8.0)
+    assert project_legs(spark.createDataFrame([header, one], RAW_FLIGHTS), strict=False).count() == 1
+
+
 def test_on_time_itineraries(spark):
     from contrail.sources.tables import itineraries_from_codes
 
