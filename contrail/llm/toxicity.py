@@ -11,7 +11,8 @@ Bounds: training reads about ``max_train`` labelled documents, picked by a hash
 the id among all that may be learned from; their feature lists (at most
 ``features`` numbers each) are what the driver fits on.
 
-Defined results: a null text scores as an empty one (the intercept's score); with
+Defined results: a null text scores as an empty one (the intercept's score), and
+both count as documents without n-grams in training; with
 one class only to learn from every score is the smoothed share of toxic labels,
 with nothing to learn from it is next to 0; ids labelled twice count as toxic if any label says so;
 repeated rows get equal results; other columns pass through.
@@ -74,7 +75,9 @@ def count_documents(batches: Iterator[pd.DataFrame], orders: tuple[int, ...]) ->
     """(gram, pos, neg): documents of each class that hold an n-gram, summed over a batch."""
     for batch in batches:
         for toxic, name, other in ((1, "pos", "neg"), (0, "neg", "pos")):
-            seen = [np.unique(np.concatenate(list(gram_hashes(t, orders)))) for t in batch["text"][batch["toxic"] == toxic]]
+            texts = batch["text"][batch["toxic"] == toxic]
+            none = np.empty(0, np.uint32)  # an empty text has no n-grams
+            seen = [np.unique(np.concatenate([none, *gram_hashes(t, orders)])) for t in texts]
             if seen:
                 grams, n = np.unique(np.concatenate(seen), return_counts=True)
                 yield pd.DataFrame({"gram": grams.astype("int64"), name: n.astype("int64"), other: np.int64(0)})[["gram", "pos", "neg"]]

@@ -88,6 +88,20 @@ def test_toxicity(spark, odd, none):
     assert toxicity.train(none, labels).score("x") < 1e-9
 
 
+def test_toxicity_learns_from_null_and_empty_texts(spark):
+    short = [(100, None, 1), (101, "", 1), (102, "x", 1), (103, None, 0), (104, "", 0), (105, "y", 0)]
+    full = [(i, "you " + ("scum " if i % 2 else "dear ") + PROSE, i % 2) for i in range(1, 61)]
+    for texts in (short, short + full):
+        docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+        model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int"))
+        assert model.score(None) == model.score("") and 0 < model.score("") < 1
+        assert len(model.keys) == 0 or (model.score("you scum") > 0.5 > model.score("you dear"))
+    assert len(model.keys) > 0
+    few = spark.createDataFrame([(1, None), (2, "bad")], "doc_id long, text string")
+    alone = toxicity.train(few, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int"))
+    assert alone.score("") == pytest.approx(0.5)  # the null text counts as a document of its class
+
+
 def shingle_set(text):
     w = re.findall(WORD, text or "")
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
