@@ -5,14 +5,17 @@
 2. Targets: sources ordered by name (code points, null last) weigh 1, 2, 3, 1, ...;
    a target stops at ``max_repeats`` times its source, the excess goes to the
    others by weight (closed form of the water filling).
-3. Each output shard of ``shard_slots`` slots draws its source counts: the whole
-   part of the expected counts, and the rest of the slots multinomially by the
-   fractions left over, so counts stay near their expectation in every shard.
+3. A source gets its wanted number of slots, rounded by largest remainder and
+   never above ``max_repeats`` times its blocks. Each output shard of
+   ``shard_slots`` slots gets the whole part of the expected counts; the slots
+   that are then left of the sources are dealt at random, without replacement,
+   to the places left in the shards. Shards are full, and the counts of a source
+   over all shards add up to its slots exactly.
 4. The slots of a source are numbered through all shards; slot t is block
    ``perm(t mod blocks)`` of pass ``t div blocks``, perm being a swap-or-not
    permutation of the block numbers keyed by seed, source and pass. A pass takes
-   every block once before the next begins, and there are at most
-   ``max_repeats`` passes, so no document is taken more often than that.
+   every block once before the next begins, and the slots end with pass
+   ``max_repeats``, so no document is taken more often than that.
 5. Blocks are joined to the documents they cover by (source, block number).
 
 All random choices are hashes of numbers, so reruns agree. DataFrame functions
@@ -65,11 +68,6 @@ def source_targets(sized: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFram
     ).select("source", "ord", "source_size", "target")
 
 
-def uniform(*columns: Column) -> Column:
-    """A number in [0, 1) from a hash of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
-
-
 def permuted(position: Column, n: Column, keys: list[Column], rounds: int = ROUNDS) -> Column:
     """Where a pseudorandom permutation of 0 .. n-1 (swap-or-not rounds) sends ``position``."""
 
@@ -81,57 +79,60 @@ def permuted(position: Column, n: Column, keys: list[Column], rounds: int = ROUN
     return F.aggregate(F.array(*[F.lit(r) for r in range(rounds)]), position.cast("long"), step)
 
 
-def draw_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
-    """One row per (shard, source): ord, blocks, shard, count, first (its first slot number in the source)."""
-    everything = Window.partitionBy()
-    sources = (
+def slot_totals(targets: DataFrame, block_words: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per source that gets slots: ord, blocks, total (its slots), slots (those of all sources)."""
+    everything = Window.partitionBy()  # one row per source
+    by_part = Window.orderBy(F.desc("_part"), "ord")
+    want = F.least(F.col("target") * F.col("blocks") / F.col("source_size"), (F.col("blocks") * max_repeats).cast("double"))
+    return (
         targets.filter("source_size > 0")
         .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
-        .withColumn("_want", F.col("target") * F.col("blocks") / F.col("source_size"))
-        .withColumn("_all", F.sum("_want").over(everything))
-        .withColumn("_slots", F.round("_all").cast("long"))
-        .filter("_slots > 0")
-    )
-    shards = sources.select(
-        "ord", "blocks", "_want", "_all", "_slots",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_slots") - 1) / shard_slots))).alias("shard"),
-    )
-    in_shard = Window.partitionBy("shard")
-    upto = in_shard.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    shares = (
-        shards.withColumn("_n", F.least(F.lit(shard_slots).cast("long"), F.col("_slots") - F.col("shard") * shard_slots))
-        .withColumn("_mean", F.col("_n") * F.col("_want") / F.col("_all"))
-        .withColumn("_whole", F.floor("_mean"))
-        .withColumn("_part", F.col("_mean") - F.col("_whole"))
-        .withColumn("_left", F.col("_n") - F.sum("_whole").over(in_shard))
-        .withColumn("_hi", F.sum("_part").over(upto))
-        .withColumn("_lo", F.col("_hi") - F.col("_part"))
-        .withColumn("_parts", F.sum("_part").over(in_shard))
-        .withColumn("_last", F.col("ord") == F.max("ord").over(in_shard))
+        .withColumn("_want", want)
+        .withColumn("_whole", F.floor("_want"))
+        .withColumn("_part", F.col("_want") - F.col("_whole"))
+        .withColumn("_up", F.row_number().over(by_part) <= F.round(F.sum("_part").over(everything)))
+        .withColumn("total", F.col("_whole") + F.col("_up").cast("long"))
+        .withColumn("slots", F.sum("total").over(everything))
+        .filter("total > 0")
+        .select("ord", "blocks", "total", "slots")
     )
 
-    def hit(d: Column) -> Column:
-        u = uniform(F.lit(seed), F.col("shard"), d) * F.col("_parts")
-        return (u >= F.col("_lo")) & ((u < F.col("_hi")) | F.col("_last"))
 
-    draws = F.when(F.col("_left") > 0, F.sequence(F.lit(1).cast("long"), F.greatest(F.col("_left"), F.lit(1)))).otherwise(
-        F.array().cast("array<bigint>")
+def numbered(left: DataFrame, key: str) -> DataFrame:
+    """``key`` once for each of its ``_left``, numbered through all keys (``_at``); ``_all`` is their number."""
+    upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)  # one row per source or shard
+    ends = left.filter("_left > 0").withColumn("_end", F.sum("_left").over(upto)).withColumn("_all", F.sum("_left").over(Window.partitionBy()))
+    return ends.select(key, "_all", F.explode(F.sequence(F.col("_end") - F.col("_left"), F.col("_end") - 1)).alias("_at"))
+
+
+def draw_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per (shard, source): ord, blocks, shard, count, first (its first slot number in the source)."""
+    shards = slot_totals(targets, block_words, max_repeats).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / shard_slots))).alias("shard")
     )
-    counts = shares.withColumn("count", F.col("_whole") + F.size(F.filter(draws, hit)))
+    n = F.least(F.lit(shard_slots).cast("long"), F.col("slots") - F.col("shard") * shard_slots)
+    share = F.col("_n") * F.col("total")
+    whole = F.round((share - share % F.col("slots")) / F.col("slots")).cast("long")  # exact for any number of slots
+    even = shards.withColumn("_n", n).withColumn("_even", whole)
+    # As many slots are left of the sources as places in the shards, fewer than sources in each shard.
+    slots_left = numbered(even.groupBy("ord").agg((F.max("total") - F.sum("_even")).alias("_left")), "ord")
+    places_left = numbered(even.groupBy("shard").agg((F.max("_n") - F.sum("_even")).alias("_left")), "shard").drop("_all")
+    dealt = slots_left.select("ord", permuted(F.col("_at"), F.col("_all"), [F.lit(seed), F.lit("deal")]).alias("_at"))
+    more = dealt.join(places_left, "_at").groupBy("ord", "shard").agg(F.count(F.lit(1)).alias("_more"))
+    counts = even.join(more, ["ord", "shard"], "left").withColumn("count", F.col("_even") + F.coalesce("_more", F.lit(0)))
     earlier = Window.partitionBy("ord").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         "ord", "blocks", "shard", "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).cast("long").alias("first")
     )
 
 
-def draw_slots(counts: DataFrame, seed: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
+def draw_slots(counts: DataFrame, seed: int) -> DataFrame:
     """One row per slot of the mix: shard, ord, repeat (pass number), block."""
     n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = counts.filter("count > 0").repartition(n, "ord", "shard")  # few rows that unfold to many: keep them apart
     t = F.col("first") + F.col("_i")
     slots = (
         spread.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("_i"))
-        .filter(t < F.col("blocks") * max_repeats)
         .withColumn("repeat", F.floor(t / F.col("blocks")).cast("int"))
         .withColumn("_at", t % F.col("blocks"))
     )
@@ -174,7 +175,7 @@ def mix(
     sized = shared_table(narrow, "mix-sizes")  # one pass over the texts
     targets = shared_table(source_targets(sized, max_repeats).coalesce(1), "mix-targets")
     placed, covers = document_blocks(sized, targets, key, block_words)
-    slots = draw_slots(draw_counts(targets, block_words, shard_slots, seed), seed, max_repeats)
+    slots = draw_slots(draw_counts(targets, block_words, shard_slots, seed, max_repeats), seed)
     return placed, covers, slots
 
 

@@ -103,6 +103,38 @@ def test_mix(documents, odd, none):
     assert source_mix.taken_words(none).count() == 0
 
 
+def test_every_source_gets_its_target_over_many_shards(spark):
+    block, shard = 4, 16
+    cases = (
+        {"a": 4, "b": 40, "c": 400, "d": 12_000},  # the first three are wanted three times over
+        {"a": 5, "b": 43, "c": 997, "d": 1499, "e": 1501, "f": 17, None: 2},  # fractions of slots
+    )
+    for sizes in cases:
+        texts = [(s, " ".join(f"w{i}" for i in range(at, min(n, at + 50)))) for s, n in sizes.items() for at in range(0, n, 50)]
+        df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(texts)], "doc_id long, source string, text string")
+        want = {sizes[s]: t for s, t in targets_by_hand(sizes).items()}
+        for seed in (17, 18, 19):
+            taken = defaultdict(int)
+            for r in rows(source_mix.taken_words(df, block_words=block, shard_slots=shard, seed=seed)):
+                assert r["taken"] <= 3 * r["size"]
+                taken[r["source_size"]] += r["taken"]
+            # A slot rounded up or down, and the short last block in or out of the pass that ends early.
+            assert all(abs(taken[n] - t) <= (2 * block if n % block or t % block else 0) for n, t in want.items()), (taken, want)
+            assert all(taken[n] == 3 * n for n, t in want.items() if t == 3 * n)
+            sized = spark.createDataFrame(list(sizes.items()), "source string, size long")
+            found = rows(source_mix.draw_counts(source_mix.source_targets(sized), block, shard, seed))
+            shards, sources = Counter(), Counter()
+            for r in found:
+                shards[r["shard"]] += r["count"]
+                sources[r["ord"]] += r["count"]
+                assert r["first"] == sum(x["count"] for x in found if x["ord"] == r["ord"] and x["shard"] < r["shard"])
+            assert all(n == shard for k, n in shards.items() if k < max(shards)) and 0 < shards[max(shards)] <= shard
+            order = sorted(sizes, key=lambda s: (s is None, s or ""))
+            for i, s in enumerate(order, 1):
+                blocks = -(-sizes[s] // block)
+                assert abs(sources[i] - want[sizes[s]] * blocks / sizes[s]) < 1 and sources[i] <= 3 * blocks
+
+
 def test_mixed_documents_hold_what_is_taken(documents, odd, none):
     for df in (documents, odd):
         taken = Counter()
