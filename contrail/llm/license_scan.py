@@ -1,11 +1,13 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences twice, once with line ends as cuts (a licence line
-on its own) and once with line ends as spaces (a notice wrapped over lines).
-Sentences are normalised to lower-case ASCII words and looked up in a table of
-known licence sentences; the identifiers found, in order, form a sequence in
-which ordered licence rules are matched. A rule that matches uses up its
-identifiers, so a longer rule listed first keeps a shorter one from firing.
+A text is cut into sentences, line ends being spaces (a notice wrapped over
+lines). A sentence that isn't known is cut further, at blank lines (a notice below
+a heading) and then at line ends (a licence line on its own). Sentences are
+normalised to lower-case ASCII words and looked up in a table of known licence
+sentences, then in a few patterns of sentences that hold names; list markers and
+lines without letters are left out. The identifiers found, in order, form one
+sequence in which ordered licence rules are matched. A rule that matches uses up
+its identifiers, so a longer rule listed first keeps a shorter one from firing.
 
 DataFrame functions only; a document is scanned where it is read. Texts without
 any of ``KEYWORDS`` (every known sentence holds one) skip the sentence work.
@@ -87,6 +89,13 @@ SENTENCES = {
     "MPL2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v."],
 }
 
+# Normalised licence sentences with a holder's name in them (one like "X Inc." ends a sentence).
+PATTERNS = {
+    "BSDendorse": r"^(neither the names? of .{1,200} )?(nor (the names? of )?.{1,200} may|the names? of .{1,200} may not) be used to "
+    r"endorse or promote products derived from this software without (specific )?prior written permission$",
+    "BSDname": r"^neither the names? of ",
+}
+
 # Fixed order of rules: (licence, identifiers that follow each other).
 RULES = (
     ("MIT", ("MITgrant", "MITnotice", "AsIs")),
@@ -100,6 +109,9 @@ RULES = (
     ("GPL-2.0-or-later", ("GPLfree", "GPLredistribute", "GPL2orLater")),
     ("GPL-3.0", ("GPL3short",)),
     ("GPL-2.0", ("GPL2short",)),
+    ("BSD-3-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDname", "BSDendorse")),
+    ("BSD-3-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDendorse")),
+    ("BSD-style", ("BSDgrant", "BSDsource", "BSDbinary", "BSDname")),
     ("BSD-2-Clause", ("BSDgrant", "BSDsource", "BSDbinary")),
     ("BSD-style", ("BSDgrant",)),
     ("CC-BY-NC-4.0", ("CCBYNC4",)),
@@ -110,8 +122,12 @@ RULES = (
 
 # Letters that every known sentence holds at least one of.
 KEYWORDS = "licen|software|permission|warrant|redistribut|copyright"
-SENTENCE_END = r"([.!?:;])[\x20\x09-\x0D]+"
+SENTENCE_END = r"(?<=[.!?:;])[\x20\x09-\x0D]+"
+BLANK_LINE = r"\x0A[^\p{L}\p{N}\x0A]*\x0A|\x0D[^\p{L}\p{N}\x0A\x0D]*\x0D"
 LINE_END = r"[\x0A\x0D]+"
+ITEM = r"([0-9]{1,2}([.][0-9]{1,2}){0,3}|[a-z]|[ivx]{2,5})"
+MARKER = rf"(?i)^[^\p{{L}}\p{{N}}]*({ITEM}[^\p{{L}}\p{{N}}]*)?$"  # '1.', '(a)', '*', or nothing
+LEADING_MARKER = rf"^[^a-z0-9]*{ITEM}\)[\x20\x09-\x0D]+"  # '1) ', '(a) '
 NOT_WORD = r"[^a-z0-9.]+"
 UNKNOWN = "?"
 
@@ -127,13 +143,37 @@ def table() -> dict[str, str]:
 
 
 def normalise(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "), F.lit(" ."))
+    words = F.regexp_replace(F.regexp_replace(F.lower(sentence), LEADING_MARKER, ""), NOT_WORD, " ")
+    return F.btrim(words, F.lit(" ."))
+
+
+def identifier(sentence: Column, known: Column) -> Column:
+    """Identifier of one sentence, null for an unknown one."""
+
+    def find(words: Column) -> Column:
+        return F.coalesce(
+            F.try_element_at(known, words), *[F.when(words.rlike(pattern), F.lit(name)) for name, pattern in PATTERNS.items()]
+        )
+
+    return let(normalise(sentence), find)
 
 
 def identifiers(text: Column, known: Column) -> Column:
     """Identifiers of the sentences of ``text`` in order, ``?`` for an unknown one."""
-    cut = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
-    return F.transform(cut, lambda s: F.coalesce(F.try_element_at(known, normalise(s)), F.lit(UNKNOWN)))
+
+    def of_line(s: Column) -> Column:
+        unknown = F.when(s.rlike(MARKER), F.array().cast("array<string>")).otherwise(F.array(F.lit(UNKNOWN)))
+        return let(identifier(s, known), lambda name: F.when(name.isNotNull(), F.array(name)).otherwise(unknown))
+
+    def of_whole_or(parts, of_part):
+        return lambda s: let(
+            identifier(s, known),
+            lambda name: F.when(name.isNotNull(), F.array(name)).otherwise(F.flatten(F.transform(parts(s), of_part))),
+        )
+
+    of_paragraph = of_whole_or(lambda s: F.split(s, LINE_END), of_line)
+    of_sentence = of_whole_or(lambda s: F.split(s, BLANK_LINE), of_paragraph)
+    return F.flatten(F.transform(F.split(text, SENTENCE_END), of_sentence))
 
 
 def matched(ids: Column, rules=RULES) -> Column:
@@ -155,20 +195,14 @@ def matched(ids: Column, rules=RULES) -> Column:
 
 
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``license_sentences`` (identifiers in order, by line) and ``licenses``
-    (sorted names, those of either way of cutting)."""
+    """``df`` with ``license_sentences`` (identifiers in order) and ``licenses`` (sorted names)."""
     known = F.create_map(*[F.lit(x) for pair in table().items() for x in pair])
     none = F.array().cast("array<string>")
 
     def found(t: Column) -> Column:
-        by_line = identifiers(t, known)
-        joined = identifiers(F.regexp_replace(t, LINE_END, " "), known)
         return let(
-            F.struct(by_line.alias("line"), joined.alias("joined")),
-            lambda s: F.struct(
-                F.filter(s["line"], lambda name: name != UNKNOWN).alias("sentences"),
-                F.array_union(matched(s["line"]), matched(s["joined"])).alias("licences"),
-            ),
+            identifiers(t, known),
+            lambda ids: F.struct(F.filter(ids, lambda name: name != UNKNOWN).alias("sentences"), matched(ids).alias("licences")),
         )
 
     hit = F.coalesce(F.col(text).rlike(f"(?i){KEYWORDS}"), F.lit(False))

@@ -195,6 +195,52 @@ MIT = (
 )
 
 
+BSD_CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this\nlist of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice,\nthis list of conditions and the following disclaimer "
+    "in the documentation\nand/or other materials provided with the distribution.",
+    "Neither the name of HOLDER nor the names of its\ncontributors may be used to endorse or promote products derived from\n"
+    "this software without specific prior written permission.",
+)
+
+
+def bsd(markers, holder="the copyright holder", head="Copyright (c) 2020, A Holder\n\n", between="\n\n"):
+    grant = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following "
+        "conditions are met:"
+    )
+    clauses = [m + c.replace("HOLDER", holder) for m, c in zip(markers, BSD_CLAUSES)]
+    return head + between.join([grant, *clauses]) + "\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS \"AS IS\"\n"
+
+
+def test_numbered_wrapped_and_three_clause_licenses(spark):
+    two, three = ["BSDgrant", "BSDsource", "BSDbinary"], ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse"]
+    flat = bsd(("1. ", "2. ", "3. ")).replace("\n\n", "|").replace("\n", " ").replace("|", "\n")
+    commented = " * " + bsd(("1. ", "2. "), head="Copyright 2020 A Holder\n\n").replace("\n", "\n * ")
+    cases = [
+        (bsd(("1. ", "2. ")), two, ["BSD-2-Clause"]),
+        (bsd(("* ", "- ")), two, ["BSD-2-Clause"]),
+        (bsd(("(a) ", "b) ")), two, ["BSD-2-Clause"]),
+        (bsd(("a. ", "ii. "), head="", between="\n"), two, ["BSD-2-Clause"]),
+        (commented, two, ["BSD-2-Clause"]),
+        (bsd(("1. ", "2. ")).replace("\n", "\r\n"), two, ["BSD-2-Clause"]),
+        (bsd(("1. ", "2. ", "3. ")), three, ["BSD-3-Clause"]),
+        (bsd(("* ", "* ", "* ")), three, ["BSD-3-Clause"]),
+        (bsd(("", "", ""), holder="the University"), three, ["BSD-3-Clause"]),
+        (bsd(("1. ", "2. ", "3. "), holder="Some Inc."), [*two, "BSDname", "BSDendorse"], ["BSD-3-Clause"]),
+        (flat, three, ["BSD-3-Clause"]),
+        (bsd(("1. ", "2. ", "3. ")).replace("specific prior", "his"), [*two, "BSDname"], ["BSD-style"]),
+        (bsd(("1. ", "2. Any use must be paid for. ")), two, ["BSD-style"]),  # a sentence between
+        (bsd(("1. ", "2. \u8bb8\u53ef\u3002 \u8bb8\u53ef.\n")), two, ["BSD-style"]),  # of letters that aren't ASCII
+        (MIT, ["MITgrant", "MITnotice"], ["MIT"]),
+        ("A Licence\n\nCopyright 2020 X\n\n" + MIT, ["MITgrant", "MITnotice"], ["MIT"]),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["license_sentences"], r["licenses"]) for r in rows(license_scan.scan(df))}
+    for i, (_, sentences, licences) in enumerate(cases):
+        assert got[i] == (sentences, licences), i
+
+
 def test_license_scan(spark, odd, none):
     every = [(i, s, name) for i, (name, found) in enumerate(license_scan.SENTENCES.items()) for s in found]
     assert all(re.search(f"(?i){license_scan.KEYWORDS}", s) for _, s, _ in every)
