@@ -8,8 +8,8 @@
    function to the weighted sum.
 
 Bounds: training reads about ``max_train`` labelled documents, picked by a hash of
-the id among all that may be learned from; their feature lists (at most
-``features`` numbers each) are what the driver fits on.
+the id among all that may be learned from, equal rows of an id counting once; their
+feature lists (at most ``features`` numbers each) are what the driver fits on.
 
 Defined results: a null text scores as an empty one (the intercept's score), and
 both count as documents without n-grams in training; with
@@ -119,8 +119,9 @@ def train(
     """The model learned from about ``max_train`` of the ``labels`` rows and their texts."""
     usable = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     picked = sample_by_hash(usable, F.col(key), max_train).groupBy(F.col(key).alias("_id")).agg(F.max(label).alias("toxic"))
-    joined = docs.join(F.broadcast(picked), F.col(key) == F.col("_id"))  # about max_train narrow rows
-    sample = shared_table(joined.select(F.coalesce(text, F.lit("")).alias("text"), F.col("toxic").cast("int")), "toxicity-sample")
+    joined = docs.join(F.broadcast(picked), F.col(key) == F.col("_id"))
+    narrow = joined.select("_id", F.coalesce(text, F.lit("")).alias("text"), F.col("toxic").cast("int"))
+    sample = shared_table(narrow.distinct().drop("_id"), "toxicity-sample")  # about max_train rows
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
     if not n_pos or not n_neg:

@@ -102,6 +102,15 @@ def test_toxicity_learns_from_null_and_empty_texts(spark):
     assert alone.score("") == pytest.approx(0.5)  # the null text counts as a document of its class
 
 
+def test_toxicity_learns_once_from_repeated_rows(spark):
+    texts = [(i, "you " + ("scum " if i % 2 else "dear ") + PROSE, i % 2) for i in range(1, 61)]
+    once = spark.createDataFrame([(i, t) for i, t, _ in texts] + [(61, None), (62, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts] + [(61, 1), (62, 0)], "doc_id long, toxic int")
+    again = once.filter("doc_id in (2, 61)").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    one, many = toxicity.train(once, labels), toxicity.train(once.unionByName(again), labels)
+    assert (one.keys == many.keys).all() and np.allclose(one.weights, many.weights) and one.intercept == pytest.approx(many.intercept)
+
+
 def shingle_set(text):
     w = re.findall(WORD, text or "")
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
