@@ -16,8 +16,8 @@ query's k nearest), queries of equal code are one query, so copies of one vector
 may be any share of the rows.
 
 Defined results: null or empty vectors, and those with a null id, are neither
-indexed nor queries; null elements count as not positive; element i + 64 sets
-the bit of element i too; ties go to the smaller id; a query finds itself; with
+indexed nor queries; null elements count as not positive; a vector of more than
+64 elements is an error; ties go to the smaller id; a query finds itself; with
 fewer than k rows all are returned; an empty table gives no rows.
 """
 
@@ -42,11 +42,13 @@ FIRST_RADIUS = 2  # the first round probes all radii up to this one
 
 
 def sign_code(vector: Column) -> Column:
-    """The code of a vector (long)."""
+    """The code of a vector (long); an error for one of more than ``BITS`` elements, which has no such code."""
     bit = F.transform(
         vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
     )
-    return F.aggregate(bit, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    code = F.aggregate(bit, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    too_long = F.concat(F.lit(f"vector of more than {BITS} elements: "), F.size(vector).cast("string"))
+    return F.when(F.size(vector) > BITS, F.raise_error(too_long).cast("long")).otherwise(code)
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -238,6 +238,14 @@ def test_top_k(spark):
     assert hamming_topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_refuses_vectors_without_a_code(spark):
+    schema = "vec_id long, embedding array<double>"
+    fits = spark.createDataFrame([(0, [1.0] * 64), (1, [-1.0] * 64)], schema)
+    assert hamming_topk.top_k(fits, F.lit(True)).count() == 4
+    with pytest.raises(Exception, match="more than 64 elements: 65"):
+        hamming_topk.top_k(fits.union(spark.createDataFrame([(2, [1.0] * 65)], schema)), F.lit(True)).collect()
+
+
 def unigram_library():
     import sentencepiece
 
