@@ -2,7 +2,8 @@
 
 No SQL form: op1 (search over a lattice), op2 and op3 (normalisation and CRC-32
 have none in the checking engine), op6 (hashes of the draws), op7 and op9
-(trained models); their tests compare with brute force or held-out labels.
+(trained models), op12 (eigenvectors) and op13 (patterns with checks, iterated
+scores); their tests compare with brute force or held-out labels.
 """
 
 from contrail.llm.quality_rules import STOP_WORDS
@@ -69,5 +70,25 @@ WITH pair AS (
   FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INTEGER AS rank FROM pair)
 SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id AND len(a.x) = len(r.x) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
 """,
 }

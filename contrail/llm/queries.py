@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from contrail.llm import (
     hamming_topk,
+    hard_negatives,
     jaccard_join,
     language_id,
     license_scan,
+    pii_bootstrap,
     quality_rules,
     rendezvous,
     sentencepiece_nbest,
     source_mix,
     toxicity,
     warc_bundles,
+    whitening,
 )
 from contrail.llm.common import read_table, remainder_of_id
 from contrail.session import scratch_path
@@ -112,6 +115,33 @@ def op10_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 3 hard negatives for each of the first 5 positives of every row whose id is divisible by 50."""
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0, label=label)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every usable embedding, one row each."""
+    whitened, model = whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    shares = F.array(*[F.lit(float(x)) for x in model.explained]).cast("array<double>")
+    return whitened.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and places of the personal data of every document."""
+    found = pii_bootstrap.find_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: ~s["added"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii_bootstrap.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii_bootstrap.span_list(base), 256).alias("base_sha256"), pii_bootstrap.span_list(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -125,5 +155,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_language_id,
         op10_hamming_topk,
+        op11_hard_negatives,
+        op12_whitening,
+        op13_pii,
     )
 }
