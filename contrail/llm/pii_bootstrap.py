@@ -317,6 +317,11 @@ def find_spans(df: DataFrame, text: str = "text", columns: tuple[str, ...] = ("d
     return out.select(*([F.col(f"row.{c}").alias(c) for c in columns]), named.alias("spans"))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    """Number of the spans of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_list(spans: Column) -> Column:
     """kind:start:end of every span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -136,7 +136,7 @@ def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and places of the personal data of every document."""
     found = pii_bootstrap.find_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.filter("spans", lambda s: ~s["added"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii_bootstrap.KINDS]
+    counts = [pii_bootstrap.count_of(base, k).alias(f"n_{k}") for k in pii_bootstrap.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(pii_bootstrap.span_list(base), 256).alias("base_sha256"), pii_bootstrap.span_list(F.col("spans")).alias("spans")
     )
