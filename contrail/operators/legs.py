@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import delay_minutes, delayed_15, round_half_up, unquote
 from contrail.operators.filters import min_fields, require
-from contrail.operators.joins import bounded_broadcast, restrict_to, salted_join
+from contrail.operators.joins import salted_join
+from contrail.operators.runtime_filter import computed_once, semi_join
 from contrail.schemas import LEG_COLUMNS
 
+REQUEST_SALTS = 8  # parts of the trips that ask for one leg, where their number is not known
+
 
 def flight_label(carrier: str = "carrier", flight_num: str = "flight_num") -> F.Column:
     """``carrier-flight`` without quotes."""
@@ -30,48 +33,60 @@ def leg_candidates(flights: DataFrame) -> DataFrame:
 
 
 def itinerary_legs(itineraries: DataFrame, days: int = 2) -> DataFrame:
-    """The requested legs ``(origin, dest, flight_date)`` of ``(x, y, z, first_date)``."""
-    first = itineraries.select(
-        F.col("x").alias("origin"), F.col("y").alias("dest"), F.col("first_date").alias("flight_date")
-    )
-    second = itineraries.select(
-        F.col("y").alias("origin"),
-        F.col("z").alias("dest"),
-        F.date_add(F.col("first_date"), days).alias("flight_date"),
-    )
-    return first.unionByName(second).distinct()
+    """The requested legs ``(origin, dest, flight_date)`` of ``(x, y, z, first_date)``, one
+    for each time that a leg is asked for."""
+    leg = lambda a, b, day: F.struct(F.col(a).alias("origin"), F.col(b).alias("dest"), day.alias("flight_date"))
+    day = F.col("first_date")
+    return itineraries.select(F.inline(F.array(leg("x", "y", day), leg("y", "z", F.date_add(day, days)))))
 
 
-def best_connections(flights: DataFrame, days: int = 2, n: int = 8) -> DataFrame:
+def best_connections(flights: DataFrame, days: int = 2, n: int | None = 8) -> DataFrame:
     """A request list ``(x, y, z, first_date)`` made from the flights themselves: the
     best flight into each airport and day (smallest arrival delay, then origin)
     continued by the best one out of it ``days`` later (then destination), of
-    which the ``n`` of the smallest total delay stay (then date, then airport).
+    which the ``n`` of the smallest total delay stay (then date, then airport; ``None``: all).
 
     Both roles of a flight go through one partial aggregate by (airport, day), so
-    the flights are read once and not joined.
+    the flights are read once and not joined. The ``n`` best need only the delays for that
+    (numbers, aggregated in a hash map); who flies them is then looked up among the flights
+    of their few days.
     """
     cand = leg_candidates(flights)
     end = lambda place, day, other, role: F.struct(
-        F.col(place).alias("y"), day.alias("first_date"), F.struct("arr_delay", F.col(other).alias("other")).alias("leg"), F.lit(role).alias("role")
+        F.col(place).alias("y"), day.alias("first_date"), F.col("arr_delay").alias("delay"), F.col(other).alias("other"), F.lit(role).alias("role")
     )
-    ends = F.array(
-        end("dest", F.col("flight_date"), "origin", 1), end("origin", F.date_sub("flight_date", days), "dest", 2)
+    ends = F.inline(
+        F.array(end("dest", F.col("flight_date"), "origin", 1), end("origin", F.date_sub("flight_date", days), "dest", 2))
     )
-    best = lambda role: F.min(F.when(F.col("role") == role, F.col("leg")))
-    met = cand.select(F.inline(ends)).groupBy("y", "first_date").agg(best(1).alias("a"), best(2).alias("b"))
-    met = met.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    ranked = met.orderBy(F.col("a.arr_delay") + F.col("b.arr_delay"), "first_date", "y").limit(n)
-    return ranked.select(F.col("a.other").alias("x"), "y", F.col("b.other").alias("z"), "first_date")
+    if n is None:
+        leg = F.struct("delay", "other")
+        best = lambda role: F.min(F.when(F.col("role") == role, leg))
+        met = cand.select(ends).groupBy("y", "first_date").agg(best(1).alias("a"), best(2).alias("b"))
+        met = met.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+        return met.select(F.col("a.other").alias("x"), "y", F.col("b.other").alias("z"), "first_date")
+    least = lambda role: F.min(F.when(F.col("role") == role, F.col("delay")))
+    met = cand.select(ends).groupBy("y", "first_date").agg(least(1).alias("d1"), least(2).alias("d2"))
+    met = met.filter(F.col("d1").isNotNull() & F.col("d2").isNotNull())
+    top = computed_once(met.orderBy(F.col("d1") + F.col("d2"), "first_date", "y").limit(n))
+    on_days = top.select(F.explode(F.array(F.col("first_date"), F.date_add("first_date", days))).alias("flight_date"))
+    near = cand.join(F.broadcast(on_days), "flight_date", "left_semi").select(ends)
+    wanted = top.select("y", "first_date", F.inline(F.array(
+        F.struct(F.col("d1").alias("delay"), F.lit(1).alias("role")), F.struct(F.col("d2").alias("delay"), F.lit(2).alias("role"))
+    )))
+    other = lambda role: F.min(F.when(F.col("role") == role, F.col("other")))
+    found = near.join(F.broadcast(wanted), ["y", "first_date", "delay", "role"])
+    named = found.groupBy("y", "first_date").agg(other(1).alias("x"), other(2).alias("z"))
+    return computed_once(named.select("x", "y", "z", "first_date"))
 
 
 def requested_leg_flights(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
-    """Leg candidates on one of the requested legs. The request table is
-    broadcast into a left semi join (``itinerary_rows``, when known, bounds it
-    to twice that many legs without a counting job)."""
+    """Leg candidates on one of the requested legs. The requests may be a DataFrame of any
+    size and no job runs here: a known number of them (``itinerary_rows``) is broadcast
+    into a left semi join, otherwise the flights pass a Bloom filter of the requested legs
+    first (:func:`contrail.operators.runtime_filter.semi_join`)."""
     legs = itinerary_legs(itineraries, days)
     known = 2 * itinerary_rows if itinerary_rows is not None else None
-    return restrict_to(leg_candidates(flights), legs, ["origin", "dest", "flight_date"], known_rows=known)
+    return semi_join(leg_candidates(flights), legs, ["origin", "dest", "flight_date"], known_rows=known)
 
 
 def flight_min_delay(flights: DataFrame, itineraries: DataFrame, days: int = 2, itinerary_rows: int | None = None) -> DataFrame:
@@ -117,15 +132,17 @@ def best_two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2
     cand = requested_leg_flights(flights, itineraries, days, itinerary_rows)
     best = best_flight_per_leg(cand)
     trip = ["x", "y", "z", "first_date"]
-    tagged = itineraries.select(
-        *trip, F.lit(1).alias("_leg"), F.col("x").alias("origin"), F.col("y").alias("dest"),
-        F.col("first_date").alias("flight_date"),
-    ).unionByName(itineraries.select(
-        *trip, F.lit(2).alias("_leg"), F.col("y").alias("origin"), F.col("z").alias("dest"),
-        F.date_add(F.col("first_date"), days).alias("flight_date"),
-    ))
-    known = 2 * itinerary_rows if itinerary_rows is not None else None
-    met = best.join(bounded_broadcast(tagged, known_rows=known), ["origin", "dest", "flight_date"], "inner")
+    end = lambda i, a, b, day: F.struct(
+        F.lit(i).alias("_leg"), F.col(a).alias("origin"), F.col(b).alias("dest"), day.alias("flight_date")
+    )
+    ends = F.array(end(1, "x", "y", F.col("first_date")), end(2, "y", "z", F.date_add("first_date", days)))
+    tagged = itineraries.select(*trip, F.inline(ends))
+    leg_key = ["origin", "dest", "flight_date"]
+    if itinerary_rows is not None:
+        met = best.join(F.broadcast(tagged), leg_key, "inner")
+    else:  # one leg may be asked for by a large share of the trips; there is one best flight per leg
+        keyed = best.withColumnsRenamed({c: f"_{c}" for c in leg_key})
+        met = salted_join(tagged, keyed, leg_key, [f"_{c}" for c in leg_key], "inner", REQUEST_SALTS)
     leg = lambda i: F.max(F.when(F.col("_leg") == i, F.struct("airline", "dep_time", "delay")))
     folded = met.groupBy(*trip).agg(leg(1).alias("l1"), leg(2).alias("l2"))
     folded = folded.filter(F.col("l1").isNotNull() & F.col("l2").isNotNull())

@@ -33,6 +33,7 @@ from contrail.sources.files import (
     read_raw_flights,
 )
 from contrail.sources.tables import (
+    REQUESTS,
     airline_lookup_from_tables,
     airport_lookup_from_tables,
     flights_from_tables,
@@ -116,23 +117,34 @@ def route_mean_arrival(spark, sf_dir):
     return Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS))
 
 
-def _requested(spark, sf_dir) -> tuple[DataFrame, DataFrame, int]:
-    """Flights on the days of the requested legs, the request list and its length."""
-    itin = itineraries_from_tables(spark, sf_dir)
-    days = itinerary_legs(itin).select("flight_date").distinct()
-    values = Q.requested_days(itin)
-    flights = _flights(spark, sf_dir, LEG_COLS, days=days, days_rows=len(values), day_values=values)
-    return flights, itin, len(values)
+def _requested(spark, sf_dir, n: int | None = REQUESTS) -> tuple[DataFrame, DataFrame]:
+    """Flights on the days of the requested legs, and the requests (``n`` of them, or all)."""
+    itin = itineraries_from_tables(spark, sf_dir, n)
+    legs = itinerary_legs(itin)
+    return _flights(spark, sf_dir, LEG_COLS, days=legs, days_rows=2 * n if n else None), itin
 
 
 def leg_flight_min_delay(spark, sf_dir):
-    flights, itin, n = _requested(spark, sf_dir)
-    return Q.leg_flight_min_delay(flights, itin, itinerary_rows=n)
+    flights, itin = _requested(spark, sf_dir)
+    return Q.leg_flight_min_delay(flights, itin, itinerary_rows=REQUESTS)
 
 
 def two_leg_itineraries(spark, sf_dir):
-    flights, itin, n = _requested(spark, sf_dir)
-    return Q.two_leg_trips(flights, itin, itinerary_rows=n)
+    flights, itin = _requested(spark, sf_dir)
+    return Q.two_leg_trips(flights, itin, itinerary_rows=REQUESTS)
+
+
+def leg_requests_all(spark, sf_dir):
+    """3-2 with a request table of any size: every connection that the flights hold is
+    requested; the flights pass runtime filters made from the requests."""
+    flights, itin = _requested(spark, sf_dir, None)
+    return Q.leg_flight_min_delay(flights, itin)
+
+
+def two_leg_trips_all(spark, sf_dir):
+    """3-2 trips for a request table of any size."""
+    flights, itin = _requested(spark, sf_dir, None)
+    return Q.two_leg_trips(flights, itin)
 
 
 def leg_pairs(spark, sf_dir):
@@ -308,6 +320,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_mean_arrival": route_mean_arrival,
     "leg_flight_min_delay": leg_flight_min_delay,
     "two_leg_itineraries": two_leg_itineraries,
+    "leg_requests_all": leg_requests_all,
+    "two_leg_trips_all": two_leg_trips_all,
     "leg_pairs": leg_pairs,
     "leg_pairs_raw": leg_pairs_raw,
     "origin_carrier_report": origin_carrier_report,

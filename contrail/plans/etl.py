@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_lookup, enrich, project_clean
+from contrail.operators.runtime_filter import maybe_wanted, within_range
 from contrail.schemas import CLEAN_COLUMNS
 from contrail.sources.files import read_lookup, read_raw_flights
 
 
+DAY_BITS = 1 << 16  # a Bloom filter of days: a century has 36,525
+
+
 def store_flights(flights: DataFrame, path: str, partitions: int) -> None:
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in flights.columns]), F.lit(partitions))
     (
@@ -32,12 +36,21 @@ def store_flights(flights: DataFrame, path: str, partitions: int) -> None:
     )
 
 
-def read_stored_flights(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """The stored table without its ``year`` directory column. With ``days``
-    (``yyyy-MM-dd``) only flights on them: other years' directories are not listed
-    and the days reach the Parquet scan."""
+def read_stored_flights(spark: SparkSession, path: str, days: list[str] | DataFrame | None = None) -> DataFrame:
+    """The stored table without its ``year`` directory column. With ``days`` only flights on
+    them: other years' directories are not read and the days reach the Parquet scan.
+
+    ``days`` are ``yyyy-MM-dd``, known now, or a DataFrame with a ``flight_date`` column, of any
+    size, read when the query runs: the span of its years is then a partition filter, the span of its
+    days a filter of the scan, and a Bloom filter leaves out most other days (not all of them:
+    a join with the requests makes it exact)."""
     stored = spark.read.parquet(path)
-    if days is not None:
+    if isinstance(days, DataFrame):
+        wanted = days.select("flight_date").distinct()
+        stored = within_range(stored, F.col("year"), wanted, F.year("flight_date"))
+        stored = within_range(stored, F.col("flight_date"), wanted, F.col("flight_date"))
+        stored = maybe_wanted(stored, [F.col("flight_date")], wanted, [F.col("flight_date")], DAY_BITS)
+    elif days is not None:
         stored = stored.filter(
             F.col("year").isin(sorted({int(d[:4]) for d in days})) & F.col("flight_date").isin([dt.date.fromisoformat(d) for d in days])
         )

@@ -61,7 +61,8 @@ def _short(x: str) -> str:
 NINE = f"({_p('arr_delay')} OR {_p('dep_time')})"
 EIGHT = f"({_p('dep_delay')} OR {NINE})"
 
-ITINERARIES = f"""usable AS (
+def _itineraries(limit: str) -> str:
+    return f"""usable AS (
   SELECT f.*, concat_ws('-', f.carrier, f.flight_num) AS airline
   FROM flights f
   WHERE {NINE} AND {_p('f.origin')} AND {_p('f.dest')} AND f.arr_delay IS NOT NULL
@@ -78,8 +79,7 @@ out_of_y AS (
 itin AS (
   SELECT a.origin AS x, a.dest AS y, b.dest AS z, a.flight_date AS first_date
   FROM into_y a JOIN out_of_y b ON b.origin = a.dest AND b.flight_date = a.flight_date + {SECOND_LEG_DAYS}
-  ORDER BY a.arr_delay + b.arr_delay, a.flight_date, a.dest
-  LIMIT 8
+  {limit}
 ),
 legs AS (
   SELECT x AS origin, y AS dest, first_date AS flight_date FROM itin
@@ -91,6 +91,10 @@ cand AS (
   WHERE EXISTS (SELECT 1 FROM legs g WHERE g.origin = f.origin AND g.dest = f.dest AND g.flight_date = f.flight_date)
 )"""
 
+
+ITINERARIES = _itineraries("ORDER BY a.arr_delay + b.arr_delay, a.flight_date, a.dest LIMIT 8")
+ALL_ITINERARIES = _itineraries("")
+
 TRAFFIC = f"""traffic AS (
   SELECT airport, count(*) AS flights FROM (
     SELECT origin AS airport FROM flights WHERE {NINE} AND {_p('origin')} AND {_p('dest')}
@@ -292,6 +296,12 @@ _DEST_PAIRS = _with(FLIGHTS, ORIGIN_DEST) + """SELECT origin,
   '[' || string_agg('(' || CAST(delay AS VARCHAR) || ', ' || dest || ')', ', ' ORDER BY rank) || ']' AS pairs
 FROM od_best GROUP BY origin"""
 
+# The same questions with every connection as a request.
+ORACLE_SQL.update(
+    {many: ORACLE_SQL[few].replace(ITINERARIES, ALL_ITINERARIES)
+     for many, few in (("leg_requests_all", "leg_flight_min_delay"), ("two_leg_trips_all", "two_leg_itineraries"))}
+)
+
 # What is read back from a serving table is the answer that was published.
 ORACLE_SQL.update(
     serving_airports=ORACLE_SQL["airports_top10"],

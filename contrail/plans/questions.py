@@ -169,9 +169,9 @@ def two_leg_trips(flights: DataFrame, itineraries: DataFrame, days: int = 2, iti
     return best_two_leg_trips(flights, itineraries, days, itinerary_rows)
 
 
-def requested_days(itineraries: DataFrame, days: int = 2) -> list[str]:
-    """The days (``yyyy-MM-dd``) of the requested legs; ``itineraries`` is a short request list."""
-    return sorted(str(r["flight_date"]) for r in itinerary_legs(itineraries, days).select("flight_date").distinct().collect())
+def requested_days(itineraries: DataFrame, days: int = 2) -> DataFrame:
+    """The days (``flight_date``) of the requested legs."""
+    return itinerary_legs(itineraries, days).select("flight_date").distinct()
 
 
 def leg_pairs(flights: DataFrame, days: int = 2) -> DataFrame:

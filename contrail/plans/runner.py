@@ -26,10 +26,17 @@ from contrail.schemas import ITINERARY, OLD_KEPT_COLUMNS
 from contrail.sinks.serving import SERVING_KEYS, publish
 from contrail.sinks.files import write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup, read_old_clean_flights
-from contrail.sources.tables import flights_from_tables, itineraries_from_codes, itineraries_from_tables
+from contrail.sources.tables import ON_TIME_ITINERARIES, REQUESTS, flights_from_tables, itineraries_from_codes, itineraries_from_tables
 
 
-def answer(qid: str, flights: DataFrame, n: int | None, itineraries: DataFrame | None, airlines: DataFrame | None) -> DataFrame:
+def answer(
+    qid: str,
+    flights: DataFrame,
+    n: int | None,
+    itineraries: DataFrame | None,
+    airlines: DataFrame | None,
+    itinerary_rows: int | None = None,
+) -> DataFrame:
     if qid == "1-1":
         return Q.popular_airports(flights, n)
     if qid == "3-1":
@@ -52,7 +59,7 @@ def answer(qid: str, flights: DataFrame, n: int | None, itineraries: DataFrame |
         if itineraries is None:
             raise SystemExit(f"{qid} needs itineraries (--tables)")
         fn = Q.leg_flight_min_delay if qid == "3-2" else Q.two_leg_trips
-        return fn(flights, itineraries)
+        return fn(flights, itineraries, itinerary_rows=itinerary_rows)
     raise SystemExit(f"unknown question {qid}")
 
 
@@ -138,7 +145,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         source = [f"{args.tables.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
     n_shuffle = size_for_input(spark, input_bytes(spark, *source))
-    itineraries = None
+    itineraries, asked = None, None  # ``asked``: how many itineraries, where that is known without reading them
     if args.raw:
         flights = clean_from_raw(spark, args.raw, args.airports, args.airlines, strict=not args.lenient)
         if args.clean_out:
@@ -147,7 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.tables:
         flights = flights_from_tables(spark, args.tables)
         if any(q.startswith("3-2") for q in args.questions):
-            itineraries = itineraries_from_tables(spark, args.tables)
+            itineraries, asked = itineraries_from_tables(spark, args.tables), REQUESTS
     elif args.format == "parquet":
         flights = read_stored_flights(spark, args.input)
     elif args.format == "old":
@@ -160,7 +167,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.itineraries:
             itineraries = spark.read.schema(ITINERARY).option("header", True).csv(args.itineraries)
         else:
-            itineraries = itineraries_from_codes(spark)
+            itineraries, asked = itineraries_from_codes(spark), len(ON_TIME_ITINERARIES)
     if args.store:
         store_flights(flights, args.store, n_shuffle)
         return
@@ -185,7 +192,7 @@ def main(argv: list[str] | None = None) -> None:
             source = flights
             if args.format == "parquet" and args.input and qid.startswith("3-2"):
                 source = read_stored_flights(spark, args.input, days=Q.requested_days(itineraries))
-            out = answer(qid, source, n, itineraries, airlines)
+            out = answer(qid, source, n, itineraries, airlines, asked)
             _emit(args, qid, qid, out)
     finally:
         if shared:

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.scalars import delay_minutes, delayed_15
-from contrail.operators.joins import bounded_broadcast
 from contrail.operators.legs import best_connections
+from contrail.operators.runtime_filter import semi_join, within_range
 from contrail.schemas import CLEAN_COLUMNS, ITINERARY
 
 TABLES = (
@@ -78,15 +78,13 @@ def flights_from_tables(
     columns: list[str] | tuple[str, ...] | None = None,
     days: DataFrame | None = None,
     days_rows: int | None = None,
-    day_values: list[str] | None = None,
 ) -> DataFrame:
     """Flights in the clean layout (or the requested subset of its columns).
 
-    ``days`` (a ``flight_date`` column, at most ``days_rows`` rows) keeps only
-    flights on those days; the restriction is applied to the fact scan, before
-    any dimension join, so only those flights are shuffled. ``day_values`` are
-    the same days as ``yyyy-MM-dd`` when they are known while planning: they
-    become ranges that reach the Parquet scan, which then skips row groups.
+    ``days`` (a ``flight_date`` column; ``days_rows`` bounds the rows, if that is known)
+    keeps only flights on those days. The restriction is applied to the fact scan, before
+    any dimension join, so only those flights are shuffled: the span of the days as a
+    runtime filter of the scan, then the days themselves. No job runs here.
     """
     cols = list(columns) if columns else list(CLEAN_COLUMNS)
     unknown = set(cols) - set(CLEAN_COLUMNS)
@@ -97,16 +95,11 @@ def flights_from_tables(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    if day_values:
-        in_days = F.lit(False)
-        for day in sorted(set(day_values)):
-            start = F.lit(day).cast("date").cast(li.schema["l_shipdate"].dataType)
-            end = F.date_add(F.lit(day).cast("date"), 1).cast(li.schema["l_shipdate"].dataType)
-            in_days = in_days | ((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end))
-        li = li.filter(in_days)
     if days is not None:
-        wanted = bounded_broadcast(days.select(F.col("flight_date").alias("_day")), known_rows=days_rows)
-        li = li.join(wanted, F.col("l_shipdate").cast("date") == F.col("_day"), "left_semi")
+        at = li.schema["l_shipdate"].dataType
+        day = F.col("flight_date")
+        li = within_range(li, F.col("l_shipdate"), days, day.cast(at), F.date_add(day, 1).cast(at))
+        li = semi_join(li, days, {"flight_date": F.col("l_shipdate").cast("date")}, days_rows)
     base = li
     nations = _nation_names(spark, sf_dir) if {"origin", "dest"} & set(cols) else None
     if {"airline_id", "carrier"} & set(cols):
@@ -200,13 +193,16 @@ def itineraries_from_codes(spark: SparkSession, rows: list[tuple[str, str, str,
     return literal_table(spark, [(x, y, z, dt.date.fromisoformat(d)) for x, y, z, d in rows], ["x", "y", "z", "first_date"])
 
 
-def itineraries_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Fixed value: how many requests are derived from the driver tables.
+REQUESTS = 8
+
+
+def itineraries_from_tables(spark: SparkSession, sf_dir: str, n: int | None = REQUESTS) -> DataFrame:
     """Itineraries ``(x, y, z, first_date)`` derived from the flights of the driver tables
-    (:func:`contrail.operators.legs.best_connections`), as a literal table: the
-    few requests are known while the 3-2 queries are planned."""
+    (:func:`contrail.operators.legs.best_connections`): the ``n`` best, or all of them. They stay a
+    plan: no job runs here, and a query computes the ``n`` best once however often it uses them."""
     flights = flights_from_tables(spark, sf_dir, ["flight_date", "origin", "dest", "arr_delay", "dep_time"])
-    rows = best_connections(flights, SECOND_LEG_DAYS).collect()  # at most 8 rows
-    return itineraries_from_codes(spark, [(r["x"], r["y"], r["z"], r["first_date"].isoformat()) for r in rows])
+    return best_connections(flights, SECOND_LEG_DAYS, n)
 
 
 def raw_rows_from_flights(flights: DataFrame) -> DataFrame:

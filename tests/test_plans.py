@@ -113,6 +113,23 @@ def test_leg_pairs_broadcasts_its_bounded_second_side(spark):
 def test_requested_days_reach_the_scan(spark):
     p = plan(catalog.leg_flight_min_delay(spark, SF_SMALL))
     assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+    assert "GreaterThanOrEqual(l_shipdate,ScalarSubquery" in p and "LessThan(l_shipdate,ScalarSubquery" in p
+
+
+def test_building_the_3_2_queries_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("leg_flight_min_delay", "two_leg_itineraries", "leg_serving", "leg_requests_all", "two_leg_trips_all"):
+        spark.sparkContext.setJobGroup(f"plan-{name}", name)
+        catalog.QUERIES[name](spark, SF_SMALL)
+        assert len(tracker.getJobIdsForGroup(f"plan-{name}")) == 0, name
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_unbounded_requests_filter_by_bloom_and_are_not_broadcast_by_hint(spark):
+    df = catalog.leg_requests_all(spark, SF_SMALL)
+    p = plan(df)
+    assert "getbit" in p.lower() or "bit_get" in p.lower()
+    assert "broadcast" not in df._jdf.queryExecution().analyzed().toString().lower()
 
 
 def test_stored_flights_are_pruned_by_year_and_day(spark, scratch):
@@ -128,3 +145,20 @@ def test_stored_flights_are_pruned_by_year_and_day(spark, scratch):
     assert "In(flight_date" in p
     assert some.columns == flights.columns
     assert some.count() == flights.filter(F.col("flight_date").cast("string").isin(days)).count()
+
+
+def test_stored_flights_are_pruned_by_a_request_table(spark, scratch):
+    from contrail.plans.etl import read_stored_flights, store_flights
+    from contrail.sources.tables import flights_from_tables
+
+    flights = flights_from_tables(spark, SF_SMALL)
+    store_flights(flights, scratch, 4)
+    days = spark.createDataFrame([("1996-03-13",), ("1996-05-02",), (None,)], "d string").select(F.col("d").cast("date").alias("flight_date"))
+    some = read_stored_flights(spark, scratch, days)
+    p = plan(some)
+    years = next(line for line in p.splitlines() if line.startswith("PartitionFilters"))
+    assert "year" in years and "ubquery" in years
+    assert "GreaterThanOrEqual(flight_date,ScalarSubquery" in p
+    want = flights.filter(F.col("flight_date").cast("string").isin("1996-03-13", "1996-05-02"))
+    assert some.join(days, "flight_date", "left_semi").count() == want.count() <= some.count() < flights.count() / 50
+    assert read_stored_flights(spark, scratch, days.limit(0)).count() == 0
