@@ -254,6 +254,22 @@ def serving_stream_upsert(spark, sf_dir):
     return table.current()
 
 
+def serving_two_streams(spark, sf_dir):
+    """The 2-4 serving table fed by two streams, a load each, in several micro-batches; then the
+    first stream is replayed from its start, which must not bring its older items back."""
+    base = scratch_path(spark, "serving-two-streams")
+    means = Q.route_means_by_load(_flights(spark, sf_dir, ["flight_date"] + TRAFFIC_COLS), UPSERT_SPLIT_DATE)
+    loads = materialize(means, f"{base}/means")
+    table = KeyedTable(spark, f"{base}/table", ["origin", "dest"])
+    for load in (0, 1):
+        rows = loads.filter(F.col("load") == load).drop("load")
+        rows.repartition(3, "origin").write.mode("overwrite").parquet(f"{base}/arriving-{load}")
+    for run, load in enumerate((0, 1, 0)):  # the third run has lost its checkpoint: it replays every batch
+        stream = table_stream(spark, f"{base}/arriving-{load}", loads.drop("load").schema, max_files=1)
+        upsert_batches(stream, table, f"{base}/checkpoint-{run}", available_now=True, stream=f"load-{load}").awaitTermination()
+    return table.current()
+
+
 def _published(spark, sf_dir, qid: str, answer: DataFrame) -> DataFrame:
     """An answer as the serving table of its question, read back from the sink."""
     return publish(spark, qid, answer, scratch_path(spark, "serving"))
@@ -336,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "origin_carrier_best10_mr": origin_carrier_best10_mr,
     "origin_dest_worst_report": origin_dest_worst_report,
     "serving_stream_upsert": serving_stream_upsert,
+    "serving_two_streams": serving_two_streams,
     "serving_airports": serving_airports,
     "serving_airlines": serving_airlines,
     "serving_carriers": serving_carriers,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.runtime_filter import maybe_wanted, within_range
 from contrail.schemas import CLEAN_COLUMNS
+from contrail.sinks.files import write_table
 from contrail.sources.files import read_lookup, read_raw_flights
 
 
@@ -26,14 +27,12 @@ DAY_BITS = 1 << 16  # a Bloom filter of days: a century has 36,525
 
 def store_flights(flights: DataFrame, path: str, partitions: int) -> None:
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in flights.columns]), F.lit(partitions))
-    (
+    dealt = (
         flights.withColumn("year", F.year("flight_date"))
         .repartition(partitions, F.col("year"), F.month("flight_date"), spread)
         .sortWithinPartitions("year", "flight_date")
-        .write.mode("overwrite")
-        .partitionBy("year")
-        .parquet(path)
     )
+    write_table(dealt, path, partition_by=["year"])
 
 
 def read_stored_flights(spark: SparkSession, path: str, days: list[str] | DataFrame | None = None) -> DataFrame:

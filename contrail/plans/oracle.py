@@ -304,6 +304,7 @@ ORACLE_SQL.update(
 
 # What is read back from a serving table is the answer that was published.
 ORACLE_SQL.update(
+    serving_two_streams=ORACLE_SQL["serving_upsert"],
     serving_airports=ORACLE_SQL["airports_top10"],
     serving_airlines=ORACLE_SQL["carriers_ontime_top10"],
     serving_carriers=ORACLE_SQL["origin_carrier_pairs"],

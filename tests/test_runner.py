@@ -3,6 +3,8 @@
 import os
 
 from contrail.plans.runner import main
+from contrail.sinks.keyed import KeyedTable
+from contrail.sinks.serving import SERVING_KEYS
 from tests.conftest import SF_SMALL
 
 
@@ -100,7 +102,7 @@ def test_runner_publishes_serving_tables(spark, scratch):
         serve = os.path.join(scratch, "serving")
         main(["1-1", "2-2", "2-4", "3-2", "--tables", SF_SMALL, "--serve", serve])
         main(["1-1", "--tables", SF_SMALL, "--serve", serve])  # a second load replaces the items
-        read = lambda qid, v: spark.read.parquet(os.path.join(serve, qid, f"v={v}"))
+        read = lambda qid, v: KeyedTable(spark, os.path.join(serve, qid), SERVING_KEYS[qid]).read(v)
         assert read("1-1", 1).count() == 10
         assert read("2-2", 0).columns == ["origin", "pairs"]
         assert read("2-2", 0).first()["pairs"].startswith("[(")
