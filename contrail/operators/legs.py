@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.scalars import delay_minutes, delayed_15, round_half_up, unquote
+from contrail.operators.aggregates import mean_of_parts, sum_parts
 from contrail.operators.filters import min_fields, require
 from contrail.operators.joins import salted_join
 from contrail.operators.runtime_filter import computed_once, semi_join
@@ -219,3 +220,34 @@ def with_best_connection(flights: DataFrame, days: int = 2, salt_buckets: int |
     :func:`connect_legs`, which this calls with the second legs of ``flights``.
     """
     return connect_legs(flights, best_second_legs(flights), days, salt_buckets)
+
+
+def hub_pair_stats(flights: DataFrame) -> DataFrame:
+    """Statistics of all two-leg pairs by hub (a flight into it with any flight out of it, no
+    date condition) without listing a pair: (hub, pairs, first_delay, second_delay, total_delay,
+    both_late).
+
+    A pair is a row of each side, so every statistic comes from one aggregate row per side and
+    hub: counts multiply, and the mean over pairs of one side's value is that side's mean. The pairs of a
+    hub grow with the square of its flights, this with the hubs. ``first_delay`` and
+    ``second_delay`` are mean arrival delays over pairs where they are known, ``total_delay`` the mean of their
+    sum, ``both_late`` the pairs of which each leg is 15 minutes late or more.
+    """
+    def side(place: str, name: str) -> DataFrame:
+        known = require(flights, place)
+        return known.groupBy(F.col(place).alias("hub")).agg(
+            F.count(F.lit(1)).cast("decimal(18,0)").alias(f"{name}_rows"),
+            F.sum(delayed_15("arr_delay")).cast("decimal(18,0)").alias(f"{name}_late"),
+            *sum_parts(F.col("arr_delay"), name),
+        )
+
+    both = side("dest", "a").join(side("origin", "b"), "hub")  # one row per hub on either side
+    zero = F.lit(0).cast("decimal(18,0)")
+    return both.select(
+        "hub",
+        (F.col("a_rows") * F.col("b_rows")).cast("decimal(38,0)").alias("pairs"),
+        mean_of_parts("a").alias("first_delay"),
+        mean_of_parts("b").alias("second_delay"),
+        (mean_of_parts("a") + mean_of_parts("b")).alias("total_delay"),
+        (F.coalesce("a_late", zero) * F.coalesce("b_late", zero)).cast("decimal(38,0)").alias("both_late"),
+    )

@@ -8,16 +8,20 @@ columns it reads.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import short_number
+from contrail.functions.scalars import round_half_up, short_number
 from contrail.operators.clean import clean_lookup, enrich, project_clean, project_legs
 from contrail.operators.filters import min_fields
 from contrail.operators.joins import lookup_left_join
+from contrail.operators.legs import hub_pair_stats as hub_statistics
 from contrail.operators.legs import itinerary_legs
+from contrail.operators.numbering import with_position
 from contrail.operators.parse import parse_lines, to_lines
+from contrail.operators.rollup import BY_DAY, BY_ROUTE, answer_from_rollup, merge, rollup
 from contrail.operators.upsert import first_per_key
 from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS, OLD_KEPT_COLUMNS
@@ -41,7 +45,7 @@ from contrail.sources.tables import (
     raw_rows_from_flights,
     read_table,
 )
-from contrail.streaming.files import table_stream, text_stream, upsert_batches, write_files
+from contrail.streaming.files import keep_airport_counts, keep_route_means, table_stream, text_stream, upsert_batches, write_files
 
 # Airports picked for the subset report, and the date that
 # splits the flights into two loads for the serving-table upsert.
@@ -222,8 +226,7 @@ def old_layout_airlines(spark, sf_dir):
 
 
 def route_key_value(spark, sf_dir):
-    """2-4 handed on as key/value text, the way the older jobs pass results
-    between steps: ``origin-dest<TAB>delay`` written, then read back."""
+    """2-4 handed on as key/value text: ``origin-dest<TAB>delay`` written, then read back."""
     routes = Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS))
     lines = routes.select(F.concat_ws("-", "origin", "dest").alias("key"), short_number("delay").alias("value"))
     path = scratch_path(spark, "route-kv")
@@ -231,6 +234,15 @@ def route_key_value(spark, sf_dir):
     return read_key_value(spark, path)
 
 
+def route_key_value_unrounded(spark, sf_dir):
+    """2-4 as the older jobs hand it on: ``origin-dest<TAB>mean``, the mean not rounded;
+    read back as a number (the text of a double differs between engines)."""
+    routes = Q.route_mean_arrival(_flights(spark, sf_dir, TRAFFIC_COLS), digits=None)
+    path = scratch_path(spark, "route-kv-plain")
+    write_key_value(routes.select(F.concat_ws("-", "origin", "dest").alias("key"), F.col("delay").alias("value")), "key", "value", path)
+    return read_key_value(spark, path).select("key", F.col("value").cast("double").alias("value"))
+
+
 def origin_carrier_best10_mr(spark, sf_dir):
     return Q.origin_carrier_best_unrounded(_flights(spark, sf_dir, CARRIER_DEP_COLS))
 
@@ -270,6 +282,70 @@ def serving_two_streams(spark, sf_dir):
     return table.current()
 
 
+ROLLUP_COLS = ["origin", "dest", "carrier", "flight_date", "cancelled", "dep_delay", "arr_delay", "dep_time"]
+
+
+def rollup_answers(spark, sf_dir):
+    """1-1, 1-2, 2-1, 2-2, 2-4 and 3-1 from one scan: two rollups (of the flights before and
+    from a date) are written by one pass, merged, and every question is answered from them."""
+    loads = _flights(spark, sf_dir, ROLLUP_COLS).withColumn("load", F.col("flight_date") < F.lit(UPSERT_SPLIT_DATE).cast("date"))
+    written = materialize(rollup(loads, (*BY_DAY, "load")), scratch_path(spark, "rollup"))
+    parts = [written.filter(c).drop("load") for c in ("load", "not load or load is null")]
+    rolled = materialize(merge(*parts, by=BY_ROUTE), scratch_path(spark, "rollup-routes"))
+
+    def rows(qid: str, key: Column, name: Column, value: str, rank: Column) -> DataFrame:
+        own = answer_from_rollup(qid, rolled)
+        return own.select(F.lit(qid).alias("question"), key.alias("key"), name.alias("name"), F.col(value).cast("double").alias("value"), rank.alias("rank"))
+
+    none, no_rank = F.lit(None).cast("string"), F.lit(None).cast("int")
+    return reduce(DataFrame.unionByName, [
+        rows("1-1", F.col("airport"), none, "flights", no_rank),
+        rows("1-2", F.col("airline"), none, "delay", no_rank),
+        rows("2-1", F.col("origin"), F.col("carrier"), "delay", F.col("rank")),
+        rows("2-2", F.col("origin"), F.col("dest"), "delay", F.col("rank")),
+        rows("2-4", F.col("origin"), F.col("dest"), "delay", no_rank),
+        rows("3-1", F.col("airport"), none, "flights", no_rank),
+    ])
+
+
+def airports_positions(spark, sf_dir):
+    """3-1 with every airport's position in the whole order."""
+    counts = Q.airport_traffic(_flights(spark, sf_dir, TRAFFIC_COLS))
+    return with_position(counts, [("flights", False), ("airport", False)])
+
+
+def hub_pair_stats(spark, sf_dir):
+    """The legs self-join without a date condition, as statistics by hub; no pair is listed."""
+    stats = hub_statistics(_flights(spark, sf_dir, ["origin", "dest", "arr_delay"]))
+    counts, means = ("pairs", "both_late"), ("first_delay", "second_delay", "total_delay")
+    return stats.withColumns({**{c: F.col(c).cast("double") for c in counts}, **{c: round_half_up(c) for c in means}})
+
+
+def _stream_in_two_runs(spark, sf_dir, cols, keys, keep):
+    """A stream over the flights in six files: three files a run and one a batch; the second run
+    is a restart from the first one's checkpoint."""
+    base = scratch_path(spark, "stream-state")
+    flights = materialize(_flights(spark, sf_dir, cols).repartition(6, *cols), f"{base}/flights")
+    table = KeyedTable(spark, f"{base}/table", keys)
+    part = F.pmod(F.xxhash64(*cols), F.lit(6))
+    for run in (0, 1):
+        chosen = flights.filter(part < 3) if run == 0 else flights.filter(part >= 3)
+        chosen.repartition(3, *cols).write.mode("append").parquet(f"{base}/arriving")
+        stream = table_stream(spark, f"{base}/arriving", flights.schema, max_files=1)
+        keep(stream, table, f"{base}/checkpoint", available_now=True).awaitTermination()
+    return table.current()
+
+
+def stream_route_means(spark, sf_dir):
+    """2-4 kept as state of a stream while files arrive, over a restart."""
+    return _stream_in_two_runs(spark, sf_dir, TRAFFIC_COLS, ["origin", "dest"], keep_route_means)
+
+
+def stream_airport_counts(spark, sf_dir):
+    """3-1's counts kept as state of a stream while files arrive, over a restart."""
+    return _stream_in_two_runs(spark, sf_dir, TRAFFIC_COLS, ["airport"], keep_airport_counts)
+
+
 def _published(spark, sf_dir, qid: str, answer: DataFrame) -> DataFrame:
     """An answer as the serving table of its question, read back from the sink."""
     return publish(spark, qid, answer, scratch_path(spark, "serving"))
@@ -316,7 +392,7 @@ def stream_tail(spark, sf_dir):
     file table in the shared checkpoint folder, and read back."""
     schema = read_table(spark, sf_dir, "events").schema
     base = scratch_path(spark, "stream_tail")
-    stream = table_stream(spark, sf_dir, schema, file_glob="events.parquet")
+    stream = table_stream(spark, sf_dir, schema, file_glob="events.parquet", max_files=1000)
     q = write_files(stream, f"{base}/data", f"{base}/checkpoint", available_now=True)
     q.awaitTermination()  # until the available files are done; a failure is raised here
     return spark.read.schema(schema).parquet(f"{base}/data")
@@ -348,11 +424,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_serving": leg_serving,
     "old_layout_airlines": old_layout_airlines,
     "route_key_value": route_key_value,
+    "route_key_value_unrounded": route_key_value_unrounded,
     "origin_carrier_pairs": origin_carrier_pairs,
     "origin_carrier_best10_mr": origin_carrier_best10_mr,
     "origin_dest_worst_report": origin_dest_worst_report,
     "serving_stream_upsert": serving_stream_upsert,
     "serving_two_streams": serving_two_streams,
+    "rollup_answers": rollup_answers,
+    "airports_positions": airports_positions,
+    "hub_pair_stats": hub_pair_stats,
+    "stream_route_means": stream_route_means,
+    "stream_airport_counts": stream_airport_counts,
     "serving_airports": serving_airports,
     "serving_airlines": serving_airlines,
     "serving_carriers": serving_carriers,

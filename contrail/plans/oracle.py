@@ -302,6 +302,35 @@ ORACLE_SQL.update(
      for many, few in (("leg_requests_all", "leg_flight_min_delay"), ("two_leg_trips_all", "two_leg_itineraries"))}
 )
 
+_ROWS = "SELECT '{q}' AS question, {key} AS key, {name} AS name, CAST({value} AS DOUBLE) AS value, {rank} AS rank FROM ({sql}) AS q{n}"
+_SIX = (
+    ("1-1", "airport", "NULL", "flights", "NULL", "SELECT airport, flights FROM traffic ORDER BY flights DESC, airport DESC LIMIT 10"),
+    ("1-2", "airline", "NULL", "delay", "NULL", f"""SELECT carrier AS airline, avg({_r2('arr_delay')}) AS delay FROM flights
+  WHERE {NINE} AND {_p('carrier')} AND arr_delay IS NOT NULL GROUP BY carrier ORDER BY delay, airline LIMIT 10"""),
+    ("2-1", "origin", "carrier", "delay", "rank", "SELECT * FROM oc_best"),
+    ("2-2", "origin", "dest", "delay", "rank", "SELECT * FROM od_best"),
+    ("2-4", "origin", "dest", "delay", "NULL", _route_means()),
+    ("3-1", "airport", "NULL", "flights", "NULL", "SELECT airport, flights FROM traffic"),
+)
+ORACLE_SQL["rollup_answers"] = _with(FLIGHTS, TRAFFIC, ORIGIN_CARRIER, ORIGIN_DEST) + "\nUNION ALL\n".join(
+    _ROWS.format(q=q, key=k, name=f"CAST({n} AS VARCHAR)", value=v, rank=f"CAST({r} AS INTEGER)", sql=sql, n=i)
+    for i, (q, k, n, v, r, sql) in enumerate(_SIX)
+)
+ORACLE_SQL["airports_positions"] = _with(FLIGHTS, TRAFFIC) + """SELECT airport, flights,
+  row_number() OVER (ORDER BY flights DESC, airport DESC) AS position
+FROM traffic"""
+ORACLE_SQL["hub_pair_stats"] = _with(FLIGHTS) + f"""SELECT a.dest AS hub, CAST(count(*) AS DOUBLE) AS pairs,
+  {_r2('avg(a.arr_delay)')} AS first_delay, {_r2('avg(b.arr_delay)')} AS second_delay, {_r2('avg(a.arr_delay + b.arr_delay)')} AS total_delay,
+  CAST(count(*) FILTER (WHERE a.arr_delay >= 15 AND b.arr_delay >= 15) AS DOUBLE) AS both_late
+FROM flights a JOIN flights b ON b.origin = a.dest
+WHERE a.dest <> ''
+GROUP BY a.dest"""
+ORACLE_SQL["route_key_value_unrounded"] = _with(FLIGHTS) + f"""SELECT origin || '-' || dest AS key, avg(arr_delay) AS value
+FROM flights WHERE {NINE} AND {_p('origin')} AND {_p('dest')} AND arr_delay IS NOT NULL
+GROUP BY origin, dest"""
+ORACLE_SQL["stream_route_means"] = ORACLE_SQL["route_mean_arrival"]
+ORACLE_SQL["stream_airport_counts"] = _with(FLIGHTS, TRAFFIC) + "SELECT airport, flights FROM traffic"
+
 # What is read back from a serving table is the answer that was published.
 ORACLE_SQL.update(
     serving_two_streams=ORACLE_SQL["serving_upsert"],

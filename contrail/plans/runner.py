@@ -6,8 +6,9 @@
 ``--input`` reads pipe-delimited clean flights (or ``--format parquet``);
 ``--tables`` uses the driver tables through the flights mapping. Each answer
 is written to ``<output>/<id>`` (replacing what was there) as Parquet, CSV or
-``key<TAB>value`` text. The input is persisted once when several questions
-share it (not for Parquet, which is scanned column by column), and released at the end.
+``key<TAB>value`` text. Several questions of counts and means share one scan, which writes the
+rollup they are answered from; the others share a persisted input (not for Parquet, which is
+scanned column by column), released at the end.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from pyspark.sql import functions as F
 
 from contrail.plans import questions as Q
 from contrail.plans.etl import clean_from_raw, read_stored_flights, store_flights
-from contrail.session import input_bytes, size_for_input
+from contrail.session import input_bytes, scratch_path, size_for_input
 from contrail.operators.filters import min_fields
+from contrail.operators.rollup import BY_ROUTE, ROLLUP_IDS, answer_from_rollup, rollup
 from contrail.schemas import ITINERARY, OLD_KEPT_COLUMNS
 from contrail.sinks.serving import SERVING_KEYS, publish
-from contrail.sinks.files import write_delimited, write_key_value, write_table
+from contrail.sinks.files import materialize, write_delimited, write_key_value, write_table
 from contrail.sources.files import read_clean_flights, read_lookup, read_old_clean_flights
 from contrail.sources.tables import ON_TIME_ITINERARIES, REQUESTS, flights_from_tables, itineraries_from_codes, itineraries_from_tables
 
@@ -182,13 +184,20 @@ def main(argv: list[str] | None = None) -> None:
         from contrail.operators.clean import clean_lookup
 
         airlines = clean_lookup(read_lookup(spark, args.airlines))
+    # Several questions of counts and means: one scan makes the rollup that answers them all.
+    n = args.n or None
+    rolled = [q for q in args.questions if q in ROLLUP_IDS]
+    if len(rolled) > 1:
+        by_route = materialize(rollup(flights, BY_ROUTE), scratch_path(spark, "rollup"))
+        for qid in rolled:
+            _emit(args, qid, qid, answer_from_rollup(qid, by_route, n))
+    others = [q for q in args.questions if len(rolled) < 2 or q not in rolled]
     # A Parquet scan is pruned per question, which is cheaper than keeping all columns.
-    shared = len(args.questions) > 1 and args.format != "parquet"
+    shared = len(others) > 1 and args.format != "parquet"
     if shared:
         flights = flights.persist(StorageLevel.MEMORY_AND_DISK)
-    n = args.n or None
     try:
-        for qid in args.questions:
+        for qid in others:
             source = flights
             if args.format == "parquet" and args.input and qid.startswith("3-2"):
                 source = read_stored_flights(spark, args.input, days=Q.requested_days(itineraries))

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.operators.aggregates import mean_of_parts, sum_parts
+from contrail.operators.filters import min_fields, require
 from contrail.sinks.keyed import KeyedTable
 
 BATCH_INTERVAL = "2 seconds"
@@ -96,6 +99,48 @@ def upsert_batches(
     return _trigger(w, interval, available_now).start()
 
 
+def upsert_aggregates(
+    df: DataFrame,
+    keys: list[str],
+    aggregates: list[Column],
+    values: list[Column],
+    table: KeyedTable,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+    available_now: bool = False,
+    stream: str | None = None,
+) -> StreamingQuery:
+    """Keep ``aggregates`` per key over all files that have arrived, as state of the stream, and
+    upsert the keys that a batch has changed (``values`` computed from them) into a keyed table.
+
+    The state lives in the checkpoint: a restarted stream goes on from it. A key's item is
+    complete in itself, and the table's ledger knows the batches it holds, so a batch that is
+    replayed after a failure changes nothing.
+    """
+    name = stream or hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    state = df.groupBy(*keys).agg(*aggregates)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch.select(*keys, *values), batch=(name, int(batch_id)))
+
+    w = state.writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", checkpoint)
+    return _trigger(w, interval, available_now).start()
+
+
+def keep_route_means(flights: DataFrame, table: KeyedTable, checkpoint: str, **options) -> StreamingQuery:
+    """2-4 kept up to date while files arrive: (origin, dest, delay)."""
+    usable = require(min_fields(flights, 9), "origin", "dest", "arr_delay")
+    parts, mean = sum_parts(F.col("arr_delay"), "_v"), mean_of_parts("_v", 2).alias("delay")
+    return upsert_aggregates(usable, ["origin", "dest"], parts, [mean], table, checkpoint, **options)
+
+
+def keep_airport_counts(flights: DataFrame, table: KeyedTable, checkpoint: str, **options) -> StreamingQuery:
+    """Flights in plus out per airport kept up to date while files arrive: (airport, flights)."""
+    usable = require(min_fields(flights, 9), "origin", "dest")
+    ends = usable.select(F.explode(F.array("origin", "dest")).alias("airport"))
+    return upsert_aggregates(ends, ["airport"], [F.count(F.lit(1)).alias("flights")], [F.col("flights")], table, checkpoint, **options)
+
+
 def tail_directory(spark: SparkSession, directory: str, checkpoint: str, interval: str = BATCH_INTERVAL,
                    timeout_s: float | None = None) -> StreamingQuery:
     """Print the new lines of files arriving in ``directory`` every ``interval``
