@@ -30,11 +30,14 @@ from contrail.sinks.files import materialize, write_delimited, write_key_value
 from contrail.sinks.keyed import KeyedTable
 from contrail.sinks.serving import publish
 from contrail.sources.files import (
+    bad_lines,
+    good_lines,
     read_clean_flights,
     read_key_value,
     read_lookup,
     read_old_clean_flights,
     read_raw_flights,
+    read_raw_marked,
 )
 from contrail.sources.tables import (
     REQUESTS,
@@ -206,6 +209,30 @@ def etl_roundtrip(spark, sf_dir):
     )
 
 
+# Which flights (by line number) get which fault in ``raw_set_aside``.
+FAULTY = {"5": "fields", "6": "date", "7": "number"}
+
+
+def raw_set_aside(spark, sf_dir):
+    """Raw quoted lines, some with a planted fault, read into good flights and bad lines with
+    their reason; then counted by reason and airport of departure (of a bad line: its text)."""
+    path = scratch_path(spark, "raw-faulty")
+    raw = raw_rows_from_flights(_flights(spark, sf_dir))
+    fault = lambda n: F.col("FlightNum") == n
+    raw = raw.withColumns({
+        "FlightDate": F.when(fault("6"), "1996-13-45").otherwise(F.col("FlightDate")),
+        "ArrDelay": F.when(fault("7"), "4x").otherwise(F.col("ArrDelay")),
+    })
+    cells = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in raw.columns]
+    line = F.concat_ws(",", *cells, F.when(fault("5"), '"more"'))
+    raw.select(line.alias("value")).write.text(f"{path}/flights")
+    spark.range(1).select(F.lit(",".join(f'"{c}"' for c in raw.columns)).alias("value")).write.mode("append").text(f"{path}/flights")
+    marked = materialize(read_raw_marked(spark, f"{path}/flights"), f"{path}/marked")
+    good = project_clean(good_lines(marked)).select(F.lit("good").alias("kind"), "origin")
+    bad = bad_lines(marked).select(F.col("reason").alias("kind"), F.regexp_extract("line", '"(NATION_[0-9]+)"', 1).alias("origin"))
+    return good.unionByName(bad).groupBy("kind", "origin").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def old_layout_airlines(spark, sf_dir):
     """1-2 named, from flights written in the older pipe layout (airline id and
     name on each row, taken from the airline lookup) and read back with its
@@ -422,6 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tail": stream_tail,
     "etl_roundtrip": etl_roundtrip,
     "leg_serving": leg_serving,
+    "raw_set_aside": raw_set_aside,
     "old_layout_airlines": old_layout_airlines,
     "route_key_value": route_key_value,
     "route_key_value_unrounded": route_key_value_unrounded,

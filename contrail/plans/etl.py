@@ -19,7 +19,7 @@ from contrail.operators.clean import clean_lookup, enrich, project_clean
 from contrail.operators.runtime_filter import maybe_wanted, within_range
 from contrail.schemas import CLEAN_COLUMNS
 from contrail.sinks.files import write_table
-from contrail.sources.files import read_lookup, read_raw_flights
+from contrail.sources.files import bad_lines, good_lines, read_lookup, read_raw_flights, read_raw_marked
 
 
 DAY_BITS = 1 << 16  # a Bloom filter of days: a century has 36,525
@@ -64,13 +64,21 @@ def clean_from_raw(
     file_glob: str | None = None,
     strict: bool = True,
     with_names: bool = False,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Raw on-time CSV files to clean flights: header and undated rows
     dropped, the 10 clean columns typed, and (when lookups are given) the
     airport and airline names joined on. Without ``with_names`` only the 10
     clean columns are kept, and Catalyst then drops the lookup joins. ``strict``
-    fails the job on a malformed line or number; otherwise it becomes null."""
-    flights = project_clean(read_raw_flights(spark, raw_path, file_glob=file_glob, strict=strict), strict=strict)
+    fails the job on a malformed line or number; otherwise it becomes null. With ``rejects`` (a
+    directory), a bad line is neither: it is written there, with its file and the reason,
+    and the rest is read strictly."""
+    if rejects:
+        marked = read_raw_marked(spark, raw_path, file_glob)
+        write_table(bad_lines(marked), rejects)
+        flights = project_clean(good_lines(marked))
+    else:
+        flights = project_clean(read_raw_flights(spark, raw_path, file_glob=file_glob, strict=strict), strict=strict)
     if airports_path and airlines_path:
         flights = enrich(
             flights,

@@ -328,6 +328,9 @@ GROUP BY a.dest"""
 ORACLE_SQL["route_key_value_unrounded"] = _with(FLIGHTS) + f"""SELECT origin || '-' || dest AS key, avg(arr_delay) AS value
 FROM flights WHERE {NINE} AND {_p('origin')} AND {_p('dest')} AND arr_delay IS NOT NULL
 GROUP BY origin, dest"""
+ORACLE_SQL["raw_set_aside"] = _with(FLIGHTS) + """SELECT
+  CASE flight_num WHEN '5' THEN 'fields' WHEN '6' THEN 'date' WHEN '7' THEN 'number' ELSE 'good' END AS kind, origin, count(*) AS lines
+FROM flights GROUP BY 1, 2"""
 ORACLE_SQL["stream_route_means"] = ORACLE_SQL["route_mean_arrival"]
 ORACLE_SQL["stream_airport_counts"] = _with(FLIGHTS, TRAFFIC) + "SELECT airport, flights FROM traffic"
 

@@ -125,6 +125,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--raw", help="raw on-time CSV files (a directory or a glob); see --clean-out")
     ap.add_argument("--airports", help="airport lookup CSV (with --raw)")
     ap.add_argument("--lenient", action="store_true", help="with --raw: malformed numbers become null instead of failing the job")
+    ap.add_argument("--rejects", help="with --raw: write bad lines here (file, reason, line) instead of failing or nulling them")
     ap.add_argument("--clean-out", help="with --raw: write the clean flights here, pipe-delimited")
     ap.add_argument("--legs-out", help="write the legs file here (each flight with its best connection), pipe-delimited")
     ap.add_argument("--format", default="pipe", choices=["pipe", "parquet", "old"],
@@ -149,7 +150,7 @@ def main(argv: list[str] | None = None) -> None:
     n_shuffle = size_for_input(spark, input_bytes(spark, *source))
     itineraries, asked = None, None  # ``asked``: how many itineraries, where that is known without reading them
     if args.raw:
-        flights = clean_from_raw(spark, args.raw, args.airports, args.airlines, strict=not args.lenient)
+        flights = clean_from_raw(spark, args.raw, args.airports, args.airlines, strict=not args.lenient, rejects=args.rejects)
         if args.clean_out:
             write_delimited(flights, args.clean_out, sep="|")
             flights = read_clean_flights(spark, args.clean_out)

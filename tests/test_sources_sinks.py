@@ -240,3 +240,37 @@ def test_enrich_salted_fallback_equals_broadcast(spark):
     assert len(outer) == 3 and all("_salt" in line for line in outer)  # the three lookup joins are salted
     assert salted.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(salted).count() == 0
     assert salted.count() == flights.count()
+
+
+def test_bad_raw_lines_are_set_aside_with_file_and_reason(spark, scratch):
+    from pyspark.sql import Observation
+
+    from contrail.plans.etl import clean_from_raw
+    from contrail.schemas import RAW_FLIGHT_COLUMNS
+    from contrail.sources.files import bad_lines, good_lines, observed, read_raw_marked
+
+    def line(**values):
+        return ",".join('"' + values.get(c, "") + '"' for c in RAW_FLIGHT_COLUMNS)
+
+    head = ",".join(f'"{c}"' for c in RAW_FLIGHT_COLUMNS)
+    fine = line(FlightDate="2008-01-01", Origin="ORD", OriginCityName="Chicago, IL", ArrDelay="4.00", AirlineID="19805")
+    bare = line(FlightDate="2008-01-02", Origin="LAX")
+    bad = {
+        "short": ("fields", "2008-01-01,AA"),
+        "long": ("fields", fine + ',"x"'),
+        "date": ("date", line(FlightDate="2008-02-30", Origin="ORD")),
+        "undated": ("date", line(Origin="ORD")),
+        "number": ("number", line(FlightDate="2008-01-01", ArrDelay="late")),
+    }
+    write_lines(scratch, "one.csv", [head, fine, *[x for _, x in bad.values()]])
+    write_lines(scratch, "two.csv", [head, bare])
+    seen = Observation("lines")
+    marked = observed(read_raw_marked(spark, scratch), seen)
+    aside = bad_lines(marked).collect()
+    assert seen.get == {"lines": 7, "good": 2, "fields": 2, "date": 2, "number": 1}
+    assert sorted((r["reason"], r["line"]) for r in aside) == sorted(bad.values()) and all(r["file"].endswith("one.csv") for r in aside)
+    assert sorted(r["Origin"] for r in good_lines(marked).collect()) == ["LAX", "ORD"]
+    out = scratch + "-rejects"
+    kept = clean_from_raw(spark, scratch, rejects=out)
+    assert sorted((r["origin"], r["arr_delay"]) for r in kept.collect()) == [("LAX", None), ("ORD", 4.0)]
+    assert spark.read.parquet(out).count() == 5
