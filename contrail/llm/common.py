@@ -12,6 +12,7 @@ from contrail.sinks.files import materialize
 # feed and carriage return (the same class in Java, RE2 and Python regexes).
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+COPIES = 65_536  # equal rows that one row unfolds to
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -25,6 +26,14 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, scratch_path(df.sparkSession, "llm", name))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the next one with underscores that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
     return F.transform(F.array(value), body)[0]
@@ -72,8 +81,9 @@ def running_offset(
     The order inside a group is (chunk, order, weight), chunk being a hash of the
     order columns. No task ever sorts a whole group: sums run inside a (group,
     chunk), and the at most ``chunks`` totals of a group are summed apart. Equal
-    rows are counted before the shuffle and unfolded at the end, so a row
-    repeated any number of times doesn't gather in one task either. Groups must
+    rows are counted before the shuffle and unfolded at the end, in two steps with the
+    parts of ``COPIES`` rows dealt over the tasks between them, so a row
+    repeated any number of times doesn't gather in one task or one array. Groups must
     not be null.
     """
     keyed = df.withColumn("_chunk", text_hash(*[F.col(c) for c in order]) % chunks)
@@ -86,8 +96,10 @@ def running_offset(
     v = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(*groups, "_chunk", F.coalesce(F.sum("_total").over(v), F.lit(0)).alias("_base"))
     joined = inner.join(base, [*groups, "_chunk"])
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy")
     columns = list(dict.fromkeys([*groups, *order, weight]))
-    return joined.select(*columns, "_within", "_base", copy).select(
-        *columns, (F.col("_base") + F.col("_within") + F.col("_copy") * F.col(weight)).alias(name)
-    )
+    long = lambda x: F.lit(x).cast("long")
+    parts = joined.select(*columns, "_within", "_base", "_copies", F.explode(F.sequence(long(0), F.floor((F.col("_copies") - 1) / COPIES))).alias("_part"))
+    most = F.least(long(COPIES), F.col("_copies") - F.col("_part") * COPIES)
+    copies = parts.repartition(*[F.col(c) for c in columns], F.col("_part")).select("*", F.explode(F.sequence(long(0), most - 1)).alias("_copy"))
+    before = F.col("_part") * COPIES + F.col("_copy")
+    return copies.select(*columns, (F.col("_base") + F.col("_within") + before * F.col(weight)).alias(name))
