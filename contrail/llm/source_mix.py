@@ -6,12 +6,12 @@
    a target stops at ``max_repeats`` times its source, the excess goes to the
    others by weight (closed form of the water filling).
 3. A source gets its wanted number of slots, rounded by largest remainder and
-   never above ``max_repeats`` times its blocks. Each output shard of
-   ``shard_slots`` slots gets the whole part of the expected counts; the slots
-   that are then left of the sources are dealt at random, without replacement,
-   to the places left in the shards. Shards are full, and the counts of a source
-   over all shards add up to its slots exactly.
-4. The slots of a source are numbered through all shards; slot t is block
+   never above ``max_repeats`` times its blocks. All slots are numbered, source after
+   source, and one keyed permutation of all these numbers deals them to places: place p
+   is in output shard ``p div shard_slots``. Every shard is full (the last one may be
+   smaller), and its counts by source are a multinomial draw under the condition that the counts
+   of a source over all shards add up to its slots exactly.
+4. Slot t of a source is block
    ``perm(t mod blocks)`` of pass ``t div blocks``, perm being a swap-or-not
    permutation of the block numbers keyed by seed, source and pass. A pass takes
    every block once before the next begins, and the slots end with pass
@@ -24,7 +24,8 @@ only. Sources are summed before the shuffle, and positions come from
 
 Defined results: null or empty texts have size 0 and taken 0; a null source is a
 source of its own, last in order; repeated rows each have their own place; an
-empty table gives no rows.
+empty table gives no rows; columns besides the three named ones pass through whatever
+their names (``mixed_documents``), or are not looked at (``taken_words``).
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ SHARD_SLOTS = 65_536
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 ROUNDS = 24
+CHUNK = 4_096  # slots that one row unfolds to
 
 
 def source_targets(sized: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -98,46 +100,37 @@ def slot_totals(targets: DataFrame, block_words: int, max_repeats: int = MAX_REP
     )
 
 
-def numbered(left: DataFrame, key: str) -> DataFrame:
-    """``key`` once for each of its ``_left``, numbered through all keys (``_at``); ``_all`` is their number."""
-    upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)  # one row per source or shard
-    ends = left.filter("_left > 0").withColumn("_end", F.sum("_left").over(upto)).withColumn("_all", F.sum("_left").over(Window.partitionBy()))
-    return ends.select(key, "_all", F.explode(F.sequence(F.col("_end") - F.col("_left"), F.col("_end") - 1)).alias("_at"))
+def draw_slots(totals: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+    """One row per slot of the mix: ord, shard, place (in the shard), repeat (pass number), block.
 
-
-def draw_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per (shard, source): ord, blocks, shard, count, first (its first slot number in the source)."""
-    shards = slot_totals(targets, block_words, max_repeats).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / shard_slots))).alias("shard")
+    ``totals``: :func:`slot_totals`.
+    """
+    before = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)  # one row per source
+    numbered = totals.withColumn("_before", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    # Few rows unfold to many: in two steps, dealt over the tasks between them.
+    chunks = numbered.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / CHUNK))).alias("_chunk"))
+    n = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = F.least(F.lit(CHUNK).cast("long"), F.col("total") - F.col("_chunk") * CHUNK)
+    t = F.col("_chunk") * CHUNK + F.col("_i")
+    slots = (
+        chunks.repartition(n, "ord", "_chunk")
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), most - 1)).alias("_i"))
+        .withColumn("_t", t)
+        .withColumn("repeat", F.floor(F.col("_t") / F.col("blocks")).cast("int"))
     )
-    n = F.least(F.lit(shard_slots).cast("long"), F.col("slots") - F.col("shard") * shard_slots)
-    share = F.col("_n") * F.col("total")
-    whole = F.round((share - share % F.col("slots")) / F.col("slots")).cast("long")  # exact for any number of slots
-    even = shards.withColumn("_n", n).withColumn("_even", whole)
-    # As many slots are left of the sources as places in the shards, fewer than sources in each shard.
-    slots_left = numbered(even.groupBy("ord").agg((F.max("total") - F.sum("_even")).alias("_left")), "ord")
-    places_left = numbered(even.groupBy("shard").agg((F.max("_n") - F.sum("_even")).alias("_left")), "shard").drop("_all")
-    dealt = slots_left.select("ord", permuted(F.col("_at"), F.col("_all"), [F.lit(seed), F.lit("deal")]).alias("_at"))
-    more = dealt.join(places_left, "_at").groupBy("ord", "shard").agg(F.count(F.lit(1)).alias("_more"))
-    counts = even.join(more, ["ord", "shard"], "left").withColumn("count", F.col("_even") + F.coalesce("_more", F.lit(0)))
-    earlier = Window.partitionBy("ord").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        "ord", "blocks", "shard", "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).cast("long").alias("first")
+    block = permuted(F.col("_t") % F.col("blocks"), F.col("blocks"), [F.lit(seed), F.col("ord"), F.col("repeat")])
+    dealt = permuted(F.col("_before") + F.col("_t"), F.col("slots"), [F.lit(seed), F.lit("deal")])
+    return slots.select("ord", "repeat", block.alias("block"), dealt.alias("_p")).select(
+        "ord", F.floor(F.col("_p") / shard_slots).alias("shard"), (F.col("_p") % shard_slots).alias("place"), "repeat", "block"
     )
 
 
-def draw_slots(counts: DataFrame, seed: int) -> DataFrame:
-    """One row per slot of the mix: shard, ord, repeat (pass number), block."""
-    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = counts.filter("count > 0").repartition(n, "ord", "shard")  # few rows that unfold to many: keep them apart
-    t = F.col("first") + F.col("_i")
-    slots = (
-        spread.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("_i"))
-        .withColumn("repeat", F.floor(t / F.col("blocks")).cast("int"))
-        .withColumn("_at", t % F.col("blocks"))
-    )
-    block = permuted(F.col("_at"), F.col("blocks"), [F.lit(seed), F.col("ord"), F.col("repeat")])
-    return slots.select("shard", "ord", "repeat", block.alias("block"))
+def draw_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per (shard, source) with slots: ord, shard, count, first (the source's slots in earlier shards)."""
+    slots = draw_slots(slot_totals(targets, block_words, max_repeats), shard_slots, seed)
+    counts = slots.groupBy("ord", "shard").agg(F.count(F.lit(1)).alias("count"))
+    earlier = Window.partitionBy("ord").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
+    return counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0)).cast("long"))
 
 
 def document_blocks(sized: DataFrame, targets: DataFrame, key: str, block_words: int) -> tuple[DataFrame, DataFrame]:
@@ -175,22 +168,23 @@ def mix(
     sized = shared_table(narrow, "mix-sizes")  # one pass over the texts
     targets = shared_table(source_targets(sized, max_repeats).coalesce(1), "mix-targets")
     placed, covers = document_blocks(sized, targets, key, block_words)
-    slots = draw_slots(draw_counts(targets, block_words, shard_slots, seed, max_repeats), seed)
+    slots = draw_slots(slot_totals(targets, block_words, max_repeats), shard_slots, seed)
     return placed, covers, slots
 
 
 def taken_words(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One row per row of ``df``: key, size, source_size, target, taken."""
+    """One row per row of ``df``: key, size, source_size, target, taken, and first_shard, the first
+    output shard that holds words of it (null if none does)."""
     placed, covers, slots = mix(df, key=key, **options)
-    times = slots.groupBy("ord", "block").agg(F.count(F.lit(1)).alias("_times"))
+    times = slots.groupBy("ord", "block").agg(F.count(F.lit(1)).alias("_times"), F.min("shard").alias("_shard"))
     # Unfolded slots look small to the planner; they are not, so no broadcast.
     joined = covers.join(times.hint("merge"), ["ord", "block"], "left")
     columns = [key, "size", "source_size", "target"]
     some = joined.groupBy("ord", "start", *columns).agg(
-        F.sum(F.col("words") * F.coalesce(F.col("_times"), F.lit(0))).alias("taken")
+        F.sum(F.col("words") * F.coalesce(F.col("_times"), F.lit(0))).alias("taken"), F.min("_shard").alias("first_shard")
     )
-    none = placed.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
-    return some.select(*columns, "taken").unionByName(none)
+    none = placed.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_shard"))
+    return some.select(*columns, "taken", "first_shard").unionByName(none)
 
 
 def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
@@ -213,30 +207,34 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
         )
         .drop("ord")
     )
+    # The input's columns travel as one struct, so none can clash with those made here.
     # Repeated (key, source, size) rows: number them on both sides, so that each
     # place in the source meets one row.
-    full = df.withColumn("_size", word_count(F.col(text))).filter("_size > 0")
+    full = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(key).alias("own_key"), F.col(source).alias("own_source"), F.col(text).alias("own_text"), word_count(F.col(text)).alias("own_size"),
+    ).filter("own_size > 0")
     pieces = runs.withColumn("_nth", F.dense_rank().over(Window.partitionBy(key, "source", "size").orderBy("start")))
-    marked = full.withColumn("_nth", F.lit(1))
+    marked = full.withColumn("own_nth", F.lit(1))
     repeated = runs.select(key, "source", "size", "start").distinct().groupBy(key, "source", "size").count().filter("count > 1")
     if not repeated.isEmpty():
-        hashed = full.withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns if c != text], F.col(text)))
-        marked = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy(key, source, "_size").orderBy("_h"))).drop("_h")
-    p = pieces.select(
-        F.col(key).alias("_key"), F.col("source").alias("_src"), F.col("size").alias("_sz"), F.col("_nth").alias("_k"), "_words", "_runs"
-    )
+        hashed = full.withColumn("own_hash", F.xxhash64("row"))
+        marked = hashed.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_key", "own_source", "own_size").orderBy("own_hash")))
+    p = pieces.select(F.col(key).alias("_key"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "_nth", "_words", "_runs")
     joined = marked.join(
         p,
-        marked[key].eqNullSafe(p["_key"]) & marked[source].eqNullSafe(p["_src"]) & (marked["_size"] == p["_sz"]) & (marked["_nth"] == p["_k"]),
-    )
-    tokens = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}({GAP})?"), F.lit(0))
+        marked["own_key"].eqNullSafe(p["_key"]) & marked["own_source"].eqNullSafe(p["_src"])
+        & (marked["own_size"] == p["_sz"]) & (marked["own_nth"] == p["_nth"]),
+    )
+    tokens = F.regexp_extract_all(F.col("own_text"), F.lit(f"{WORD}({GAP})?"), F.lit(0))
     cut = F.transform(
         F.array(tokens),
         lambda t: F.array_join(
             F.flatten(F.transform(F.col("_runs"), lambda r: F.slice(t, (r["from_word"] + 1).cast("int"), r["words"].cast("int")))), ""
         ),
     )[0]
-    out = joined.withColumn(text, F.when(F.col("_words") == F.col("_size"), F.col(text)).otherwise(cut))
+    new = joined.select("row", F.when(F.col("_words") == F.col("own_size"), F.col("own_text")).otherwise(cut).alias("new_text"))
+    made = {text: F.col("new_text")}
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
-    return out.select(*df.columns)
+        made["n_chars"] = F.length("new_text").cast(df.schema["n_chars"].dataType)
+    return new.select(*[made.get(c, F.col("row").getField(c)).alias(c) for c in df.columns])
