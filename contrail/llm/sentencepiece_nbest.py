@@ -17,13 +17,14 @@ segmentation is the one of the highest total score, which need not be the one
 that merging would give.
 
 Distinct cuts are solved once per Python worker while they stay in a bounded
-cache. The vocabulary is read on the driver and broadcast (tens of thousands of
+cache of two generations. The vocabulary is read on the driver and broadcast (tens of thousands of
 pieces).
 
 Defined results: null and empty texts have one segmentation without pieces, of
 score 0; fewer than N segmentations if there are no more; of equal scores the
 one found first in a fixed order; U+2581 in a text decodes as a space; repeated
-rows get equal results; other columns pass through.
+rows get equal results; other columns pass through, and columns of the output's
+names (``pieces``, ``piece_score``, ``alternatives``) are replaced.
 """
 
 from __future__ import annotations
@@ -39,12 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from contrail.llm.common import free_name
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-CACHED_CUTS = 120_000  # the cache is emptied beyond it
+CACHED_CUTS = 160_000  # beyond it, cuts that were not used since the last time are forgotten
 LONGEST_CACHED = 64  # longer cuts are solved one by one and not kept
-BATCH_CHARS = 1 << 20  # texts of about so many characters are answered at once
+BATCH_CHARS = 1 << 21  # texts of about so many characters are answered at once
 UNKNOWN_PENALTY = 10.0
 NOTHING = float("-inf")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +86,18 @@ _ARROW_EDIT = pa.struct([("at", pa.int32()), ("drop", pa.int32()), ("put", pa.li
 _ARROW_ALTERNATIVES = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(_ARROW_EDIT))]))
 
 
+class SolvedCuts:
+    """A table of distinct cuts: texts, scores, gaps to the second best, and where their identifiers are in ``ids``."""
+
+    def __init__(self, names: list[str], solved: list[tuple[bytes, float, float]]):
+        self.names = names
+        self.score = np.array([s for _, s, _ in solved])
+        self.gap = np.array([g for _, _, g in solved])
+        self.count = np.array([len(i) // 4 for i, _, _ in solved], np.int64)
+        self.start = np.cumsum(self.count) - self.count
+        self.ids = np.frombuffer(b"".join([i for i, _, _ in solved]), np.int32)
+
+
 class PieceLattice:
     """Vocabulary, lattice search and decoding; plain Python, sent to the tasks by broadcast."""
 
@@ -116,7 +131,7 @@ class PieceLattice:
 
     def _start(self) -> None:
         self.cuts = re.compile(self.pattern).findall
-        self.cache, self.others = {}, {}
+        self.cache, self.older, self.others = {}, {}, {}
 
     def _tables(self) -> None:
         """Pieces by the hash of their code points: a slot in one table, or, if that is taken, in the spare one."""
@@ -127,6 +142,15 @@ class PieceLattice:
             for c in p:
                 h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
             self.piece_hash[k] = h
+        starts = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
+        self.begun = np.zeros(1 << _SLOTS, bool)  # by the leading bits of a hash: whether a piece begins with such characters
+        hashes = np.zeros(len(starts), np.uint64)
+        for k, p in enumerate(starts):
+            h = 0
+            for c in p:
+                h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+            hashes[k] = h
+        self.begun[self._begins(hashes)] = True
         self.piece_score = np.array([self.found[p][0] for p in pieces])
         self.piece_id = np.array([self.found[p][1] for p in pieces], np.int32)
         for salt in range(0, 200, 2):  # until every piece has a slot
@@ -145,6 +169,10 @@ class PieceLattice:
         x = (h ^ (h >> np.uint64(29))) * self.salt
         return x >> np.uint64(64 - _SLOTS), (x ^ (x >> np.uint64(31))) * _BASE >> np.uint64(64 - _SPARE)
 
+    @staticmethod
+    def _begins(h: np.ndarray) -> np.ndarray:
+        return ((h ^ (h >> np.uint64(31))) * _OTHER) >> np.uint64(64 - _SLOTS)
+
     def _lookup(self, h: np.ndarray) -> np.ndarray:
         """Piece numbers by hash, -1 for none."""
         main, other = self._places(h)
@@ -153,7 +181,7 @@ class PieceLattice:
         return np.where((k >= 0) & (self.piece_hash[k] == h), k, -1)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "cache", "others")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "cache", "older", "others")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -200,10 +228,11 @@ class PieceLattice:
     def solve(self, cut: str) -> tuple[bytes, float, float]:
         """(identifiers of the best path as int32 bytes, its score, gap to the second best)."""
         best, back, second = self.forward(cut)
-        ids, j = [], len(cut)
+        pieces, j = [], len(cut)
         while j > 0:
-            ids[:0] = self.ids_of(cut[back[j] : j])
+            pieces.append(cut[back[j] : j])
             j = back[j]
+        ids = [i for piece in reversed(pieces) for i in self.ids_of(piece)]
         return np.array(ids, np.int32).tobytes(), best[-1], best[-1] - second
 
     def solve_many(self, cuts: list[str]) -> None:
@@ -222,24 +251,25 @@ class PieceLattice:
         back, last = np.zeros((n + 1, m), np.int64), np.full((n + 1, m), -1, np.int64)
         best[0] = 0.0
         for i in range(n):
-            h = np.zeros(m, np.uint64)
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                h = h * _BASE + codes[j - 1]
+            h = codes[i]
+            k = self._lookup(h)
+            c = best[i] + np.where(k >= 0, self.piece_score[k], self.unknown_score)
+            self._relax(best, second, back, last, i, i + 1, slice(None), k, c, second[i] + (c - best[i]))
+            # Longer pieces: only where some piece begins with the characters so far.
+            r = np.flatnonzero(self.begun[self._begins(h)])
+            h = h[r]
+            for j in range(i + 2, min(n, i + self.longest) + 1):
+                h = h * _BASE + codes[j - 1, r]
+                on = np.flatnonzero(self.begun[self._begins(h)])
+                if not len(on):
+                    break
+                r, h = r[on], h[on]
                 k = self._lookup(h)
-                if j == i + 1:
-                    r, w = slice(None), np.where(k >= 0, self.piece_score[k], self.unknown_score)
-                else:
-                    r = np.flatnonzero(k >= 0)
-                    if not len(r):
-                        continue
-                    k = k[r]
+                hit = np.flatnonzero(k >= 0)
+                if len(hit):
+                    q, k = r[hit], k[hit]
                     w = self.piece_score[k]
-                c, c2, old = best[i, r] + w, second[i, r] + w, best[j, r]
-                better = c > old
-                second[j, r] = np.where(better, np.maximum(old, c2), np.maximum(second[j, r], c))
-                best[j, r] = np.where(better, c, old)
-                back[j, r] = np.where(better, i, back[j, r])
-                last[j, r] = np.where(better, k, last[j, r])
+                    self._relax(best, second, back, last, i, j, q, k, best[i, q] + w, second[i, q] + w)
         ids, count, place = np.zeros((m, n), np.int32), np.zeros(m, np.int64), np.full(m, n)
         plain, row = np.ones(m, bool), np.arange(m)
         while len(row):
@@ -256,23 +286,49 @@ class PieceLattice:
         for c, a, b, score, gap, ok in zip(group, starts, ends, scores, gaps, known):
             self.cache[c] = (flat[a:b], score, gap) if ok else self.solve(c)  # characters without a piece: byte pieces
 
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """The cuts of every text; afterwards the cache holds all of them that are short enough."""
-        cuts = [self.cuts(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        distinct = {c for own in cuts for c in own}
-        missing = [c for c in distinct if c not in self.cache]
-        if len(self.cache) + len(missing) > CACHED_CUTS:
-            self.cache.clear()
-            missing = list(distinct)
-        self.solve_many([c for c in missing if len(c) <= LONGEST_CACHED])
-        return cuts
+    @staticmethod
+    def _relax(best, second, back, last, i: int, j: int, r, k, c, c2) -> None:
+        """Offer the scores ``c`` (best) and ``c2`` (second best) of paths that come to ``j`` by pieces ``k`` from ``i``."""
+        old = best[j, r]
+        better = c > old
+        second[j, r] = np.where(better, np.maximum(old, c2), np.maximum(second[j, r], c))
+        best[j, r] = np.where(better, c, old)
+        back[j, r] = np.where(better, i, back[j, r])
+        last[j, r] = np.where(better, k, last[j, r])
+
+    def prepare(self, texts: list[str | None]) -> list[tuple[SolvedCuts, np.ndarray] | None]:
+        """Per text, its cuts as numbers of a table of the solved distinct cuts of all the texts."""
+        cuts = [self.cuts(MARK + t.replace(" ", MARK)) if t else None for t in texts]
+        distinct = set().union(*filter(None, cuts))
+        if len(self.cache) + len(distinct) > CACHED_CUTS:  # what isn't used until the next time is forgotten
+            self.cache, self.older = {}, self.cache
+        known, older = self.cache, self.older
+        missing, long = [], {}
+        for c in distinct:
+            if c not in known:
+                hit = older.get(c)
+                if hit is not None:
+                    known[c] = hit
+                elif len(c) <= LONGEST_CACHED:
+                    missing.append(c)
+                else:
+                    long[c] = self.solve(c)
+        self.solve_many(missing)
+        names = list(distinct)
+        solved = SolvedCuts(names, [known[c] if c in known else long[c] for c in names])
+        number = dict(zip(names, range(len(names))))
+        return [(solved, np.array([number[c] for c in own], np.int64)) if own else None for own in cuts]
 
     def best_paths(self, cut: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best paths, (score, identifiers) in falling order of score: A* from the end backwards."""
+        """The n best paths, (score, identifiers) in falling order of score: A* from the end backwards.
+
+        The n best paths need no more than n expansions of a position. Of equal estimates the
+        one nearest to the start goes first, so paths that tie are finished one after the other."""
         ahead, _, _ = self.forward(cut)
-        agenda, made, out = [(-ahead[-1], 0, len(cut), 0.0, ())], 0, []
+        agenda, made, out = [(-ahead[-1], len(cut), 0, 0.0, ())], 0, []
+        expanded = [0] * (len(cut) + 1)
         while agenda and len(out) < n:
-            _, _, j, behind, path = heapq.heappop(agenda)
+            _, j, _, behind, path = heapq.heappop(agenda)
             if j == 0:
                 pieces = []
                 while path:
@@ -280,16 +336,19 @@ class PieceLattice:
                     pieces += self.ids_of(piece)
                 out.append((behind, pieces))
                 continue
+            if expanded[j] == n:
+                continue
+            expanded[j] += 1
             for i in range(j - 1, max(-1, j - self.longest - 1), -1):
                 w = self.edge(cut, i, j)
                 if w is not None:
                     made += 1
-                    heapq.heappush(agenda, (-(ahead[i] + w + behind), made, i, w + behind, (cut[i:j], path)))
+                    heapq.heappush(agenda, (-(ahead[i] + w + behind), i, made, w + behind, (cut[i:j], path)))
         return out
 
     # -- whole texts -------------------------------------------------------
 
-    def encode(self, text: str | None, n: int, cuts: list[str] | None = None) -> tuple[bytes, float, list[dict]]:
+    def encode(self, text: str | None, n: int, cuts: tuple[SolvedCuts, np.ndarray] | None = None) -> tuple[bytes, float, list[dict]]:
         """(identifiers of the best segmentation as int32 bytes, its score, up to n - 1 alternatives).
 
         An alternative has its score and the edits that make it from the best:
@@ -297,31 +356,27 @@ class PieceLattice:
         """
         if not text:
             return b"", 0.0, []
-        cuts = cuts if cuts is not None else self.prepare([text])[0]
-        get, solve = self.cache.get, self.solve
-        parts = [get(c) or solve(c) for c in cuts]
-        ids = [p[0] for p in parts]
-        pieces = b"".join(ids)
-        score = sum([p[1] for p in parts])
+        solved, at = cuts if cuts is not None else self.prepare([text])[0]
+        counts, gaps = solved.count[at], solved.gap[at]
+        ends = np.cumsum(counts)
+        begins = ends - counts
+        pieces = solved.ids[np.repeat(solved.start[at] - begins, counts) + np.arange(ends[-1])].tobytes()
+        score = float(solved.score[at].sum())
         if n < 2:
             return pieces, score, []
-        gaps = np.array([p[2] for p in parts])
         if len(gaps) >= n:
             within = np.flatnonzero(gaps <= np.partition(gaps, n - 2)[n - 2])
             near = sorted(within[np.argsort(gaps[within], kind="stable")[: n - 1]].tolist())
         else:
             near = range(len(gaps))
         combos = [(0.0, ())]
-        starts, at, before = {}, 0, 0
         for k in near:
-            starts[k] = at = at + sum(map(len, ids[before:k])) // 4
-            before = k
-            others = self.other_paths(cuts[k], n)
+            others = self.other_paths(solved.names[at[k]], n)
             grown = combos + [(d + loss, (*c, (k, put))) for d, c in combos for loss, put in others]
             combos = heapq.nsmallest(n, grown, key=lambda x: x[0])
         alternatives = []
         for loss, changes in combos[1:]:
-            edits = [{"at": starts[k], "drop": len(ids[k]) // 4, "put": put} for k, put in changes]
+            edits = [{"at": int(begins[k]), "drop": int(counts[k]), "put": put} for k, put in changes]
             alternatives.append({"score": score - loss, "edits": edits})
         return pieces, score, alternatives
 
@@ -368,24 +423,25 @@ def encode(df: DataFrame, lattice: PieceLattice, text: str = "text", n: int = N_
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         for batch in batches:
-            flat, sizes, scores, others = [], [0], [], []
             for texts in slices(batch):
+                flat, sizes, scores, others = [], [0], [], []
                 for t, cuts in zip(texts, own.prepare(texts)):
                     pieces, score, alternatives = own.encode(t, n, cuts)
                     flat.append(pieces)
                     sizes.append(len(pieces) // 4)
                     scores.append(score)
                     others.append(alternatives)
-            values = pa.array(np.frombuffer(b"".join(flat), np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), values)
-            yield pa.StructArray.from_arrays(
-                [lists, pa.array(scores, pa.float64()), pa.array(others, _ARROW_ALTERNATIVES)], ["pieces", "score", "alternatives"]
-            )
+                values = pa.array(np.frombuffer(b"".join(flat), np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), values)
+                yield pa.StructArray.from_arrays(
+                    [lists, pa.array(scores, pa.float64()), pa.array(others, _ARROW_ALTERNATIVES)], ["pieces", "score", "alternatives"]
+                )
 
-    made = df.withColumn("_encoded", encoded(F.col(text)))
+    name = free_name(df, "_encoded")
+    made = df.withColumn(name, encoded(F.col(text)))
     return made.withColumns(
-        {"pieces": F.col("_encoded.pieces"), "piece_score": F.col("_encoded.score"), "alternatives": F.col("_encoded.alternatives")}
-    ).drop("_encoded")
+        {"pieces": F.col(f"{name}.pieces"), "piece_score": F.col(f"{name}.score"), "alternatives": F.col(f"{name}.alternatives")}
+    ).drop(name)
 
 
 def decode(df: DataFrame, lattice: PieceLattice, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
