@@ -329,11 +329,12 @@ def first_of_each_class(df: DataFrame, key: str = "doc_id", text: str = "text",
     # Rows equal in key and text can't be told apart: all go or all but one stay.
     listed = rows.groupBy("id", "text_md5").agg(F.max("_keep").alias("_keep"), F.count(F.lit(1)).alias("_same"))
     listed = shared_table(listed.filter("not _keep or _same > 1").select(F.col("id").alias("_id"), F.col("text_md5").alias("_md5"), "_keep"), "jaccard-listed")
-    marked = df.withColumn("_h", F.md5(F.col(text)))
+    # The input's columns travel as one struct, so none can clash with those made here.
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(key).alias("own_id"), F.md5(F.col(text)).alias("own_md5"))
     side = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
-    met = marked.join(side, marked[key].eqNullSafe(side["_id"]) & (marked["_h"] == side["_md5"]), "left")
+    met = marked.join(side, marked["own_id"].eqNullSafe(side["_id"]) & (marked["own_md5"] == side["_md5"]), "left")
     found = met.filter(F.coalesce("_keep", F.lit(True)))
     if listed.filter("_keep").isEmpty():
-        return found.select(*df.columns)
-    repeated = found.filter(F.col("_keep").isNotNull()).dropDuplicates([key, "_h"])
-    return found.filter(F.col("_keep").isNull()).unionByName(repeated).select(*df.columns)
+        return found.select("row.*")
+    repeated = found.filter(F.col("_keep").isNotNull()).dropDuplicates(["own_id", "own_md5"])
+    return found.filter(F.col("_keep").isNull()).unionByName(repeated).select("row.*")

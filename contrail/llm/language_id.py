@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from contrail.llm.chargrams import gram_hashes
-from contrail.llm.common import sample_by_hash
+from contrail.llm.common import free_name, sample_by_hash
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -128,5 +128,6 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: str =
             yield pd.DataFrame({"lang": langs, "score": scores})
 
     lettered = F.when(F.col(text).rlike(r"\p{L}"), F.col(text))
-    predicted = df.withColumn("_predicted", predict(lettered))
-    return predicted.withColumns({out: F.col("_predicted.lang"), score: F.col("_predicted.score")}).drop("_predicted")
+    made = free_name(df, "_predicted")
+    predicted = df.withColumn(made, predict(lettered))
+    return predicted.withColumns({out: F.col(f"{made}.lang"), score: F.col(f"{made}.score")}).drop(made)

@@ -24,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import let
+from contrail.llm.common import free_name, let
 
 # Licence sentences by identifier, in their published wording.
 SENTENCES = {
@@ -207,7 +207,8 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
 
     hit = F.coalesce(F.col(text).rlike(f"(?i){KEYWORDS}"), F.lit(False))
     nothing = F.struct(none.alias("sentences"), none.alias("licences"))
-    scanned = df.withColumn("_found", F.when(hit, found(F.col(text))).otherwise(nothing))
+    made = free_name(df, "_found")
+    scanned = df.withColumn(made, F.when(hit, found(F.col(text))).otherwise(nothing))
     return scanned.withColumns(
-        {"license_sentences": F.col("_found.sentences"), "licenses": F.array_sort(F.col("_found.licences"))}
-    ).drop("_found")
+        {"license_sentences": F.col(f"{made}.sentences"), "licenses": F.array_sort(F.col(f"{made}.licences"))}
+    ).drop(made)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import let, word_array
+from contrail.llm.common import free_name, let, word_array
 
 SYMBOLS = "#*$%&|<>"
 GAPS = " \t\n\x0b\f\r"
@@ -102,18 +102,19 @@ def counts(df: DataFrame, text: str = "text") -> DataFrame:
     )
     of_lines = let(lines, lambda ls: F.struct(F.size(ls).alias("n"), (F.size(ls) - F.size(F.array_distinct(ls))).alias("dup")))
     length = F.length(t)
-    read = df.withColumns({"_words": of_words, "_lines": of_lines})
+    w, ls = free_name(df, "_words"), free_name(df, "_lines")
+    read = df.withColumns({w: of_words, ls: of_lines})
     made = {
-        "n_words": F.col("_words.n"),
+        "n_words": F.col(f"{w}.n"),
         "word_chars": F.length(without(t, GAPS)),
         "n_symbols": length - F.length(without(t, SYMBOLS)),
-        "n_dup_lines": F.col("_lines.dup"),
-        "n_repeat_words": F.col("_words.repeated"),
-        "n_lines": F.col("_lines.n"),
+        "n_dup_lines": F.col(f"{ls}.dup"),
+        "n_repeat_words": F.col(f"{w}.repeated"),
+        "n_lines": F.col(f"{ls}.n"),
         "n_marks": length - F.length(without(t, "!")),
-        "n_stop_words": F.col("_words.stop"),
+        "n_stop_words": F.col(f"{w}.stop"),
     }
-    return read.withColumns({k: c.cast("long") for k, c in made.items()}).drop("_words", "_lines")
+    return read.withColumns({k: c.cast("long") for k, c in made.items()}).drop(w, ls)
 
 
 def verdict(rules=RULES) -> Column:

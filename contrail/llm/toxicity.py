@@ -15,7 +15,8 @@ Defined results: a null text scores as an empty one (the intercept's score), and
 both count as documents without n-grams in training; with
 one class only to learn from every score is the smoothed share of toxic labels,
 with nothing to learn from it is next to 0; ids labelled twice count as toxic if any label says so;
-repeated rows get equal results; other columns pass through.
+repeated rows get equal results; other columns pass through, and a column of the
+score's name is replaced.
 """
 
 from __future__ import annotations
@@ -119,8 +120,8 @@ def train(
     """The model learned from about ``max_train`` of the ``labels`` rows and their texts."""
     usable = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     picked = sample_by_hash(usable, F.col(key), max_train).groupBy(F.col(key).alias("_id")).agg(F.max(label).alias("toxic"))
-    joined = docs.join(F.broadcast(picked), F.col(key) == F.col("_id"))
-    narrow = joined.select("_id", F.coalesce(text, F.lit("")).alias("text"), F.col("toxic").cast("int"))
+    texts = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    narrow = texts.join(F.broadcast(picked), F.col("_key") == F.col("_id")).select("_id", "text", F.col("toxic").cast("int"))
     sample = shared_table(narrow.distinct().drop("_id"), "toxicity-sample")  # about max_train rows
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)

@@ -10,7 +10,21 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm import hard_negatives, pii_bootstrap, queries, whitening
+from contrail.llm import (
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    license_scan,
+    pii_bootstrap,
+    quality_rules,
+    queries,
+    rendezvous,
+    sentencepiece_nbest,
+    source_mix,
+    toxicity,
+    whitening,
+)
+from contrail.llm.common import running_offset
 
 SF, SF_MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -198,6 +212,158 @@ def test_triangular_solve_and_shifted_factor():
     assert np.allclose(f.T @ f, flat, atol=1e-3 * 5) and np.allclose(f, np.triu(f))
 
 
+# -- segmentation of runs of equal characters ---------------------------------------
+
+
+def n_best_by_table(lattice, cut, n):
+    """Scores of the n best paths by the plain dynamic programme (n best at every position)."""
+    best = [[] for _ in range(len(cut) + 1)]
+    best[0] = [0.0]
+    for j in range(1, len(cut) + 1):
+        found = []
+        for i in range(max(0, j - lattice.longest), j):
+            w = lattice.edge(cut, i, j)
+            if w is not None:
+                found += [s + w for s in best[i]]
+        best[j] = sorted(found, reverse=True)[:n]
+    return best[-1]
+
+
+@pytest.fixture(scope="module")
+def lattice():
+    return sentencepiece_nbest.load()
+
+
+def test_runs_of_equal_characters_end_soon_and_are_the_n_best(lattice):
+    for c in (sentencepiece_nbest.MARK, "-", "#", "=", "a", "é"):
+        for length in (255, 511, 4_000):
+            began = time.time()
+            paths = lattice.best_paths(c * length, 4)
+            assert time.time() - began < 8, (c, length)
+            assert [s for s, _ in paths] == pytest.approx(n_best_by_table(lattice, c * length, 4))
+            assert len({tuple(p) for _, p in paths}) == len(paths)
+    for text in ("a" + 400 * " " + "b", "#" * 1000, "| " + "-" * 300 + " |", "x" * 200_000):
+        began = time.time()
+        pieces, _, others = lattice.encode(text, 4)
+        assert time.time() - began < 20 and lattice.decode(np.frombuffer(pieces, np.int32).tolist()) == text and others
+
+
+def test_batched_search_equals_the_search_of_one_cut(lattice):
+    r = np.random.default_rng(4)
+    cuts = ["".join(r.choice(list("abcdeéthing_-#1▁"), r.integers(1, 40))) for _ in range(400)] + ["▁the", "▁😀x"]
+    lattice.solve_many(cuts)
+    for c in cuts:
+        one, many = lattice.solve(c), lattice.cache[c]
+        assert many[1:] == pytest.approx(one[1:]) and len(n_best_by_table(lattice, c, 2)) >= 1
+        assert many[1] == pytest.approx(n_best_by_table(lattice, c, 1)[0])
+
+
+# -- drawn counts and repeated rows --------------------------------------------------
+
+
+def mix_by_hand(spark, sized, block, shard_slots, seed):
+    """Words taken of each (source, key) and the slots of each (shard, ord), slot by slot in Python."""
+    targets = rows(source_mix.source_targets(sized))
+    totals = {r["ord"]: r for r in rows(source_mix.slot_totals(source_mix.source_targets(sized), block))}
+    slots = rows(source_mix.draw_slots(source_mix.slot_totals(source_mix.source_targets(sized), block), shard_slots, seed))
+    n = sum(r["total"] for r in totals.values())
+    assert sorted(s["shard"] * shard_slots + s["place"] for s in slots) == list(range(n))  # every place is taken once
+    for o, r in totals.items():  # passes are whole, each block once, before the next begins
+        own = sorted((s["repeat"], s["block"]) for s in slots if s["ord"] == o)
+        full, rest = divmod(r["total"], r["blocks"])
+        assert len(own) == len(set(own)) == r["total"]
+        assert [sum(k == p for k, _ in own) for p in range(full)] == [r["blocks"]] * full and sum(k == full for k, _ in own) == rest
+    return targets, totals, slots
+
+
+def test_counts_per_shard_are_drawn(spark):
+    sized = spark.createDataFrame([("a", 1, 128 * 300), ("b", 2, 128 * 500), ("c", 3, 128 * 700)], "source string, doc_id long, size long")
+    tables = []
+    for seed in range(30):
+        found = rows(source_mix.draw_counts(source_mix.source_targets(sized), 128, 250, seed))
+        tables.append({(r["shard"], r["ord"]): r["count"] for r in found})
+    _, totals, _ = mix_by_hand(spark, sized, 128, 250, 0)
+    n = sum(r["total"] for r in totals.values())
+    chi = []
+    for t in tables:
+        for o, r in totals.items():
+            assert sum(c for (_, k), c in t.items() if k == o) == r["total"]  # totals are exact
+        shards = {s for s, _ in t}
+        assert all(sum(c for (k, _), c in t.items() if k == s) == 250 for s in shards if s < n // 250)
+        expected = {(s, o): 250 * totals[o]["total"] / n for s in range(n // 250) for o in totals}
+        chi.append(sum((t.get(k, 0) - e) ** 2 / e for k, e in expected.items()))
+    degrees = (n // 250) * (len(totals) - 1) * (1 - 250 / n)  # without replacement: a little less than the multinomial
+    assert 0.7 * degrees < np.mean(chi) < 1.3 * degrees, (np.mean(chi), degrees)
+    assert len({tuple(sorted(t.items())) for t in tables}) == 30
+
+
+def test_taken_words_equal_a_mix_by_hand(spark):
+    text = lambda n: " ".join("w" * (1 + i % 3) for i in range(n))
+    docs = [(i, text((i * 37) % 90), ("s", "t", None)[i % 3]) for i in range(60)] + [(60, None, "s"), (61, "", "t")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in rows(source_mix.taken_words(df, block_words=16, shard_slots=20, seed=3))}
+    sized = spark.createDataFrame([(s, i, len((t or "").split())) for i, t, s in docs], "source string, doc_id long, size long")
+    targets, _, slots = mix_by_hand(spark, sized, 16, 20, 3)
+    ords = {r["source"]: r["ord"] for r in targets}
+    keyed = sized.join(source_mix.source_targets(sized).select(F.col("source").alias("s"), "ord"), F.col("source").eqNullSafe(F.col("s")))
+    start = {r["doc_id"]: r["at"] for r in rows(running_offset(keyed.select("ord", "doc_id", "size"), ["ord"], ["doc_id"], "size", "at"))}
+    for i, t, s in docs:
+        size = len((t or "").split())
+        taken, shards = 0, []
+        for x in slots:
+            if x["ord"] == ords[s]:
+                words = max(0, min(start[i] + size, 16 * (x["block"] + 1)) - max(start[i], 16 * x["block"]))
+                taken += words
+                shards += [x["shard"]] if words else []
+        assert (got[i]["taken"], got[i]["first_shard"]) == (taken, min(shards, default=None))
+
+
+def test_many_equal_rows_unfold_in_parts(spark, monkeypatch):
+    from contrail.llm import common
+
+    monkeypatch.setattr(common, "COPIES", 10)
+    df = spark.createDataFrame([("g", 1, 2)] * 57 + [("g", 2, 3), ("h", 1, 1)], "g string, k int, w int")
+    out = rows(running_offset(df, ["g"], ["k"], "w"))
+    own = sorted(r["offset"] for r in out if r["g"] == "g" and r["k"] == 1)
+    first = own[0]
+    assert len(out) == 59 and own == [first + 2 * i for i in range(57)] and first in (0, 3)
+    assert [r["offset"] for r in out if r["k"] == 2] == [0 if first else 114] and [r["offset"] for r in out if r["g"] == "h"] == [0]
+
+
+# -- columns of the input named as helpers or outputs ----------------------------------
+
+CLASHES = (
+    "_words _size _nth _key _runs _src _sz _k _h _id _md5 _keep _same _found _predicted _encoded _lines _doc toxic row own_id own_key id key "
+    "size ord start taken target node links class_id n digest spans score lang_pred pieces piece_score alternatives n_words kept base_failed "
+    "licenses license_sentences new_text own_text block shard slot"
+).split()
+
+
+def test_no_stage_or_operator_crashes_on_clashing_columns(spark, odd):
+    plain = odd.filter("doc_id is not null")
+    crowded = plain.select("*", *[F.concat(F.lit(c), F.col("source")).alias(c) for c in CLASHES])
+    for same, outputs in (
+        (lambda df: jaccard_join.first_of_each_class(df), ()),
+        (lambda df: source_mix.mixed_documents(df), ()),
+        (lambda df: language_id.identify(df, language_id.train(df)), ("lang_pred", "score")),
+        (lambda df: toxicity.score(df, toxicity.train(df, labels)), ("score",)),
+        (lambda df: quality_rules.judge(df), ("n_words", "kept", "base_failed")),
+        (lambda df: license_scan.scan(df), ("licenses", "license_sentences")),
+        (lambda df: sentencepiece_nbest.encode(df, sentencepiece_nbest.load()), ("pieces", "piece_score", "alternatives")),
+    ):
+        labels = spark.createDataFrame([(1, 1), (6, 0), (9, 1), (8, 0)], "doc_id long, toxic int")
+        a, b = same(plain), same(crowded)
+        assert set(b.columns) == set(a.columns) | set(CLASHES)
+        key = lambda r: str(sorted(r.items(), key=str))
+        names = list(a.columns)
+        assert sorted((r for r in rows(a.select(*names))), key=key) == sorted((r for r in rows(b.select(*names))), key=key)
+        kept = [c for c in CLASHES if c not in outputs]
+        assert all(r[c] == (None if r["source"] is None else c + r["source"]) for r in rows(b) for c in kept)
+    for f in (jaccard_join.classes, source_mix.taken_words, rendezvous.shard_slots):
+        assert f(crowded).count() == f(plain).count()
+    assert pii_bootstrap.find_spans(crowded, columns=("doc_id", "_id", "row", "kind") if "kind" in crowded.columns else ("doc_id", "_id", "row")).count() == plain.count()
+
+
 # -- personal data -------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
