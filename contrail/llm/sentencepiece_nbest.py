@@ -45,7 +45,7 @@ from contrail.llm.common import free_name
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-CACHED_CUTS = 160_000  # beyond it, cuts that were not used since the last time are forgotten
+CACHED_CUTS = 130_000  # beyond it, cuts that were not used since the last time are forgotten
 LONGEST_CACHED = 64  # longer cuts are solved one by one and not kept
 BATCH_CHARS = 1 << 21  # texts of about so many characters are answered at once
 UNKNOWN_PENALTY = 10.0
@@ -241,8 +241,8 @@ class PieceLattice:
         for c in cuts:
             by_length.setdefault(len(c), []).append(c)
         for n, group in by_length.items():
-            for at in range(0, len(group), 1 << 15):
-                self._solve_length(group[at : at + (1 << 15)], n)
+            for at in range(0, len(group), 1 << 14):
+                self._solve_length(group[at : at + (1 << 14)], n)
 
     def _solve_length(self, group: list[str], n: int) -> None:
         m = len(group)
@@ -298,8 +298,12 @@ class PieceLattice:
 
     def prepare(self, texts: list[str | None]) -> list[tuple[SolvedCuts, np.ndarray] | None]:
         """Per text, its cuts as numbers of a table of the solved distinct cuts of all the texts."""
-        cuts = [self.cuts(MARK + t.replace(" ", MARK)) if t else None for t in texts]
-        distinct = set().union(*filter(None, cuts))
+        number: dict[str, int] = {}
+        seen = []
+        for t in texts:
+            own = self.cuts(MARK + t.replace(" ", MARK)) if t else ()
+            seen.append(np.array([number.setdefault(c, len(number)) for c in own], np.int64))
+        distinct = list(number)
         if len(self.cache) + len(distinct) > CACHED_CUTS:  # what isn't used until the next time is forgotten
             self.cache, self.older = {}, self.cache
         known, older = self.cache, self.older
@@ -314,10 +318,8 @@ class PieceLattice:
                 else:
                     long[c] = self.solve(c)
         self.solve_many(missing)
-        names = list(distinct)
-        solved = SolvedCuts(names, [known[c] if c in known else long[c] for c in names])
-        number = dict(zip(names, range(len(names))))
-        return [(solved, np.array([number[c] for c in own], np.int64)) if own else None for own in cuts]
+        solved = SolvedCuts(distinct, [known[c] if c in known else long[c] for c in distinct])
+        return [(solved, at) if len(at) else None for at in seen]
 
     def best_paths(self, cut: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best paths, (score, identifiers) in falling order of score: A* from the end backwards.
