@@ -3,8 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``documents``. A stage's result is written as Parquet and
 reread as the next one's ``docs``. No SQL form exists (classifiers are trained,
-pieces are searched); ``tests/llm/test_pipeline.py`` checks every stage against a
-brute-force version.
+pieces are searched); ``test_pipeline`` in ``tests/llm/test_python.py`` runs it and holds the
+join stage to a result made by hand, and each operator has tests of its own.
+
+Defined results: a null text scores as an empty one for toxicity and goes in the language
+stage (undetermined), as texts without letters do; repeated rows are near copies of each other, of
+which one stays; of equal keys and texts any row, as they can't be told apart; an empty table gives no rows; columns
+besides those of ``documents`` pass all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
