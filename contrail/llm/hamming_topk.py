@@ -1,7 +1,8 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector becomes a 64-bit code (bit i: element i is positive). Codes are cut into
-m segments, m just over 64 / log2(rows), and every (segment, value) lists its codes. A
+A vector becomes a binary code (bit i: element i is positive) in as many 64-bit words as
+the longest vector needs. Codes are cut into m segments of consecutive bits, m just over
+bits / log2(rows), and every (segment, value) lists its codes. A
 code within Hamming distance m*s + j of a query has a segment among 0..j within s
 of the query's, or a later one within s - 1. So the search probes all segment
 values at radius 0, 1, 2, ... from the query's, verifies the full distance of what
@@ -9,15 +10,16 @@ it meets, and a query is done once its k-th verified distance is covered.
 
 Each round is a join of probes and index on (segment, value). An upper bound of
 the k-th distance (first from a bounded sample of the rows, then from what is
-verified) is part of the join condition, so rows out of reach never leave the join.
+verified) is part of the join condition, so rows out of reach never leave the join;
+rows that a later bound rules out are dropped before the next round.
 
 Rows of equal code are one code with its k smallest ids (more can't be among a
 query's k nearest), queries of equal code are one query, so copies of one vector
 may be any share of the rows.
 
 Defined results: null or empty vectors, and those with a null id, are neither
-indexed nor queries; null elements count as not positive; a vector of more than
-64 elements is an error; ties go to the smaller id; a query finds itself; with
+indexed nor queries; null elements, and those past the end of a shorter vector, count
+as not positive; ties go to the smaller id; a query finds itself; with
 fewer than k rows all are returned; an empty table gives no rows.
 """
 
@@ -35,51 +37,70 @@ from pyspark.sql.functions import pandas_udf
 
 from contrail.llm.common import sample_by_hash, shared_table
 
-BITS = 64
+WORD_BITS = 64
 K = 10
 SAMPLE = 4_096
 FIRST_RADIUS = 2  # the first round probes all radii up to this one
 
 
-def sign_code(vector: Column) -> Column:
-    """The code of a vector (long); an error for one of more than ``BITS`` elements, which has no such code."""
-    bit = F.transform(
-        vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
-    )
-    code = F.aggregate(bit, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
-    too_long = F.concat(F.lit(f"vector of more than {BITS} elements: "), F.size(vector).cast("string"))
-    return F.when(F.size(vector) > BITS, F.raise_error(too_long).cast("long")).otherwise(code)
+def words_for(elements: int) -> int:
+    """Number of words in the code of a vector of so many elements."""
+    return max(1, math.ceil(elements / WORD_BITS))
+
+
+def sign_code(vector: Column, words: int = 1) -> Column:
+    """The code of a vector: a struct of ``words`` longs ``w0``, ``w1``, ..., bit i of word j for element 64j + i."""
+
+    def word(j: int) -> Column:
+        own = F.slice(vector, j * WORD_BITS + 1, WORD_BITS)
+        zero = F.lit(0).cast("long")
+        bit = F.transform(own, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(zero))
+        return F.aggregate(bit, zero, lambda a, b: a.bitwiseOR(b)).alias(f"w{j}")
 
+    return F.struct(*[word(j) for j in range(words)])
 
-def hamming(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
 
+def hamming(a: Column, b: Column, words: int) -> Column:
+    total = F.bit_count(a["w0"].bitwiseXOR(b["w0"]))
+    for j in range(1, words):
+        total = total + F.bit_count(a[f"w{j}"].bitwiseXOR(b[f"w{j}"]))
+    return total
 
-def segments(rows: int) -> list[tuple[int, int]]:
+
+def segments(rows: int, bits: int) -> list[tuple[int, int]]:
     """(first bit, width) of every segment for an index of so many rows."""
-    m = min(8, max(3, math.ceil(BITS / math.log2(max(rows, 2)))))
-    cuts = [round(j * BITS / m) for j in range(m + 1)]
+    m = min(bits // 8, max(3, math.ceil(bits / math.log2(max(rows, 2)))))
+    cuts = [round(j * bits / m) for j in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def segment_value(code: Column, first: int, width: int) -> Column:
+    """Bits ``first`` to ``first + width - 1`` of a code as a number; a segment may reach into the next word."""
+    j, at = divmod(first, WORD_BITS)
+    value = F.shiftrightunsigned(code[f"w{j}"], at)
+    if at + width > WORD_BITS:
+        value = value.bitwiseOR(F.shiftleft(code[f"w{j + 1}"], WORD_BITS - at))
+    return value.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+
 def masks(width: int, radius: int) -> list[int]:
     """All numbers of ``width`` bits with ``radius`` bits set."""
     return [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
 
 
 def first_bounds(queries: DataFrame, sample: np.ndarray, k: int) -> DataFrame:
-    """``queries`` with ``bound``: an upper bound of the k-th smallest distance, from the sampled codes."""
-    codes = np.sort(sample)
+    """``queries`` with ``bound``: an upper bound of the k-th smallest distance, from the sampled codes (rows of words)."""
+    words = sample.shape[1]
 
     @pandas_udf("int")
-    def bound(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
-            for q in batch:
-                if len(codes) < k:
-                    out.append(BITS)
+            for q in batch.to_numpy(dtype=np.int64):
+                if len(sample) < k:
+                    out.append(words * WORD_BITS)
                     continue
-                distance = np.bitwise_count((codes ^ np.int64(q)).view(np.uint64))
+                distance = np.bitwise_count((sample ^ q).view(np.uint64)).sum(axis=1, dtype=np.int64)
                 out.append(int(np.partition(distance, k - 1)[k - 1]))
             yield pd.Series(out, dtype="int32")
 
@@ -88,10 +109,12 @@ def first_bounds(queries: DataFrame, sample: np.ndarray, k: int) -> DataFrame:
 
 def nearest_codes(distinct: DataFrame, queries: DataFrame, rows: int, sample: np.ndarray, k: int) -> DataFrame:
     """(q, code, dist): for every query code, all codes up to its k-th distance."""
-    parts = segments(rows)
+    words = sample.shape[1]
+    parts = segments(rows, words * WORD_BITS)
     m = len(parts)
-    value = lambda c, a, w: F.shiftrightunsigned(c, a).bitwiseAND(F.lit((1 << w) - 1).cast("long"))
-    split = lambda c: F.array(*[F.struct(F.lit(j).alias("seg"), value(c, a, w).alias("val")) for j, (a, w) in enumerate(parts)])
+    split = lambda c: F.array(
+        *[F.struct(F.lit(j).alias("seg"), segment_value(c, a, w).alias("val")) for j, (a, w) in enumerate(parts)]
+    )
     index = shared_table(distinct.select("code", F.explode(split(F.col("code"))).alias("p")).select("p.seg", "p.val", "code"), "mih-index")
     open_queries = shared_table(first_bounds(queries, sample, k), "mih-queries")
     state, found, radius = open_queries, None, -1
@@ -113,10 +136,12 @@ def nearest_codes(distinct: DataFrame, queries: DataFrame, rows: int, sample: np
         i = index.select(F.col("seg").alias("_seg"), F.col("val").alias("_val"), "code")
         # Unfolded probes look small to the planner; they are not, so no broadcast.
         met = probes.hint("merge").join(
-            i, (probes["seg"] == i["_seg"]) & (probes["val"] == i["_val"]) & (hamming(probes["q"], i["code"]) <= probes["bound"])
+            i, (probes["seg"] == i["_seg"]) & (probes["val"] == i["_val"]) & (hamming(probes["q"], i["code"], words) <= probes["bound"])
         )
-        new = met.select("q", "code", hamming(F.col("q"), F.col("code")).alias("dist"))
-        found = shared_table((new if found is None else found.unionByName(new)).distinct(), "mih-found")
+        new = met.select("q", "code", hamming(F.col("q"), F.col("code"), words).alias("dist"))
+        if found is not None:  # what the bounds still allow
+            new = new.unionByName(found.join(open_queries, "q").filter("dist <= bound").select("q", "code", "dist"))
+        found = shared_table(new.distinct(), "mih-found")
         # The k-th verified distance, counting rows.
         ranked = found.join(distinct, "code").withColumn(
             "_upto", F.sum("copies").over(Window.partitionBy("q").orderBy("dist").rangeBetween(Window.unboundedPreceding, 0))
@@ -133,11 +158,12 @@ def nearest_codes(distinct: DataFrame, queries: DataFrame, rows: int, sample: np
 def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k nearest rows of every query row."""
     usable = df.filter(F.col(key).isNotNull() & (F.size(vector) > 0))
+    words = words_for(usable.agg(F.max(F.size(vector))).first()[0] or 0)
     codes = shared_table(
-        usable.select(F.col(key).alias("id"), sign_code(F.col(vector)).alias("code"), is_query.alias("asks")), "mih-codes"
+        usable.select(F.col(key).alias("id"), sign_code(F.col(vector), words).alias("code"), is_query.alias("asks")), "mih-codes"
     )
     rows = codes.count()
-    picked = sample_by_hash(codes, F.struct("id", "code"), sample).select("code").toPandas()["code"].to_numpy(dtype=np.int64)
+    picked = sample_by_hash(codes, F.struct("id", "code"), sample).select("code.*").toPandas().to_numpy(dtype=np.int64)
     nth = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     members = codes.select("code", "id").withColumn("_nth", nth).filter(F.col("_nth") <= k).drop("_nth")
     distinct = shared_table(codes.groupBy("code").agg(F.count(F.lit(1)).alias("copies")), "mih-distinct")
