@@ -60,7 +60,7 @@ m AS (
   FROM d LEFT JOIN s ON s.doc_id = d.doc_id),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND word_chars / n_words BETWEEN 1.5 AND 15.0 AND n_symbols / n_words <= 0.1 AND n_marks / n_words <= 0.3
-  AND (n_stop_words + 1) / n_words >= 0.02 AND (n_dup_lines - 1) / n_lines <= 0.3 AS kept
+  AND (n_words < 20 OR n_stop_words >= 1) AND (n_stop_words + 1) / n_words >= 0.02 AND (n_dup_lines - 1) / n_lines <= 0.3 AS kept
 FROM b
 """,
     "op10_hamming_topk": """

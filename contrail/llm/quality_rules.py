@@ -31,11 +31,13 @@ STOP_WORDS = {
 }
 
 # (name, amount above, amount below, lowest, highest); None: no bound. One stop
-# word is granted, one repeated line forgiven: ratios of short texts are coarse.
+# word is granted, one repeated line forgiven: ratios of short texts are coarse. From
+# 20 words on, a text without any stop word is out, whatever the ratio grants.
 RULES = (
     ("mean word length", "word_chars", "n_words", 1.5, 15.0),
     ("symbols per word", "n_symbols", "n_words", None, 0.1),
     ("exclamation marks per word", "n_marks", "n_words", None, 0.3),
+    ("any stop word, from 20 words on", "n_stop_words + int(n_words < 20)", "1", 1, None),
     ("stop words", "n_stop_words + 1", "n_words", 0.02, None),
     ("repeated lines", "n_dup_lines - 1", "n_lines", None, 0.3),
 )

@@ -186,6 +186,14 @@ def test_quality_rules_keep_good_and_drop_junk(spark):
     assert judged.filter("quality = 0 and kept").count() == 0
 
 
+def test_a_text_without_stop_words_is_out_from_20_words_on(spark):
+    texts = {n: " ".join(f"Wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)) for n in (9, 10, 19, 20, 50, 51, 120)}
+    cases = [(n, t) for n, t in texts.items()] + [(1000 + n, t + " the") for n, t in texts.items()] + [(2000, texts[120] + " the of")]
+    df = spark.createDataFrame(cases, "doc_id long, text string")
+    kept = {r["doc_id"] for r in rows(quality_rules.judge(df)) if r["kept"]}
+    assert kept == {10, 19, 1009, 1010, 1019, 1020, 1050, 1051, 2000}
+
+
 MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
     "(the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, "
