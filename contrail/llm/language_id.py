@@ -2,12 +2,14 @@
 
 Training counts n-grams per language in the tasks and sums them by (language,
 bucket); the log-probability matrix (buckets x languages) is broadcast. Scoring
-looks the n-grams of a text up as a sparse row and adds up matrix rows.
+counts the n-grams of a batch of texts as sparse rows (text, bucket, count) and multiplies them
+with the matrix, ``CELLS`` numbers at a time, however long a text is.
 
 Bounds: training reads about ``max_train`` labelled documents, picked by a hash
 of the id among all that may be learned from (documented sample; everything
 else is over all rows). The matrix has 2**bits rows and one column per learned
-language; more than ``max_languages`` languages are refused.
+language; more than ``max_languages`` languages are refused. A scoring task holds the
+matrix, one piece of a text (``chargrams.PIECE``), and ``CELLS`` products of 8 bytes.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 with nothing to learn from every text is ``und``; repeated rows get equal
@@ -34,6 +36,7 @@ BITS = 16
 MAX_TRAIN = 20_000
 SMOOTHING = 0.1
 UNDETERMINED = "und"
+CELLS = 1 << 21  # products of counts and matrix held at once
 
 
 @dataclass
@@ -44,11 +47,39 @@ class LanguageModel:
     orders: tuple[int, ...]
     bits: int
 
-    def scores(self, text: str) -> np.ndarray:
-        """Log posterior of every language, up to a constant."""
-        total = self.log_prior.copy()
-        for hashes in gram_hashes(text, self.orders):
-            total += self.log_prob[hashes >> np.uint32(32 - self.bits)].sum(axis=0, dtype=np.float64)
+    def sparse_rows(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(text's number, buckets, counts): the n-grams of every piece of every text, each bucket once a piece and order."""
+        kind = np.uint16 if self.bits <= 16 else np.uint32  # numpy sorts 16 bits by radix
+        for at, text in enumerate(texts):
+            for hashes in gram_hashes(text, self.orders):
+                buckets = np.sort((hashes >> np.uint32(32 - self.bits)).astype(kind), kind="stable")
+                first = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))[: len(buckets)]
+                yield at, buckets[first], np.diff(np.append(first, len(buckets)))
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Log posterior of every language, up to a constant, one row a text."""
+        total = np.repeat(self.log_prior[None, :], len(texts), axis=0)
+        most = max(1, CELLS // max(1, len(self.languages)))
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+        def add() -> None:
+            rows = [at for at, _, _ in held]
+            starts = np.cumsum([0] + [len(n) for _, _, n in held[:-1]])
+            products = self.log_prob[np.concatenate([b for _, b, _ in held])] * np.concatenate([n for _, _, n in held])[:, None]
+            np.add.at(total, rows, np.add.reduceat(products, starts, axis=0))
+            held.clear()
+
+        size = 0
+        for at, buckets, counts in self.sparse_rows(texts):
+            for cut in range(0, len(buckets), most):
+                part = (at, buckets[cut : cut + most], counts[cut : cut + most])
+                if held and size + len(part[2]) > most:
+                    add()
+                    size = 0
+                held.append(part)
+                size += len(part[2])
+        if held:
+            add()
         return total
 
 
@@ -115,16 +146,14 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: str =
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for texts in batches:
-            langs, scores = [], []
-            for t in texts:
-                if t is None or not own.languages:
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                s = own.scores(t)
-                best = int(np.argmax(s))
-                langs.append(own.languages[best])
-                scores.append(float(1.0 / np.exp(s - s[best]).sum()))
+            langs = np.full(len(texts), UNDETERMINED, dtype=object)
+            scores = np.zeros(len(texts))
+            at = np.flatnonzero(texts.notna().to_numpy()) if own.languages else np.empty(0, np.int64)
+            if len(at):
+                s = own.scores([texts.iat[i] for i in at])
+                best = s.argmax(axis=1)
+                langs[at] = np.array(own.languages, dtype=object)[best]
+                scores[at] = 1.0 / np.exp(s - s.max(axis=1, keepdims=True)).sum(axis=1)
             yield pd.DataFrame({"lang": langs, "score": scores})
 
     lettered = F.when(F.col(text).rlike(r"\p{L}"), F.col(text))

@@ -63,7 +63,24 @@ def test_language_scores_are_naive_bayes(spark):
     for lang, prior in (("x", 2 / 3), ("y", 1 / 3)):
         total = sum(count[lang].values()) + language_id.SMOOTHING * size
         want.append(np.log(prior) + sum(np.log((count[lang][c] + language_id.SMOOTHING) / total) for c in " cab "))
-    assert np.allclose(model.scores("cab"), want, atol=1e-4)
+    assert np.allclose(model.scores(["cab"])[0], want, atol=1e-4)
+
+
+def test_language_scores_of_a_batch_are_those_of_its_texts(spark, odd, monkeypatch):
+    import contrail.llm.chargrams as c
+
+    model = language_id.train(odd)
+    texts = [t for t in (r["text"] for r in odd.collect()) if t is not None] + ["a", "zz" * 3_000, ""]
+    matrix = model.log_prob.astype(np.float64)
+    want = [
+        model.log_prior + sum(matrix[h >> np.uint32(32 - model.bits)].sum(axis=0) for h in gram_hashes(t, model.orders))
+        for t in texts
+    ]
+    assert np.allclose(model.scores(texts), want, rtol=1e-9)
+    monkeypatch.setattr(language_id, "CELLS", 40)  # few products at a time, texts in many parts
+    monkeypatch.setattr(c, "PIECE", 500)
+    assert np.allclose(model.scores(texts), want, rtol=1e-9)
+    assert model.scores([]).shape == (0, len(model.languages))
 
 
 def test_toxicity(spark, odd, none):
@@ -216,8 +233,7 @@ def test_frames(monkeypatch):
 
 
 def nearest_by_hand(vectors, asks, k):
-    code = {i: sum(1 << (j % 64) for j, x in enumerate(v) if x and x > 0) for i, v in vectors if v and i is not None}
-    code = {i: c & ((1 << 64) - 1) for i, c in code.items()}
+    code = {i: sum(1 << j for j, x in enumerate(v) if x and x > 0) for i, v in vectors if v and i is not None}
     out = set()
     for q in (i for i in code if asks(i)):
         near = sorted((bin(code[q] ^ c).count("1"), i) for i, c in code.items())[:k]
@@ -238,12 +254,27 @@ def test_top_k(spark):
     assert hamming_topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
-def test_top_k_refuses_vectors_without_a_code(spark):
-    schema = "vec_id long, embedding array<double>"
-    fits = spark.createDataFrame([(0, [1.0] * 64), (1, [-1.0] * 64)], schema)
-    assert hamming_topk.top_k(fits, F.lit(True)).count() == 4
-    with pytest.raises(Exception, match="more than 64 elements: 65"):
-        hamming_topk.top_k(fits.union(spark.createDataFrame([(2, [1.0] * 65)], schema)), F.lit(True)).collect()
+@pytest.mark.parametrize("size", [65, 128, 768])
+def test_top_k_of_longer_vectors(spark, size):
+    rng = np.random.default_rng(size)
+    centres = rng.normal(size=(5, size))
+    vectors = [(i, (centres[i % 5] + rng.normal(scale=0.3, size=size)).tolist()) for i in range(60)]
+    vectors += [(100 + i, vectors[i][1][: size - i]) for i in range(3)] + [(200, [1.0]), (201, None), (202, vectors[0][1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in hamming_topk.top_k(df, F.col("vec_id") % 10 == 0, k=4, sample=16).collect()}
+    assert got == nearest_by_hand(vectors, lambda i: i % 10 == 0, 4)
+
+
+def test_segments_cover_every_bit_once(spark):
+    for bits in (64, 128, 768, 1536):
+        for n in (0, 1, 100, 10**5, 10**9):
+            parts = hamming_topk.segments(n, bits)
+            assert [a for a, _ in parts] == [0, *[a + w for a, w in parts[:-1]]] and sum(w for _, w in parts) == bits
+    bits = [int(b) for b in np.random.default_rng(1).integers(0, 2, 192)]
+    parts = hamming_topk.segments(10**4, 192)
+    df = spark.createDataFrame([([float(b) for b in bits],)], "v array<double>").select(hamming_topk.sign_code(F.col("v"), 3).alias("c"))
+    got = df.select(*[hamming_topk.segment_value(F.col("c"), a, w) for a, w in parts]).first()
+    assert list(got) == [sum(b << i for i, b in enumerate(bits[a : a + w])) for a, w in parts]
 
 
 def unigram_library():
