@@ -16,8 +16,8 @@ pieces; in the public vocabulary here they are merge ranks, so the best
 segmentation is the one of the highest total score, which need not be the one
 that merging would give.
 
-Distinct cuts are solved once per Python worker while they stay in a bounded
-cache of two generations. The vocabulary is read on the driver and broadcast (tens of thousands of
+Distinct cuts are numbered and solved once per Python worker while they stay in a
+bounded table; when it is full, the cuts used most since the last time stay. The vocabulary is read on the driver and broadcast (tens of thousands of
 pieces).
 
 Defined results: null and empty texts have one segmentation without pieces, of
@@ -31,7 +31,9 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +47,10 @@ from contrail.llm.common import free_name
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-CACHED_CUTS = 130_000  # beyond it, cuts that were not used since the last time are forgotten
-LONGEST_CACHED = 64  # longer cuts are solved one by one and not kept
+CACHED_CUTS = 200_000  # beyond it, or beyond so many characters, all but the most used half are forgotten
+CACHED_CHARS = 1 << 22
+LONGEST_CACHED = 64  # longer cuts are solved one by one and forgotten first
+CACHED_OTHERS = 13_000  # cuts whose next best paths are kept
 BATCH_CHARS = 1 << 21  # texts of about so many characters are answered at once
 UNKNOWN_PENALTY = 10.0
 NOTHING = float("-inf")
@@ -87,15 +91,30 @@ _ARROW_ALTERNATIVES = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.
 
 
 class SolvedCuts:
-    """A table of distinct cuts: texts, scores, gaps to the second best, and where their identifiers are in ``ids``."""
+    """A table of distinct cuts by number: texts, scores, gaps to the second best, and where their identifiers are in ``ids``."""
 
-    def __init__(self, names: list[str], solved: list[tuple[bytes, float, float]]):
-        self.names = names
-        self.score = np.array([s for _, s, _ in solved])
-        self.gap = np.array([g for _, _, g in solved])
-        self.count = np.array([len(i) // 4 for i, _, _ in solved], np.int64)
-        self.start = np.cumsum(self.count) - self.count
-        self.ids = np.frombuffer(b"".join([i for i, _, _ in solved]), np.int32)
+    def __init__(self, names: list[str], score: np.ndarray, gap: np.ndarray, pieces: np.ndarray, ids: np.ndarray):
+        self.names, self.score, self.gap, self.count, self.ids = names, score, gap, pieces, ids
+        self.start = np.cumsum(pieces) - pieces
+
+    def pieces_of(self, at: np.ndarray) -> np.ndarray:
+        """The identifiers of the cuts ``at``, one after the other."""
+        counts = self.count[at]
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(self.start[at] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def with_more(self, more: SolvedCuts) -> SolvedCuts:
+        return SolvedCuts(
+            self.names + more.names,
+            np.append(self.score, more.score),
+            np.append(self.gap, more.gap),
+            np.append(self.count, more.count),
+            np.append(self.ids, more.ids),
+        )
+
+    def only(self, at: np.ndarray) -> SolvedCuts:
+        names = self.names
+        return SolvedCuts([names[k] for k in at.tolist()], self.score[at], self.gap[at], self.count[at], self.pieces_of(at))
 
 
 class PieceLattice:
@@ -131,7 +150,23 @@ class PieceLattice:
 
     def _start(self) -> None:
         self.cuts = re.compile(self.pattern).findall
-        self.cache, self.older, self.others = {}, {}, {}
+        self.others = {}
+        self.solved = SolvedCuts([], np.empty(0), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32))
+        self._number()
+
+    def _number(self) -> None:
+        """Numbers for the cuts of the table; a cut that is asked for and new gets the next one."""
+        self.number = defaultdict(count(len(self.solved.names)).__next__, zip(self.solved.names, count()))
+        self.uses = np.zeros(len(self.number), np.int64)
+        self.chars = sum(map(len, self.number))
+
+    def _forget(self) -> None:
+        """Keeps the half of the table that was used most."""
+        length = np.fromiter(map(len, self.solved.names), np.int64, len(self.solved.names))
+        by_use = np.argsort(np.where(length <= LONGEST_CACHED, -self.uses, 1), kind="stable")
+        by_use = by_use[: min(CACHED_CUTS // 2, int((length <= LONGEST_CACHED).sum()))]
+        self.solved = self.solved.only(np.sort(by_use[np.cumsum(length[by_use]) <= CACHED_CHARS // 2]))
+        self._number()
 
     def _tables(self) -> None:
         """Pieces by the hash of their code points: a slot in one table, or, if that is taken, in the spare one."""
@@ -181,7 +216,7 @@ class PieceLattice:
         return np.where((k >= 0) & (self.piece_hash[k] == h), k, -1)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "cache", "older", "others")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "number", "uses", "chars", "solved", "others")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -235,20 +270,32 @@ class PieceLattice:
         ids = [i for piece in reversed(pieces) for i in self.ids_of(piece)]
         return np.array(ids, np.int32).tobytes(), best[-1], best[-1] - second
 
-    def solve_many(self, cuts: list[str]) -> None:
-        """``solve`` for many cuts at once: the Viterbi pass of all cuts of one length in numpy. Fills the cache."""
-        by_length: dict[int, list[str]] = {}
-        for c in cuts:
-            by_length.setdefault(len(c), []).append(c)
-        for n, group in by_length.items():
-            for at in range(0, len(group), 1 << 14):
-                self._solve_length(group[at : at + (1 << 14)], n)
-
-    def _solve_length(self, group: list[str], n: int) -> None:
+    def solve_many(self, cuts: list[str]) -> SolvedCuts:
+        """``solve`` for many cuts at once: the Viterbi pass of all cuts of one length in numpy."""
+        length = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        by_length = np.argsort(length, kind="stable")
+        parts = []  # (places in cuts, score, gap, number of pieces, their identifiers)
+        for rows in np.split(by_length, np.flatnonzero(np.diff(length[by_length])) + 1):
+            for at in range(0, len(rows), 1 << 14):
+                part = rows[at : at + (1 << 14)]
+                names, n = [cuts[k] for k in part.tolist()], int(length[part[0]])
+                other = np.ones(len(part), bool)
+                if n <= LONGEST_CACHED:
+                    other, *found = self._solve_length(names, n)
+                    parts.append((part[~other], *found))
+                if other.any():  # long, or characters without a piece: byte pieces
+                    ids, scores, gaps = zip(*[self.solve(names[k]) for k in np.flatnonzero(other).tolist()])
+                    sizes = np.array([len(i) // 4 for i in ids], np.int64)
+                    parts.append((part[other], np.array(scores), np.array(gaps), sizes, np.frombuffer(b"".join(ids), np.int32)))
+        places, *columns = (np.concatenate(c) for c in zip(*parts))
+        return SolvedCuts([cuts[k] for k in places.tolist()], *columns).only(np.argsort(places))
+
+    def _solve_length(self, group: list[str], n: int) -> tuple[np.ndarray, ...]:
+        """(cuts with a character without a piece, and for the others score, gap, number of pieces, identifiers)."""
         m = len(group)
         codes = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(m, n).T.astype(np.uint64) + np.uint64(1)
         best, second = np.full((n + 1, m), NOTHING), np.full((n + 1, m), NOTHING)
-        back, last = np.zeros((n + 1, m), np.int64), np.full((n + 1, m), -1, np.int64)
+        back, last = np.zeros((n + 1, m), np.int16), np.full((n + 1, m), -1, np.int32)
         best[0] = 0.0
         for i in range(n):
             h = codes[i]
@@ -279,12 +326,8 @@ class PieceLattice:
             ids[row, n - count[row]] = self.piece_id[k]
             place[row] = back[place[row], row]
             row = row[place[row] > 0]
-        flat = ids[np.arange(n) >= (n - count)[:, None]].tobytes()
-        ends = (np.cumsum(count) * 4).tolist()
-        starts = [0, *ends[:-1]]
-        scores, gaps, known = best[n].tolist(), (best[n] - second[n]).tolist(), plain.tolist()
-        for c, a, b, score, gap, ok in zip(group, starts, ends, scores, gaps, known):
-            self.cache[c] = (flat[a:b], score, gap) if ok else self.solve(c)  # characters without a piece: byte pieces
+        flat = ids[(np.arange(n) >= (n - count)[:, None]) & plain[:, None]]
+        return ~plain, best[n, plain], (best[n] - second[n])[plain], count[plain], flat
 
     @staticmethod
     def _relax(best, second, back, last, i: int, j: int, r, k, c, c2) -> None:
@@ -297,29 +340,22 @@ class PieceLattice:
         last[j, r] = np.where(better, k, last[j, r])
 
     def prepare(self, texts: list[str | None]) -> list[tuple[SolvedCuts, np.ndarray] | None]:
-        """Per text, its cuts as numbers of a table of the solved distinct cuts of all the texts."""
-        number: dict[str, int] = {}
+        """Per text, its cuts as numbers of a table of solved cuts."""
+        if len(self.number) > CACHED_CUTS or self.chars > CACHED_CHARS:
+            self._forget()
+        known, find, number = len(self.number), self.cuts, self.number.__getitem__
         seen = []
         for t in texts:
-            own = self.cuts(MARK + t.replace(" ", MARK)) if t else ()
-            seen.append(np.array([number.setdefault(c, len(number)) for c in own], np.int64))
-        distinct = list(number)
-        if len(self.cache) + len(distinct) > CACHED_CUTS:  # what isn't used until the next time is forgotten
-            self.cache, self.older = {}, self.cache
-        known, older = self.cache, self.older
-        missing, long = [], {}
-        for c in distinct:
-            if c not in known:
-                hit = older.get(c)
-                if hit is not None:
-                    known[c] = hit
-                elif len(c) <= LONGEST_CACHED:
-                    missing.append(c)
-                else:
-                    long[c] = self.solve(c)
-        self.solve_many(missing)
-        solved = SolvedCuts(distinct, [known[c] if c in known else long[c] for c in distinct])
-        return [(solved, at) if len(at) else None for at in seen]
+            own = find(MARK + t.replace(" ", MARK)) if t else ()
+            seen.append(np.fromiter(map(number, own), np.int32, len(own)))
+        new = list(islice(self.number, known, None))
+        if new:
+            self.solved = self.solved.with_more(self.solve_many(new))
+            self.chars += sum(map(len, new))
+        used = np.bincount(np.concatenate([np.empty(0, np.int32), *seen]), minlength=len(self.number))
+        used[: len(self.uses)] += self.uses
+        self.uses = used
+        return [(self.solved, at) if len(at) else None for at in seen]
 
     def best_paths(self, cut: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best paths, (score, identifiers) in falling order of score: A* from the end backwards.
@@ -362,7 +398,7 @@ class PieceLattice:
         counts, gaps = solved.count[at], solved.gap[at]
         ends = np.cumsum(counts)
         begins = ends - counts
-        pieces = solved.ids[np.repeat(solved.start[at] - begins, counts) + np.arange(ends[-1])].tobytes()
+        pieces = solved.pieces_of(at).tobytes()
         score = float(solved.score[at].sum())
         if n < 2:
             return pieces, score, []
@@ -373,7 +409,7 @@ class PieceLattice:
             near = range(len(gaps))
         combos = [(0.0, ())]
         for k in near:
-            others = self.other_paths(solved.names[at[k]], n)
+            others = self.other_paths(solved, at[k], n)
             grown = combos + [(d + loss, (*c, (k, put))) for d, c in combos for loss, put in others]
             combos = heapq.nsmallest(n, grown, key=lambda x: x[0])
         alternatives = []
@@ -382,22 +418,21 @@ class PieceLattice:
             alternatives.append({"score": score - loss, "edits": edits})
         return pieces, score, alternatives
 
-    def other_paths(self, cut: str, n: int) -> list[tuple[float, list[int]]]:
-        """(loss against the best, identifiers) of the n - 1 best paths besides the best one."""
+    def other_paths(self, solved: SolvedCuts, k: int, n: int) -> list[tuple[float, list[int]]]:
+        """(loss against the best, identifiers) of the n - 1 best paths of cut ``k`` besides the best one."""
+        cut = solved.names[k]
         hit = self.others.get((cut, n))
         if hit is None:
-            ids, score, _ = self.cache.get(cut) or self.solve(cut)
-            best = np.frombuffer(ids, np.int32).tolist()
+            score, best = float(solved.score[k]), solved.pieces_of(np.array([k])).tolist()
             hit = [(score - s, path) for s, path in self.best_paths(cut, n) if path != best][: n - 1]
             if len(cut) <= LONGEST_CACHED:
-                if len(self.others) >= CACHED_CUTS // 10:
+                if len(self.others) >= CACHED_OTHERS:
                     self.others.clear()
                 self.others[cut, n] = hit
         return hit
 
     def decode(self, ids: list[int]) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 def slices(batch: pa.Array) -> Iterator[list[str | None]]:
