@@ -91,11 +91,28 @@ _ARROW_ALTERNATIVES = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.
 
 
 class SolvedCuts:
-    """A table of distinct cuts by number: texts, scores, gaps to the second best, and where their identifiers are in ``ids``."""
+    """A table of distinct cuts by number: texts, scores, gaps to the second best, and where their identifiers are in ``ids``.
+
+    ``number[cut]`` gives a cut that is new the next number; ``add`` takes what was found for the new ones.
+    """
 
     def __init__(self, names: list[str], score: np.ndarray, gap: np.ndarray, pieces: np.ndarray, ids: np.ndarray):
         self.names, self.score, self.gap, self.count, self.ids = names, score, gap, pieces, ids
         self.start = np.cumsum(pieces) - pieces
+        self.number = defaultdict(count(len(names)).__next__, zip(names, count()))
+        self.uses = np.zeros(len(names), np.int64)
+        self.chars = sum(map(len, names))
+
+    @classmethod
+    def empty(cls) -> SolvedCuts:
+        return cls([], np.empty(0), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32))
+
+    def __getitem__(self, cut: str) -> tuple[bytes, float, float]:
+        """What ``PieceLattice.solve`` gives for a cut of the table."""
+        k = self.number.get(cut, len(self.names))
+        if k >= len(self.names):
+            raise KeyError(cut)
+        return self.pieces_of(np.array([k])).tobytes(), float(self.score[k]), float(self.gap[k])
 
     def pieces_of(self, at: np.ndarray) -> np.ndarray:
         """The identifiers of the cuts ``at``, one after the other."""
@@ -103,18 +120,35 @@ class SolvedCuts:
         ends = np.cumsum(counts)
         return self.ids[np.repeat(self.start[at] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def with_more(self, more: SolvedCuts) -> SolvedCuts:
-        return SolvedCuts(
-            self.names + more.names,
-            np.append(self.score, more.score),
-            np.append(self.gap, more.gap),
-            np.append(self.count, more.count),
-            np.append(self.ids, more.ids),
-        )
-
-    def only(self, at: np.ndarray) -> SolvedCuts:
-        names = self.names
-        return SolvedCuts([names[k] for k in at.tolist()], self.score[at], self.gap[at], self.count[at], self.pieces_of(at))
+    def unsolved(self) -> list[str]:
+        return list(islice(self.number, len(self.names), None))
+
+    def add(self, names: list[str], places: np.ndarray, score: np.ndarray, gap: np.ndarray, pieces: np.ndarray, ids: np.ndarray) -> None:
+        """Takes the results of the unsolved cuts ``names``, given in the order ``places``."""
+        start = np.empty(len(names), np.int64)
+        start[places] = len(self.ids) + np.cumsum(pieces) - pieces
+        back = np.argsort(places)
+        self.start, self.ids = np.append(self.start, start), np.append(self.ids, ids)
+        self.score, self.gap, self.count = np.append(self.score, score[back]), np.append(self.gap, gap[back]), np.append(self.count, pieces[back])
+        self.names += names
+        self.chars += sum(map(len, names))
+
+    def used(self, at: list[np.ndarray]) -> None:
+        uses = np.bincount(np.concatenate([np.empty(0, np.int32), *at]), minlength=len(self.names))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+
+    def full(self) -> bool:
+        return len(self.names) > CACHED_CUTS or self.chars > CACHED_CHARS
+
+    def most_used(self) -> SolvedCuts:
+        """A table of the cuts that were used most, half as large at most; none is a long one."""
+        length = np.fromiter(map(len, self.names), np.int64, len(self.names))
+        short = np.flatnonzero(length <= LONGEST_CACHED)
+        uses = np.append(self.uses, np.zeros(len(self.names) - len(self.uses), np.int64))
+        by_use = short[np.argsort(-uses[short], kind="stable")][: CACHED_CUTS // 2]
+        at = np.sort(by_use[np.cumsum(length[by_use]) <= CACHED_CHARS // 2])
+        return SolvedCuts([self.names[k] for k in at.tolist()], self.score[at], self.gap[at], self.count[at], self.pieces_of(at))
 
 
 class PieceLattice:
@@ -150,23 +184,7 @@ class PieceLattice:
 
     def _start(self) -> None:
         self.cuts = re.compile(self.pattern).findall
-        self.others = {}
-        self.solved = SolvedCuts([], np.empty(0), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32))
-        self._number()
-
-    def _number(self) -> None:
-        """Numbers for the cuts of the table; a cut that is asked for and new gets the next one."""
-        self.number = defaultdict(count(len(self.solved.names)).__next__, zip(self.solved.names, count()))
-        self.uses = np.zeros(len(self.number), np.int64)
-        self.chars = sum(map(len, self.number))
-
-    def _forget(self) -> None:
-        """Keeps the half of the table that was used most."""
-        length = np.fromiter(map(len, self.solved.names), np.int64, len(self.solved.names))
-        by_use = np.argsort(np.where(length <= LONGEST_CACHED, -self.uses, 1), kind="stable")
-        by_use = by_use[: min(CACHED_CUTS // 2, int((length <= LONGEST_CACHED).sum()))]
-        self.solved = self.solved.only(np.sort(by_use[np.cumsum(length[by_use]) <= CACHED_CHARS // 2]))
-        self._number()
+        self.cache, self.others = SolvedCuts.empty(), {}
 
     def _tables(self) -> None:
         """Pieces by the hash of their code points: a slot in one table, or, if that is taken, in the spare one."""
@@ -216,7 +234,7 @@ class PieceLattice:
         return np.where((k >= 0) & (self.piece_hash[k] == h), k, -1)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "number", "uses", "chars", "solved", "others")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "cache", "others")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -270,8 +288,17 @@ class PieceLattice:
         ids = [i for piece in reversed(pieces) for i in self.ids_of(piece)]
         return np.array(ids, np.int32).tobytes(), best[-1], best[-1] - second
 
-    def solve_many(self, cuts: list[str]) -> SolvedCuts:
-        """``solve`` for many cuts at once: the Viterbi pass of all cuts of one length in numpy."""
+    def solve_many(self, cuts: list[str]) -> None:
+        """``solve`` for many cuts at once. Fills the cache."""
+        for c in cuts:
+            self.cache.number[c]
+        self._solve_new()
+
+    def _solve_new(self) -> None:
+        """Solves the new cuts of the cache: the Viterbi pass of all cuts of one length in numpy."""
+        cuts = self.cache.unsolved()
+        if not cuts:
+            return
         length = np.fromiter(map(len, cuts), np.int64, len(cuts))
         by_length = np.argsort(length, kind="stable")
         parts = []  # (places in cuts, score, gap, number of pieces, their identifiers)
@@ -287,8 +314,7 @@ class PieceLattice:
                     ids, scores, gaps = zip(*[self.solve(names[k]) for k in np.flatnonzero(other).tolist()])
                     sizes = np.array([len(i) // 4 for i in ids], np.int64)
                     parts.append((part[other], np.array(scores), np.array(gaps), sizes, np.frombuffer(b"".join(ids), np.int32)))
-        places, *columns = (np.concatenate(c) for c in zip(*parts))
-        return SolvedCuts([cuts[k] for k in places.tolist()], *columns).only(np.argsort(places))
+        self.cache.add(cuts, *(np.concatenate(c) for c in zip(*parts)))
 
     def _solve_length(self, group: list[str], n: int) -> tuple[np.ndarray, ...]:
         """(cuts with a character without a piece, and for the others score, gap, number of pieces, identifiers)."""
@@ -341,21 +367,16 @@ class PieceLattice:
 
     def prepare(self, texts: list[str | None]) -> list[tuple[SolvedCuts, np.ndarray] | None]:
         """Per text, its cuts as numbers of a table of solved cuts."""
-        if len(self.number) > CACHED_CUTS or self.chars > CACHED_CHARS:
-            self._forget()
-        known, find, number = len(self.number), self.cuts, self.number.__getitem__
+        if self.cache.full():
+            self.cache = self.cache.most_used()
+        find, number = self.cuts, self.cache.number.__getitem__
         seen = []
         for t in texts:
             own = find(MARK + t.replace(" ", MARK)) if t else ()
             seen.append(np.fromiter(map(number, own), np.int32, len(own)))
-        new = list(islice(self.number, known, None))
-        if new:
-            self.solved = self.solved.with_more(self.solve_many(new))
-            self.chars += sum(map(len, new))
-        used = np.bincount(np.concatenate([np.empty(0, np.int32), *seen]), minlength=len(self.number))
-        used[: len(self.uses)] += self.uses
-        self.uses = used
-        return [(self.solved, at) if len(at) else None for at in seen]
+        self._solve_new()
+        self.cache.used(seen)
+        return [(self.cache, at) if len(at) else None for at in seen]
 
     def best_paths(self, cut: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best paths, (score, identifiers) in falling order of score: A* from the end backwards.
