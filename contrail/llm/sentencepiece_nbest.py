@@ -47,11 +47,11 @@ from contrail.llm.common import free_name
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-CACHED_CUTS = 200_000  # beyond it, or beyond so many characters, all but the most used half are forgotten
+CACHED_CUTS = 130_000  # beyond it, or beyond so many characters, all but the most used half are forgotten
 CACHED_CHARS = 1 << 22
 LONGEST_CACHED = 64  # longer cuts are solved one by one and forgotten first
 CACHED_OTHERS = 13_000  # cuts whose next best paths are kept
-BATCH_CHARS = 1 << 21  # texts of about so many characters are answered at once
+BATCH_CHARS = 1 << 20  # texts of about so many characters are answered at once
 UNKNOWN_PENALTY = 10.0
 NOTHING = float("-inf")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -368,7 +368,8 @@ class PieceLattice:
     def prepare(self, texts: list[str | None]) -> list[tuple[SolvedCuts, np.ndarray] | None]:
         """Per text, its cuts as numbers of a table of solved cuts."""
         if self.cache.full():
-            self.cache = self.cache.most_used()
+            old, self.cache = self.cache, self.cache.most_used()
+            old.number.clear()  # the caller may still hold the table
         find, number = self.cuts, self.cache.number.__getitem__
         seen = []
         for t in texts:
@@ -482,13 +483,8 @@ def encode(df: DataFrame, lattice: PieceLattice, text: str = "text", n: int = N_
         own = shared.value
         for batch in batches:
             for texts in slices(batch):
-                flat, sizes, scores, others = [], [0], [], []
-                for t, cuts in zip(texts, own.prepare(texts)):
-                    pieces, score, alternatives = own.encode(t, n, cuts)
-                    flat.append(pieces)
-                    sizes.append(len(pieces) // 4)
-                    scores.append(score)
-                    others.append(alternatives)
+                flat, scores, others = zip(*[own.encode(t, n, cuts) for t, cuts in zip(texts, own.prepare(texts))])
+                sizes = [0, *(len(pieces) // 4 for pieces in flat)]
                 values = pa.array(np.frombuffer(b"".join(flat), np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), values)
                 yield pa.StructArray.from_arrays(
