@@ -26,7 +26,7 @@ from contrail.operators.upsert import first_per_key
 from contrail.plans import questions as Q
 from contrail.schemas import CLEAN_COLUMNS, CLEAN_FLIGHTS, OLD_KEPT_COLUMNS
 from contrail.session import scratch_path
-from contrail.sinks.files import materialize, write_delimited, write_key_value
+from contrail.sinks.files import bounded_files, materialize, write_delimited, write_key_value
 from contrail.sinks.keyed import KeyedTable
 from contrail.sinks.serving import publish
 from contrail.sources.files import (
@@ -223,11 +223,11 @@ def raw_set_aside(spark, sf_dir):
         "FlightDate": F.when(fault("6"), "1996-13-45").otherwise(F.col("FlightDate")),
         "ArrDelay": F.when(fault("7"), "4x").otherwise(F.col("ArrDelay")),
     })
-    cells = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in raw.columns]
-    line = F.concat_ws(",", *cells, F.when(fault("5"), '"more"'))
-    raw.select(line.alias("value")).write.text(f"{path}/flights")
+    cells = F.concat_ws('","', *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
+    line = F.concat(F.lit('"'), cells, F.when(fault("5"), '","more"').otherwise('"'))
+    bounded_files(raw.select(line.alias("value"))).text(f"{path}/flights")
     spark.range(1).select(F.lit(",".join(f'"{c}"' for c in raw.columns)).alias("value")).write.mode("append").text(f"{path}/flights")
-    marked = materialize(read_raw_marked(spark, f"{path}/flights"), f"{path}/marked")
+    marked = materialize(read_raw_marked(spark, f"{path}/flights"), f"{path}/marked", "zstd")
     good = project_clean(good_lines(marked)).select(F.lit("good").alias("kind"), "origin")
     bad = bad_lines(marked).select(F.col("reason").alias("kind"), F.regexp_extract("line", '"(NATION_[0-9]+)"', 1).alias("origin"))
     return good.unionByName(bad).groupBy("kind", "origin").agg(F.count(F.lit(1)).alias("lines"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from contrail.sinks.paths import exists, remove, rename_new
@@ -48,6 +48,17 @@ def _save(df: DataFrame, path: str, mode: str, write: Callable[[str, str], None]
         write(path, mode)
 
 
+# Text that only the next step reads is compressed. A compressed file is read by one task, so a
+# file holds at most so many rows.
+TEXT_CODEC = "lz4"
+FILE_ROWS = 1_000_000
+
+
+def bounded_files(df: DataFrame) -> DataFrameWriter:
+    """The writer of ``df`` for compressed text files of at most ``FILE_ROWS`` rows each."""
+    return df.write.option("compression", TEXT_CODEC).option("maxRecordsPerFile", FILE_ROWS)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
     """Delimited text without header; nulls as empty fields, dates ``yyyy-MM-dd``.
     A value that holds the separator, a quote or a line end is quoted (quotes
@@ -83,9 +94,10 @@ def write_table(
     _save(df, path, mode, write)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to ``path`` (in the shared checkpoint folder) and read it
     back: later plans start from the files, so the lineage is cut and a lost
-    executor costs no recomputation of what was written."""
-    df.write.mode("overwrite").parquet(path)
+    executor costs no recomputation of what was written. ``codec``: the Parquet compression
+    (default: the session's)."""
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return df.sparkSession.read.parquet(path)

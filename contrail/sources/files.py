@@ -40,13 +40,16 @@ def read_raw_marked(spark: SparkSession, path: str, file_glob: str | None = None
     good line, else the first that holds of ``fields`` (not as many as the layout has, or broken quotes), ``date``
     (no valid flight date) and ``number`` (a delay or an id that is not a number). Header lines
     are left out. A line is parsed on its own, so a quoted line end splits it, as in the other readers.
+
+    The parsed row is the output of a generator (``inline`` of one row): a filter on it is not
+    pushed below the parse, where it would parse the line again for every use of a field.
     """
     reader = spark.read.option("pathGlobFilter", file_glob) if file_glob else spark.read
     lines = reader.text(path).select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"))
     schema = T.StructType(RAW_FLIGHTS.fields + [T.StructField("_broken", T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "columnPruning": "false"}
-    rows = lines.select("*", F.from_csv("_line", schema.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("row"))
-    rows = rows.select("_file", "_line", "row.*")
+    row = F.from_csv("_line", schema.simpleString()[len("struct<") : -1].replace(":", " "), options)
+    rows = lines.select("_file", "_line", F.inline(F.array(row)))
     trimmed = lambda c: F.nullif(F.trim(unquote(F.col(c))), F.lit(""))
     types = {f.name: f.dataType.simpleString() for f in CLEAN_FLIGHTS.fields}
     numbers = [(raw, types[name]) for raw, name in RAW_TO_CLEAN if types[name] in ("int", "double")]

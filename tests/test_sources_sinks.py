@@ -274,3 +274,28 @@ def test_bad_raw_lines_are_set_aside_with_file_and_reason(spark, scratch):
     kept = clean_from_raw(spark, scratch, rejects=out)
     assert sorted((r["origin"], r["arr_delay"]) for r in kept.collect()) == [("LAX", None), ("ORD", 4.0)]
     assert spark.read.parquet(out).count() == 5
+
+
+def test_a_marked_line_is_parsed_once(spark, scratch):
+    from contrail.sources.files import read_raw_marked
+
+    write_lines(scratch, "one.csv", ["", "2008-01-01"])
+    marked = read_raw_marked(spark, scratch)
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    assert sorted((r["_line"], r["_reason"]) for r in marked.collect()) == [("", "date"), ("2008-01-01", "fields")]
+
+
+def test_the_marked_table_of_raw_set_aside_is_small(spark):
+    import glob
+
+    from contrail.plans.catalog import raw_set_aside
+    from contrail.session import checkpoint_dir
+    from tests.conftest import SF_SMALL
+
+    folders = lambda: set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/contrail/raw-faulty-*"))
+    before = folders()
+    raw_set_aside(spark, SF_SMALL)
+    (path,) = folders() - before
+    assert all(".zstd." in f for f in glob.glob(f"{path}/marked/part-*"))
+    plain = glob.glob(f"{path}/flights/part-*.txt")
+    assert glob.glob(f"{path}/flights/part-*.txt.lz4") and spark.read.text(plain).count() == 1  # the header alone
