@@ -163,7 +163,7 @@ def leg_pairs_raw(spark, sf_dir):
     """The legs file straight from raw quoted CSV: leg columns (with the files' own
     minutes and 15-minute flags) projected from the raw rows, no clean table between."""
     path = scratch_path(spark, "raw-legs")
-    raw_rows_from_flights(_flights(spark, sf_dir)).write.option("header", True).option("quoteAll", True).csv(path)
+    bounded_files(raw_rows_from_flights(_flights(spark, sf_dir))).option("header", True).option("quoteAll", True).csv(path)
     return Q.leg_pairs(project_legs(read_raw_flights(spark, path)))
 
 
@@ -193,14 +193,14 @@ def etl_roundtrip(spark, sf_dir):
     cleaned, stored pipe-delimited, read again and joined with the names."""
     base = scratch_path(spark, "etl")
     raw = raw_rows_from_flights(_flights(spark, sf_dir))
-    raw.write.option("header", True).option("quoteAll", True).csv(f"{base}/On_Time_1")
+    bounded_files(raw).option("header", True).option("quoteAll", True).csv(f"{base}/On_Time_1")
     for name, lk in (("L_AIRPORT", airport_lookup_from_tables(spark, sf_dir)), ("L_AIRLINE_ID", airline_lookup_from_tables(spark, sf_dir))):
         quoted = lk.select(
             F.concat(F.lit('"'), "code", F.lit('"')).alias("Code"), F.concat("description", F.lit(", "), "code").alias("Description")
         )
         quoted.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{base}/{name}")
     # The lookups have two columns: a strict read that took them in would fail.
-    write_delimited(project_clean(read_raw_flights(spark, f"{base}/On_Time_*")), f"{base}/clean")
+    write_delimited(project_clean(read_raw_flights(spark, f"{base}/On_Time_*")), f"{base}/clean", compressed=True)
     return enrich(
         read_clean_flights(spark, f"{base}/clean"),
         clean_lookup(read_lookup(spark, f"{base}/L_AIRPORT")),

@@ -59,12 +59,12 @@ def bounded_files(df: DataFrame) -> DataFrameWriter:
     return df.write.option("compression", TEXT_CODEC).option("maxRecordsPerFile", FILE_ROWS)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite", compressed: bool = False) -> None:
     """Delimited text without header; nulls as empty fields, dates ``yyyy-MM-dd``.
     A value that holds the separator, a quote or a line end is quoted (quotes
-    doubled), and spaces at its ends are kept."""
+    doubled), and spaces at its ends are kept. ``compressed``: as :func:`bounded_files`."""
     _save(df, path, mode, lambda target, m: (
-        df.write.mode(m)
+        (bounded_files(df) if compressed else df.write).mode(m)
         .option("sep", sep)
         .option("header", False)
         .option("nullValue", "")

@@ -299,3 +299,34 @@ def test_the_marked_table_of_raw_set_aside_is_small(spark):
     assert all(".zstd." in f for f in glob.glob(f"{path}/marked/part-*"))
     plain = glob.glob(f"{path}/flights/part-*.txt")
     assert glob.glob(f"{path}/flights/part-*.txt.lz4") and spark.read.text(plain).count() == 1  # the header alone
+
+
+def test_compressed_text_files_are_bounded(spark, scratch, monkeypatch):
+    import glob
+
+    from contrail.sinks import files
+
+    monkeypatch.setattr(files, "FILE_ROWS", 10)
+    df = spark.range(0, 45, 1, 2).select(F.col("id").cast("string").alias("a"), F.lit('x|"y"').alias("b"))
+    write_delimited(df, f"{scratch}/out", compressed=True)
+    parts = glob.glob(f"{scratch}/out/part-*")
+    assert len(parts) == 6 and all(p.endswith(".lz4") for p in parts)
+    back = spark.read.option("sep", "|").option("escape", '"').csv(f"{scratch}/out")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_texts_between_steps_are_compressed(spark):
+    import glob
+
+    from contrail.plans.catalog import etl_roundtrip, leg_pairs_raw
+    from contrail.session import checkpoint_dir
+    from tests.conftest import SF_SMALL
+
+    root = checkpoint_dir(spark).removeprefix("file:")
+    texts = lambda: set(glob.glob(f"{root}/contrail/etl-*/On_Time_1/part-*") + glob.glob(f"{root}/contrail/etl-*/clean/part-*")
+                        + glob.glob(f"{root}/contrail/raw-legs-*/part-*"))
+    before = texts()
+    etl_roundtrip(spark, SF_SMALL)
+    leg_pairs_raw(spark, SF_SMALL)
+    new = texts() - before
+    assert len({os.path.dirname(p) for p in new}) == 3 and all(p.endswith(".csv.lz4") for p in new)
