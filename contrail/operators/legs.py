@@ -176,11 +176,25 @@ def as_legs(flights: DataFrame) -> DataFrame:
     )
 
 
-def best_second_legs(flights: DataFrame) -> DataFrame:
+def least_delays(flights: DataFrame) -> DataFrame:
+    """The smallest arrival delay leaving each airport on each day: (origin, flight_date,
+    arr_delay). A number, so it is aggregated in a hash map, without a sort."""
+    return flights.groupBy("origin", "flight_date").agg(F.min("arr_delay").alias("arr_delay")).filter(F.col("arr_delay").isNotNull())
+
+
+def best_second_legs(flights: DataFrame, least: DataFrame | None = None) -> DataFrame:
     """The best flight (smallest arrival delay, then departure delay, dest,
     carrier, airline id) leaving each airport on each day, as leg columns:
-    one row per (origin, flight_date)."""
+    one row per (origin, flight_date).
+
+    The minimum of a struct sorts its input. With ``least`` (:func:`least_delays` of the same
+    flights, which the caller has proven small) only flights of that delay reach it: the
+    others leave where they are read, by a broadcast join."""
     legs = as_legs(flights)
+    if least is not None:
+        small = least.select(*[F.col(c).alias(f"_{c}") for c in least.columns])
+        first = F.col("origin").eqNullSafe(F.col("_origin")) & F.col("flight_date").eqNullSafe(F.col("_flight_date"))
+        legs = legs.join(F.broadcast(small), first & (F.col("arr_delay") == F.col("_arr_delay")), "left_semi")
     order = ["arr_delay", "dep_delay", "dest", "carrier", "airline_id", *LEG_DERIVED]
     # Flights without an arrival delay give a null candidate, which min skips.
     candidate = F.when(F.col("arr_delay").isNotNull(), F.struct(*[F.col(c) for c in order]))

@@ -44,6 +44,7 @@ from contrail.operators.legs import (
     connect_legs,
     flight_min_delay,
     itinerary_legs,
+    least_delays,
 )
 from contrail.operators.lists import list_text, pairs_text, ranked_list, ranked_text
 from contrail.operators.rank import best_k, top_n, worst_k
@@ -180,10 +181,13 @@ def leg_pairs(flights: DataFrame, days: int = 2) -> DataFrame:
     The legs are written once to the shared folder and both sides read that table.
     The second side (one flight per airport and day) is written and counted from
     its metadata: within the broadcast bound the flights are not shuffled, beyond
-    it the join is salted."""
+    it the join is salted. The smallest delays of the airports and days are found first, so
+    that within that bound few flights are sorted for the best of them."""
     spark = flights.sparkSession
     legs = materialize(as_legs(flights), scratch_path(spark, "legs"))
-    second = materialize(best_second_legs(legs), scratch_path(spark, "best-second-legs"))
+    least = materialize(least_delays(legs), scratch_path(spark, "least-delays"))
+    fits = least.count() <= broadcast_rows(least)
+    second = materialize(best_second_legs(legs, least if fits else None), scratch_path(spark, "best-second-legs"))
     return connect_legs(legs, second, days, broadcast_second=second.count() <= broadcast_rows(second))
 
 

@@ -133,3 +133,32 @@ def test_no_itineraries_give_no_legs(spark):
 
     empty = itineraries_from_codes(spark, [])
     assert flight_min_delay(flights(spark), empty).count() == 0
+
+
+def test_best_second_legs_from_the_least_delays(spark):
+    from contrail.operators.legs import best_second_legs, least_delays
+
+    cols = ["flight_date", "airline_id", "carrier", "origin", "dest", "dep_delay", "arr_delay"]
+    nan = float("nan")
+    rows = [
+        (D1, 1, "AA", "ORD", "LAX", 1.0, -5.0),
+        (D1, 1, "AA", "ORD", "LAX", 1.0, -5.0),  # twice
+        (D1, 2, "UA", "ORD", "JFK", None, -5.0),  # a tie: the unknown departure delay comes first
+        (D1, 3, "UA", "ORD", "BOS", -9.0, 4.0),
+        (D3, 1, "AA", "ORD", "LAX", 1.0, None),  # no arrival delay: no second leg
+        (D1, 1, "AA", "LAX", "ORD", 2.0, 0.0),
+        (D1, 1, "AA", "LAX", "BOS", 1.0, -0.0),
+        (D3, 1, "AA", "LAX", "ORD", 3.0, nan),
+        (D1, 1, "AA", None, "ORD", 0.0, 3.0),
+        (None, 1, "AA", "JFK", "ORD", 0.0, 3.0),
+        (None, 1, "AA", "JFK", "BOS", 0.0, 7.0),
+    ]
+    df = literal_table(spark, rows, cols).select(
+        F.col("flight_date").cast("date"), "airline_id", "carrier", "origin", "dest", F.col("dep_delay").cast("double"), F.col("arr_delay").cast("double")
+    )
+    text = lambda out: sorted(map(repr, out.collect()))
+    least = least_delays(df)
+    assert least.count() == 5
+    assert text(best_second_legs(df, least)) == text(best_second_legs(df)) and best_second_legs(df).count() == 5
+    tie = best_second_legs(df, least).filter("origin = 'ORD'").first()
+    assert (tie.dest, tie.dep_delay, tie.arr_delay) == ("JFK", None, -5.0)
